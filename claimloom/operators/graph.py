@@ -17,7 +17,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     both = cut(pairs.union(pairs.select("b", "a")).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component")))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component"))
     for _ in range(max_rounds):
         seen = labels.select(F.col("node").alias("b"), F.col("component").alias("c"))
         near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("near"))

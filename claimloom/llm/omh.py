@@ -35,7 +35,7 @@ K = 5
 ELL = 4
 SKETCHES = 16
 SIMILARITY = 0.8
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 
 _RNG = np.random.default_rng(77)
 _ODD = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -185,12 +185,12 @@ def near_duplicate_classes(
     ).select("node", "text")
     kmers = cut(own.mapInArrow(_kmer_rows, "node long, kmers binary").dropDuplicates(["node"]))
     tried = links = None
-    labels = members.select("node").distinct().withColumn("component", F.col("node"))
+    labels = members.select("node", F.col("node").alias("component")).distinct()
     for turn in range(rounds + 1):
-        state = members.join(labels, "node")
+        state = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn < rounds:
-            lead = state.groupBy("bucket").agg(F.min("rank").alias("lead"), F.min(F.struct("rank", "component")).alias("c"))
-            pairs = state.join(lead, "bucket").where("component <> c.component").select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
+            lead = state.groupBy("bucket").agg(F.min(F.struct("rank", "component")).alias("lead"))
+            pairs = state.join(lead, "bucket").where("component <> lead.component").select(F.col("lead.rank.node").alias("a"), F.col("node").alias("b"))
         else:
             other = state.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
             pairs = state.join(other, "bucket").where("component <> other and node < b").select(F.col("node").alias("a"), "b")
@@ -201,18 +201,11 @@ def near_duplicate_classes(
         tried = checked if tried is None else tried.union(checked)
         new = checked.where("similarity > 0")
         links = new if links is None else links.union(new)
-        if turn and new.isEmpty():
-            if turn < rounds:
-                members = _without_leaders(members)
-            continue
-        found = connected_components(links, "a", "b")
-        labels = cut(
-            members.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-        )
         if turn < rounds - 1:
-            # The leader has met all; the next round is led by the next in rank, the last compares what is left.
+            # The leader has met all; the next in rank leads the rest, and the last round compares what is left.
             members = _without_leaders(members)
-    labels = connected_components(links, "a", "b")
+        if not turn or not new.isEmpty():
+            labels = connected_components(links, "a", "b")
     classed = nodes.drop("sketch").join(labels, "node", "left").withColumn("class_node", F.coalesce("component", "node")).drop("component")
     heads = classed.groupBy("class_node").agg(F.min("first_id").alias("class_id"))
     return cut(classed.join(heads, "class_node")), links

@@ -3,14 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimloom.llm import omh
+from claimloom.llm import mixing, omh, suffix, toxicity
 from claimloom.session import table
 
 
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", mixing.label_domains().alias("domain"))
+    out = mixing.mixed(table(spark, sf_dir, "documents"), labels)
+    parts = [F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)]
+    return out.select("doc_id", "tokens", *parts, "rate", "copies")
+
+
+def op4_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_order_minhash,)}
+QUERIES = {f.__name__: f for f in (op3_soft_mixing, op4_pu_toxicity, op6_sparse_suffixes, op10_order_minhash)}
 ORACLE_SQL: dict[str, str] = {}

@@ -10,8 +10,9 @@ k-mers it drops, so matches outside that band are not looked at.
 
 Equal texts form one node before anything else, so a group of copies costs one comparison. In a
 bucket of sketches the texts are first compared with the most central one, then, unless they have
-joined a class, with the next; after ``LEADER_ROUNDS`` rounds all pairs of a bucket that still lie in
-different classes and were not compared are compared, so no link is lost to the leaders.
+joined a class, with the next; after ``LEADER_ROUNDS`` rounds the texts of buckets that still hold several classes
+are compared across classes wherever an exact filter on their rarest k-mers allows the
+similarity, so no link is lost to the leaders and a large group of loosely similar texts costs no square.
 
 Texts without a word (null and empty ones too) have no k-mer and are near-duplicates of nothing but
 equal texts with words are; a text of one to four words is one k-mer of all its words.
@@ -156,6 +157,35 @@ def verified_pairs(pairs: DataFrame, kmers: DataFrame, at_least: float = SIMILAR
     return joined.mapInArrow(_verify(at_least), "a long, b long, similarity double")
 
 
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            k = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.int64)
+            of = pa.array(np.full(len(k), i))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(k), pa.array(np.full(len(k), len(k)))], names=["node", "component", "kmer", "n"])
+
+
+def possible_pairs(open_nodes: DataFrame, kmers: DataFrame, at_least: float) -> DataFrame:
+    """All pairs (a, b) of open nodes of different classes that can be similar enough, by an exact prefix filter.
+
+    With a text's k-mers ordered from rare to frequent, two texts as similar as asked share one among the first
+    few of both, early enough for the rest to make up the overlap. Texts that only share what a large
+    group has in common don't meet, however large the group.
+    """
+    rows = open_nodes.join(kmers, "node").select("node", "component", "kmers").mapInArrow(_explode, "node long, component long, kmer long, n long")
+    rows = cut(rows)
+    often = rows.groupBy("kmer").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("node").orderBy("df", "kmer")
+    ranked = rows.join(often, "kmer").withColumn("pos", F.row_number().over(order))
+    heads = ranked.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * at_least - 1e-9) + 1).where("df > 1")
+    several = heads.groupBy("kmer").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("kmer")
+    heads = cut(heads.join(several, "kmer", "left_semi").select("kmer", "node", "component", "n", "pos"))
+    other = heads.select("kmer", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("m"), F.col("pos").alias("q"))
+    overlap = 1 + F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("q"))
+    fits = overlap >= (F.col("n") + F.col("m")) * (at_least / (1 + at_least)) - 1e-6
+    return heads.join(other, "kmer").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("cb")) & fits).select(F.col("node").alias("a"), "b")
+
+
 def near_duplicate_classes(
     docs: DataFrame, sketches: int = SKETCHES, ell: int = ELL, at_least: float = SIMILARITY, rounds: int = LEADER_ROUNDS
 ) -> tuple[DataFrame, DataFrame]:
@@ -192,8 +222,9 @@ def near_duplicate_classes(
             lead = state.groupBy("bucket").agg(F.min(F.struct("rank", "component")).alias("lead"))
             pairs = state.join(lead, "bucket").where("component <> lead.component").select(F.col("lead.rank.node").alias("a"), F.col("node").alias("b"))
         else:
-            other = state.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = state.join(other, "bucket").where("component <> other and node < b").select(F.col("node").alias("a"), "b")
+            mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+            open_nodes = state.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "component").distinct()
+            pairs = possible_pairs(open_nodes, kmers, at_least)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")

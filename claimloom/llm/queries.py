@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import mixing, omh, suffix, toxicity
+from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, segtopk, sharding, suffix, toxicity
 from claimloom.session import table
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op2_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segtopk.integer_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", mixing.label_domains().alias("domain"))
     out = mixing.mixed(table(spark, sf_dir, "documents"), labels)
@@ -21,13 +29,39 @@ def op4_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return hosts.judge(pages, hosts.outcomes_by_document(pages, table(spark, sf_dir, "labels")))
+
+
+def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.byte_shards(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_soft_mixing, op4_pu_toxicity, op6_sparse_suffixes, op10_order_minhash)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_cross_polytope,
+        op2_segment_top_k,
+        op3_soft_mixing,
+        op4_pu_toxicity,
+        op5_cutting_stock,
+        op6_sparse_suffixes,
+        op7_host_reputation,
+        op8_byte_shards,
+        op10_order_minhash,
+    )
+}
+ORACLE_SQL: dict[str, str] = {"op2_segment_top_k": segtopk.ORACLE, "op7_host_reputation": hosts.ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, segtopk, sharding, suffix, toxicity
+from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, segtopk, sharding, suffix, toxicity, windows
 from claimloom.session import table
 
 
@@ -46,6 +46,10 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(table(spark, sf_dir, "documents"))
 
 
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
         op6_sparse_suffixes,
         op7_host_reputation,
         op8_byte_shards,
+        op9_compact_windows,
         op10_order_minhash,
     )
 }

@@ -80,3 +80,59 @@ def tier(official: Column, alias: Column, authors: Column) -> Column:
         F.when((official == 1) & (authors > 0), "high").when(official == 1, "medium").when((official == 0) & (alias == 1), "low")
         .when((official > 1) | (alias > 1), "ambiguous").otherwise("none")
     )
+
+
+def attach_roles(votes: DataFrame, mine: str, theirs: str, shared: str, n_mine: str, n_theirs: str) -> DataFrame:
+    """Each of mine goes to the one it shares most with, if that is half of the smaller side; the best of a target merges, others are siblings."""
+    fits = votes.where(F.col(shared) * 2 >= F.least(n_mine, n_theirs))
+    best = fits.withColumn("__r", F.row_number().over(Window.partitionBy(mine).orderBy(F.desc(shared), F.asc(theirs)))).where("__r = 1").drop("__r")
+    nth = F.row_number().over(Window.partitionBy(theirs).orderBy(F.desc(shared), F.asc(mine)))
+    return best.withColumn("role", F.when(nth == 1, "merged").otherwise("sibling"))
+
+
+def one_to_one(pairs: DataFrame, a: str, b: str, score: str, max_rounds: int = 50) -> DataFrame:
+    """Greedy one-to-one matching by score, then ids: the same pairs that taking the best free pair again and again gives.
+
+    A pair that is the best of both its ends would be taken before any other of theirs, so all such pairs are taken in one round.
+    """
+    from claimloom.session import cut
+
+    left, taken = cut(pairs.select(a, b, score)), None
+    order = [F.desc(score), F.asc(a), F.asc(b)]
+    for _ in range(max_rounds):
+        if left.isEmpty():
+            break
+        first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy(*order))
+        best = cut(left.withColumns({"__a": first(a), "__b": first(b)}).where("__a = 1 and __b = 1").select(a, b, score))
+        taken = best if taken is None else taken.union(best)
+        left = cut(left.join(best.select(a), a, "left_anti").join(best.select(b), b, "left_anti"))
+    return taken if taken is not None else left
+
+
+def spread(rows: DataFrame, row: str, groups: list[str], value: str, max_rounds: int = 20) -> DataFrame:
+    """Fills null values from groups whose known values agree, group column by group column, until nothing changes."""
+    from claimloom.session import cut
+
+    state = cut(rows)
+    for _ in range(max_rounds):
+        new = state
+        for g in groups:
+            agreed = new.where(F.col(value).isNotNull()).groupBy(g).agg(F.min(value).alias("__v"), F.max(value).alias("__w")).where("__v = __w").select(g, "__v")
+            new = new.join(agreed, g, "left").withColumn(value, F.coalesce(value, "__v")).drop("__v")
+        new = cut(new.select(*rows.columns))
+        filled = new.where(F.col(value).isNotNull()).count()
+        if filled == state.where(F.col(value).isNotNull()).count():
+            return new
+        state = new
+    raise RuntimeError(f"spreading did not settle in {max_rounds} rounds")
+
+
+def fold_verdicts(candidate: DataFrame, target: DataFrame, key: str, number: str, isbn: str) -> DataFrame:
+    """Whether a candidate line extends its target, duplicates it, or is kept apart: key, verdict."""
+    c = candidate.groupBy(key).agg(F.min(number).alias("lo"), F.count("*").alias("n"))
+    t = target.groupBy(key).agg(F.max(number).alias("hi"))
+    both = candidate.select(key, number, F.col(isbn).alias("x")).join(target.select(key, number, F.col(isbn).alias("y")), [key, number])
+    met = both.groupBy(key).agg(F.count("*").alias("met"), F.count_if(F.col("x") != F.col("y")).alias("clash"))
+    all_ = c.join(t, key).join(met, key, "left").fillna(0, ["met", "clash"])
+    verdict = F.when((F.col("met") == 0) & (F.col("lo") == F.col("hi") + 1), "extend").when((F.col("met") == F.col("n")) & (F.col("clash") == 0), "duplicate").otherwise("kept")
+    return all_.select(key, verdict.alias("verdict"))

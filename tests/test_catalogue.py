@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from claimloom.plans import catalogue
+from claimloom.plans import catalogue, linking  # noqa: F401
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

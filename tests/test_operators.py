@@ -103,3 +103,24 @@ def test_sinks(spark):
     assert {tuple(r) for r in claims.insert_absent(old, new, ["k"]).collect()} == {(1, "a"), (2, "b"), (3, "d")}
     diff = {tuple(r) for r in claims.snapshot_diff(old, new, "k", "v").collect()}
     assert diff == {(1, "a", None, "removed"), (2, "b", "c", "changed"), (3, None, "d", "added")}
+
+
+def test_one_to_one_equals_the_greedy_loop(spark):
+    import random
+
+    rng = random.Random(8)
+    pairs = [(a, 100 + b, rng.randrange(6)) for a in range(15) for b in range(12) if rng.random() < 0.4]
+    want, used = set(), set()
+    for a, b, s in sorted(pairs, key=lambda p: (-p[2], p[0], p[1])):
+        if a not in used and b not in used:
+            used |= {a, b}
+            want.add((a, b, s))
+    df = spark.createDataFrame(pairs, "a int, b int, s int")
+    assert {tuple(r) for r in linkage.one_to_one(df, "a", "b", "s").collect()} == want
+
+
+def test_spread_to_a_fixed_point(spark):
+    rows = [(1, "w", "x", "v"), (2, "w", "y", None), (3, "u", "y", None), (4, "t", "z", None), (5, "q", "k", "1"), (6, "q", "k", "2"), (7, "q", "m", None)]
+    df = spark.createDataFrame(rows, "id int, g string, h string, v string")
+    got = {r.id: r.v for r in linkage.spread(df, "id", ["g", "h"], "v").collect()}
+    assert got == {1: "v", 2: "v", 3: "v", 4: None, 5: "1", 6: "2", 7: None}

@@ -1,7 +1,7 @@
 """Sparse text features for classifiers that train on the driver and score on the executors.
 
-A text is the set of its words (lower-cased runs of letters and digits) and of one bin per shape
-measure. Both are 64-bit hashes; a classifier keeps those that its bounded sample shows to matter.
+A text is the set of its words (lower-cased runs of letters and digits), of their prefixes of some
+lengths, and of one bin per shape measure. All are 64-bit hashes; a classifier keeps those that its bounded sample shows to matter.
 """
 
 from __future__ import annotations
@@ -28,18 +28,20 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))
 
 
-def word_sets(column: pa.Array, shapes: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+def word_sets(column: pa.Array, shapes: bool = False, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """lo, hi, then row and hash of each different feature, and the words of each row."""
     data, offsets = tv.raw(column)
-    for w in tv.words(column, alnum=True):
+    for w in tv.words(column, alnum=True, prefixes=prefixes):
         n = np.diff(w.starts)
-        row = np.repeat(np.arange(len(n), dtype=np.uint64), n)
-        key = w.hashes ^ tv.mix(row + np.uint64(1))
+        own = np.repeat(np.arange(len(n), dtype=np.uint64), n)
+        row = np.concatenate((own, *[own[i] for i, _ in w.heads]))
+        found = np.concatenate((w.hashes, *[h for _, h in w.heads]))
+        key = found ^ tv.mix(row + np.uint64(1))
         order = np.argsort(key)
         new = np.ones(len(order), dtype=bool)
         new[1:] = key[order[1:]] != key[order[:-1]]
         first = order[new]
-        rows, hashes = row[first].astype(np.int64), w.hashes[first]
+        rows, hashes = row[first].astype(np.int64), found[first]
         if shapes:
             b, at = data[offsets[w.lo] : offsets[w.hi]], offsets[w.lo : w.hi + 1] - offsets[w.lo]
             size = np.maximum(np.diff(at), 1)
@@ -52,12 +54,12 @@ def word_sets(column: pa.Array, shapes: bool = False) -> Iterator[tuple[int, int
         yield w.lo, w.hi, rows, hashes, n
 
 
-def sample_features(docs: DataFrame, extra: list[str], shapes: bool) -> list[tuple]:
+def sample_features(docs: DataFrame, extra: list[str], shapes: bool, prefixes: tuple[int, ...] = ()) -> list[tuple]:
     """Brings a sample, which the caller has bounded, to the driver: (features, *extra) a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, rows, hashes, _ in word_sets(batch.column(0), shapes):
+            for lo, hi, rows, hashes, _ in word_sets(batch.column(0), shapes, prefixes):
                 order = np.argsort(rows, kind="stable")
                 data = pa.Array.from_buffers(
                     pa.large_binary(),
@@ -90,7 +92,7 @@ class Vocabulary:
         return rows[ok], at[ok]
 
 
-def contrasts(sets: list[np.ndarray], groups: np.ndarray, least: int, most: int) -> np.ndarray:
+def contrasts(sets: list[np.ndarray], groups: np.ndarray, least: int, most: int, z_least: float = 3.0) -> np.ndarray:
     """The features whose share differs most between any group and the rest, by their z value."""
     if not len(sets):
         return np.zeros(0, dtype=np.uint64)
@@ -108,4 +110,4 @@ def contrasts(sets: list[np.ndarray], groups: np.ndarray, least: int, most: int)
         z = np.abs(inside / size - (total - inside) / (n - size)) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / size + 1 / (n - size)))
         best = np.maximum(best, np.where(total >= least, z, 0))
     order = np.argsort(-best, kind="stable")[:most]
-    return names[order[best[order] > 3.0]]
+    return names[order[best[order] > z_least]]

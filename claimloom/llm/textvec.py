@@ -44,6 +44,7 @@ class Words(NamedTuple):
     starts: np.ndarray
     first: np.ndarray  # of each word, its byte in the row's text
     last: np.ndarray  # and the byte behind it
+    heads: tuple = ()  # for each prefix length asked for: the words that long, and their prefixes' hashes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,7 +100,7 @@ def _spaces(b: np.ndarray) -> np.ndarray:
     return space
 
 
-def words(column: pa.Array, alnum: bool = False, limit: int = SLICE_BYTES) -> Iterator[Words]:
+def words(column: pa.Array, alnum: bool = False, limit: int = SLICE_BYTES, prefixes: tuple[int, ...] = ()) -> Iterator[Words]:
     """Words as str.split() gives them, or lower-cased (ASCII) runs of letters and digits."""
     data, offsets = raw(column)
     for lo, hi in row_slices(offsets, limit):
@@ -118,14 +119,19 @@ def words(column: pa.Array, alnum: bool = False, limit: int = SLICE_BYTES) -> It
         size = np.diff(np.append(begin, len(kept)))
         pos = np.arange(len(kept)) - np.repeat(begin, size)
         value = _BYTE[b[kept]]
+        heads = []
         if len(kept):
             value *= powers(_MULT, int(size.max()))[pos]
             h = mix(np.add.reduceat(value, begin) + size.astype(np.uint64))
+            total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(value))) if prefixes else value
+            for n in prefixes:
+                long = np.flatnonzero(size >= n)
+                heads.append((long, mix(total[begin[long] + n] - total[begin[long]] + np.uint64(n << 32))))
         else:
             h = np.zeros(0, dtype=np.uint64)
         starts = np.searchsorted(first, at)
         row = np.repeat(np.arange(hi - lo), np.diff(starts))
-        yield Words(lo, hi, h, starts, first - at[row], first + size - at[row])
+        yield Words(lo, hi, h, starts, first - at[row], first + size - at[row], tuple(heads))
 
 
 def runs(h: np.ndarray, length: int) -> np.ndarray:

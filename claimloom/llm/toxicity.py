@@ -8,7 +8,7 @@ the unlabelled ones, toxic ones among them. With the class prior p the classifie
 whose second part estimates the risk on clean texts without a single clean label; where it would turn
 negative, its gradient is reversed, which keeps a flexible model from fitting the unlabelled texts. The
 prior is the share of label 1 among all labelled training rows. Loss is logistic, the model linear over
-the words that separate the two samples, trained by numpy on the driver from at most ``POSITIVES`` and
+the words and word prefixes that separate the two samples, trained by numpy on the driver from at most ``POSITIVES`` and
 ``UNLABELLED`` texts, chosen by a hash of their ids among those that occur once. Every whole text is scored where it lies: no shuffle.
 
 Rows of fold 0 (crc32 of the id's text mod 5) never serve in training; null ids are in no fold and do not
@@ -26,13 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.features import Vocabulary, contrasts, held_out, sample_features, word_sets
+from claimloom.llm import textvec as tv
+from claimloom.llm.features import Vocabulary, contrasts, held_out, sample_features
 
 #: Bounds of the training sample and of the model.
 POSITIVES = 4000
 UNLABELLED = 8000
 FEATURES = 4096
 STEPS = 400
+DECAY = 1e-3
+#: Texts of the sample that a feature needs, and its least z value between the two samples.
+LEAST, CONTRAST = 5, 5.0
+#: Bytes of the word prefixes that are features besides the words.
+PREFIXES = (5, 6, 7, 8)
 
 
 @dataclass
@@ -43,9 +49,13 @@ class Model:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         out = np.full(len(column), self.bias)
-        for lo, hi, rows, hashes, _ in word_sets(column):
-            rows, at = self.words.find(rows, hashes)
-            out[lo:hi] += np.bincount(rows, self.weights[at], minlength=hi - lo)
+        for w in tv.words(column, alnum=True, prefixes=PREFIXES):
+            own = np.repeat(np.arange(w.hi - w.lo), np.diff(w.starts))
+            hits = [self.words.find(own, w.hashes), *[self.words.find(own[i], h) for i, h in w.heads]]
+            rows, at = (np.concatenate(x) for x in zip(*hits))
+            # A text is a set: what it repeats counts once.
+            rows, at = np.divmod(np.unique(rows * max(len(self.weights), 1) + at), max(len(self.weights), 1))
+            out[w.lo : w.hi] += np.bincount(rows, self.weights[at], minlength=w.hi - w.lo)
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
@@ -53,14 +63,14 @@ def _soft(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS, decay: float = 2e-4) -> Model:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS, decay: float = DECAY) -> Model:
     """Full-batch Adam on the non-negative risk."""
     if not positive or not 0 < prior < 1:
         share = min(max(prior if prior == prior else 0.0, 1e-6), 1 - 1e-6)
         return Model(Vocabulary(np.zeros(0)), np.zeros(0), float(np.log(share / (1 - share))))
     sets = positive + unlabelled
     group = np.repeat([1, 0], [len(positive), len(unlabelled)])
-    words = Vocabulary(contrasts(sets, group, 3, FEATURES))
+    words = Vocabulary(contrasts(sets, group, LEAST, FEATURES, CONTRAST))
     rows, at = words.find(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets))
     pos, unl = group == 1, group == 0
     w, b = np.zeros(len(words.hashes)), float(np.log(prior / (1 - prior)))
@@ -92,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ]
     # At most POSITIVES + UNLABELLED ids are broadcast, so no text of the corpus is shuffled to find theirs.
     picked = F.broadcast(chosen[0].union(chosen[1]))
-    rows = sample_features(docs.select("doc_id", "text").join(picked, "doc_id"), ["part"], False)
+    rows = sample_features(docs.select("doc_id", "text").join(picked, "doc_id"), ["part"], False, PREFIXES)
     return train([s for s, part in rows if part], [s for s, part in rows if not part], prior)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm import textvec as tv
+from claimloom.session import cut
 
 _UPPER = np.zeros(256, dtype=np.int64)
 _UPPER[65:91] = 1
@@ -54,8 +55,8 @@ def word_sets(column: pa.Array, shapes: bool = False, prefixes: tuple[int, ...]
         yield w.lo, w.hi, rows, hashes, n
 
 
-def sample_features(docs: DataFrame, extra: list[str], shapes: bool, prefixes: tuple[int, ...] = ()) -> list[tuple]:
-    """Brings a sample, which the caller has bounded, to the driver: (features, *extra) a row."""
+def sampled(docs: DataFrame, group: str, shapes: bool, prefixes: tuple[int, ...] = ()) -> DataFrame:
+    """features (their hashes as binary) and group of the rows of a sample; checkpointed, as it is read several times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,11 +67,9 @@ def sample_features(docs: DataFrame, extra: list[str], shapes: bool, prefixes: t
                     hi - lo,
                     [None, pa.py_buffer(np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=hi - lo)))).astype(np.int64) * 8), pa.py_buffer(hashes[order].tobytes())],
                 )
-                yield pa.RecordBatch.from_arrays([data.cast(pa.binary()), *[c.slice(lo, hi - lo) for c in batch.columns[1:]]], names=["features", *extra])
+                yield pa.RecordBatch.from_arrays([data.cast(pa.binary()), batch.column(1).slice(lo, hi - lo)], names=["features", "part"])
 
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in extra)
-    rows = docs.select("text", *extra).mapInArrow(run, f"features binary, {kinds}").collect()
-    return [(np.frombuffer(r[0] or b"", dtype=np.uint64), *r[1:]) for r in rows]
+    return cut(docs.select("text", F.col(group).cast("int").alias("part")).mapInArrow(run, "features binary, part int"))
 
 
 class Vocabulary:
@@ -92,22 +91,44 @@ class Vocabulary:
         return rows[ok], at[ok]
 
 
-def contrasts(sets: list[np.ndarray], groups: np.ndarray, least: int, most: int, z_least: float = 3.0) -> np.ndarray:
-    """The features whose share differs most between any group and the rest, by their z value."""
-    if not len(sets):
-        return np.zeros(0, dtype=np.uint64)
-    flat = np.concatenate(sets)
-    names, which = np.unique(flat, return_inverse=True)
-    own = np.repeat(groups, [len(s) for s in sets])
-    total, n = np.bincount(which, minlength=len(names)), len(sets)
-    best = np.zeros(len(names))
-    for g in np.unique(groups):
-        size = int((groups == g).sum())
-        inside = np.bincount(which[own == g], minlength=len(names))
-        if size == 0 or size == n:
-            continue
-        p = total / n
-        z = np.abs(inside / size - (total - inside) / (n - size)) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / size + 1 / (n - size)))
-        best = np.maximum(best, np.where(total >= least, z, 0))
-    order = np.argsort(-best, kind="stable")[:most]
-    return names[order[best[order] > z_least]]
+def contrasts(sample: DataFrame, least: int, most: int, z_least: float) -> np.ndarray:
+    """The features whose share differs most between any group and the rest, by their z value.
+
+    Counted where the sample lies; at most `most` hashes come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.column(1).to_numpy()
+            for g in np.unique(part):
+                own = [np.frombuffer(batch.column(0)[int(i)].as_buffer(), np.int64) for i in np.flatnonzero(part == g)]
+                names, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.full(len(names), g, dtype=np.int32)), pa.array(n)], names=["feature", "part", "n"])
+
+    sizes = {r.part: r.n for r in sample.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    every = sum(sizes.values())
+    counted = sample.mapInArrow(run, "feature long, part int, n long").groupBy("feature").agg(
+        F.sum("n").alias("total"), *[F.sum(F.when(F.col("part") == g, F.col("n")).otherwise(0)).alias(f"n{g}") for g in sizes]
+    )
+    z, p = F.lit(0.0), F.col("total") / every
+    for g, size in sizes.items():
+        if size < every:
+            inside, outside = F.col(f"n{g}"), F.col("total") - F.col(f"n{g}")
+            spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / size + 1 / (every - size)))
+            z = F.greatest(z, F.abs(inside / size - outside / (every - size)) / spread)
+    best = counted.where(F.col("total") >= least).select("feature", z.alias("z")).where(F.col("z") > z_least).orderBy(F.desc("z"), "feature").limit(most)
+    return np.array([r.feature for r in best.collect()], dtype=np.int64).view(np.uint64)
+
+
+def known_features(sample: DataFrame, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and feature number of what belongs to the vocabulary, and each row's group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [words.find(np.zeros(1, dtype=np.int64).repeat(len(x)), x)[1] for x in (np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array([np.sort(x).astype(np.int32).tobytes() for x in own], pa.binary()), batch.column(1)], names=["at", "part"])
+
+    found = sorted((bytes(r[0]), r[1]) for r in sample.mapInArrow(run, "at binary, part int").collect())
+    lists = [np.frombuffer(x, dtype=np.int32) for x, _ in found]
+    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    return rows, np.concatenate(lists).astype(np.int64) if lists else rows, np.array([g for _, g in found], dtype=np.int64)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.features import Vocabulary, contrasts, sample_features, word_sets
+from claimloom.llm.features import Vocabulary, contrasts, known_features, sampled, word_sets
 from claimloom.session import cut
 
 #: Bounds of the training sample and of the model.
@@ -62,20 +62,19 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Posteriors:
     once = docs.where("doc_id is not null").groupBy("doc_id").count().where("count = 1").select("doc_id")
     # At most LABELLED ids are broadcast, so no text of the corpus is shuffled to find theirs.
     picked = known.join(once, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    rows = sample_features(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), ["domain"], True)
-    sets, y = [r[0] for r in rows], np.array([domains.index(r[1]) for r in rows], dtype=np.int64)
-    c = len(domains)
-    if not sets:
+    number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
+    sample = sampled(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").withColumn("domain", number), "domain", True)
+    words, c = Vocabulary(contrasts(sample, 3, FEATURES, 3.0)), len(domains)
+    row, at, y = known_features(sample, words)
+    if not len(y):
         return Posteriors(Vocabulary(np.zeros(0)), np.zeros((0, c)), np.zeros(c))
-    words = Vocabulary(contrasts(sets, y, 3, FEATURES))
-    row, at = words.find(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets))
     goal = np.eye(c)[y]
-    w, b = np.zeros((len(words.hashes), c)), np.log((goal.sum(axis=0) + 0.5) / (len(sets) + 0.5 * c))
+    w, b = np.zeros((len(words.hashes), c)), np.log((goal.sum(axis=0) + 0.5) / (len(y) + 0.5 * c))
     m, v = np.zeros((len(w) + 1, c)), np.zeros((len(w) + 1, c))
     for step in range(1, STEPS + 1):
-        f = b + np.stack([np.bincount(row, w[at, k], minlength=len(sets)) for k in range(c)], axis=1)
+        f = b + np.stack([np.bincount(row, w[at, k], minlength=len(y)) for k in range(c)], axis=1)
         e = np.exp(f - f.max(axis=1, keepdims=True))
-        g = (e / e.sum(axis=1, keepdims=True) - goal) / len(sets)
+        g = (e / e.sum(axis=1, keepdims=True) - goal) / len(y)
         grad = np.vstack([np.stack([np.bincount(at, g[row, k], minlength=len(w)) for k in range(c)], axis=1) + 2e-4 * w, g.sum(axis=0)])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

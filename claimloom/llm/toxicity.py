@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm import textvec as tv
-from claimloom.llm.features import Vocabulary, contrasts, held_out, sample_features
+from claimloom.llm.features import Vocabulary, contrasts, held_out, known_features, sampled
 
 #: Bounds of the training sample and of the model.
 POSITIVES = 4000
@@ -63,20 +63,16 @@ def _soft(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS, decay: float = DECAY) -> Model:
-    """Full-batch Adam on the non-negative risk."""
-    if not positive or not 0 < prior < 1:
+def train(words: Vocabulary, rows: np.ndarray, at: np.ndarray, group: np.ndarray, prior: float, steps: int = STEPS, decay: float = DECAY) -> Model:
+    """Full-batch Adam on the non-negative risk; group is 1 for positives, 0 for unlabelled rows."""
+    pos, unl = group == 1, group == 0
+    if not pos.any() or not 0 < prior < 1:
         share = min(max(prior if prior == prior else 0.0, 1e-6), 1 - 1e-6)
         return Model(Vocabulary(np.zeros(0)), np.zeros(0), float(np.log(share / (1 - share))))
-    sets = positive + unlabelled
-    group = np.repeat([1, 0], [len(positive), len(unlabelled)])
-    words = Vocabulary(contrasts(sets, group, LEAST, FEATURES, CONTRAST))
-    rows, at = words.find(np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets))
-    pos, unl = group == 1, group == 0
     w, b = np.zeros(len(words.hashes)), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        f = b + np.bincount(rows, w[at], minlength=len(sets))
+        f = b + np.bincount(rows, w[at], minlength=len(group))
         s = 1 / (1 + np.exp(-f))
         clean = (_soft(f[unl]).mean() if unl.any() else 0.0) - prior * _soft(f[pos]).mean()
         up = np.where(pos, -prior * (1 - s) / pos.sum(), 0.0)
@@ -102,8 +98,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ]
     # At most POSITIVES + UNLABELLED ids are broadcast, so no text of the corpus is shuffled to find theirs.
     picked = F.broadcast(chosen[0].union(chosen[1]))
-    rows = sample_features(docs.select("doc_id", "text").join(picked, "doc_id"), ["part"], False, PREFIXES)
-    return train([s for s, part in rows if part], [s for s, part in rows if not part], prior)
+    sample = sampled(docs.select("doc_id", "text").join(picked, "doc_id"), "part", False, PREFIXES)
+    words = Vocabulary(contrasts(sample, LEAST, FEATURES, CONTRAST))
+    return train(words, *known_features(sample, words), prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,10 +1,10 @@
 """Near-duplicate texts by Order MinHash, checked by banded alignment.
 
 A text is its sequence of five-word shingles (k-mers) over lower-cased runs of letters and digits,
-each labelled with its occurrence so that repeats count. Every sketch takes the ``ELL`` smallest
+each labelled with its occurrence for the sketches and the prefix filter so that repeats count. Every sketch takes the ``ELL`` smallest
 labelled k-mers under one permutation and keeps them in text order; two texts are compared if any of
-their ``SKETCHES`` sketches agree. Candidates are verified exactly: the alignment of the two k-mer
-sequences keeps M of them in order, and the texts are near-duplicates if
+their ``SKETCHES`` sketches agree. Candidates are verified exactly: the alignment of the two sequences of
+k-mers without labels keeps M of them in order, and the texts are near-duplicates if
 M / (n + m - M) is at least ``SIMILARITY``. No alignment that good leaves the diagonal by more than the
 k-mers it drops, so matches outside that band are not looked at.
 
@@ -43,10 +43,10 @@ _ODD = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(1, 2**63, 64, dtype=np.uint64)
 
 
-def _kmers(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _kmers(column: pa.Array, labels: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for w in tv.words(column, alnum=True):
         s, at = tv.shingles(w, K)
-        yield w.lo, tv.labelled(s, at), at
+        yield w.lo, tv.labelled(s, at) if labels else s, at
 
 
 def order_sketches(s: np.ndarray, at: np.ndarray, sketches: int, ell: int) -> np.ndarray:
@@ -78,15 +78,58 @@ def order_sketches(s: np.ndarray, at: np.ndarray, sketches: int, ell: int) -> np
     return out
 
 
+def _repeats_aligned(a: np.ndarray, b: np.ndarray, need: float) -> int:
+    """Length of the longest common subsequence, k-mers may repeat; 0 where a bound says it is below need.
+
+    A row of the dynamic programme is one number with a bit for each place of b (Hyyrö).
+    """
+    ends = np.zeros(2, dtype=np.int64)
+    for k, step in enumerate((1, -1)):
+        short = min(len(a), len(b))
+        same = a[::step][:short] == b[::step][:short]
+        ends[k] = short if same.all() else np.argmin(same)
+        a, b = (a[ends[0] :], b[ends[0] :]) if not k else (a[: len(a) - ends[1]], b[: len(b) - ends[1]])
+    both = int(ends.sum())
+    ka, na = np.unique(a, return_counts=True)
+    kb, nb = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
+    if both + np.minimum(na[i], nb[j]).sum() < need - 1e-9:
+        return 0
+    places: dict[int, list[int]] = {}
+    for at, x in enumerate(b.tolist()):
+        places.setdefault(x, []).append(at)
+    often: dict[int, int] = {}
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a.tolist():
+        at = places.get(x)
+        if at is None:
+            continue
+        if len(at) == 1:
+            met = row & (1 << at[0])
+        else:
+            if x not in often:
+                bits = np.zeros(len(b), dtype=np.uint8)
+                bits[at] = 1
+                often[x] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            met = row & often[x]
+        row = ((row + met) | (row - met)) & full
+    return both + len(b) - row.bit_count()
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, at_least: float = SIMILARITY) -> float:
-    """M / (n + m - M) for the longest common subsequence M inside the band; 0 where it is below at_least.
+    """M / (n + m - M) for the longest common subsequence M; 0 where it is below at_least.
 
-    Labelled k-mers are unique in a text, so the best alignment is the longest increasing run of positions.
+    Where no k-mer repeats in a text, the best alignment is the longest increasing run of positions in the band.
     """
     n, m = len(a), len(b)
     need = at_least * (n + m) / (1 + at_least)
     if not n or not m or min(n, m) < need - 1e-9:
         return 0.0
+    if len(np.unique(a)) < n or len(np.unique(b)) < m:
+        kept = _repeats_aligned(a, b, need)
+        score = kept / (n + m - kept)
+        return score if score >= at_least - 1e-12 else 0.0
     order = np.argsort(b, kind="stable")
     found = np.minimum(np.searchsorted(b[order], a), m - 1)
     j = order[found]
@@ -130,7 +173,8 @@ def _sketch(sketches: int, ell: int):
 
 def _kmer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, s, at in _kmers(batch.column(1)):
+        for lo, s, at in _kmers(batch.column(1), labels=False):
+            # Without labels, for the alignment; the prefix filter labels them again.
             data = pa.Array.from_buffers(
                 pa.large_binary(), len(at) - 1, [None, pa.py_buffer((at * 8).astype(np.int64)), pa.py_buffer(s.tobytes())]
             )
@@ -160,7 +204,9 @@ def verified_pairs(pairs: DataFrame, kmers: DataFrame, at_least: float = SIMILAR
 def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            k = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.int64)
+            k = np.frombuffer(batch.column(2)[i].as_buffer(), dtype=np.uint64)
+            # In a row of its own a k-mer gets the same label in every text.
+            k = tv.labelled(k, np.array([0, len(k)])).view(np.int64)
             of = pa.array(np.full(len(k), i))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(k), pa.array(np.full(len(k), len(k)))], names=["node", "component", "kmer", "n"])
 

@@ -98,3 +98,30 @@ def test_alignment_equals_dynamic_programme():
             b[[i, i + 1]] = b[[i + 1, i]]
         true = ordered_similarity(list(a), list(b))
         assert omh.aligned_similarity(a, b) == pytest.approx(true if true >= 0.8 - 1e-12 else 0.0)
+
+
+def test_alignment_of_repeats_equals_dynamic_programme():
+    rng = np.random.default_rng(9)
+    above = 0
+    for _ in range(400):
+        a = rng.integers(0, rng.choice([2, 5, 30]), rng.integers(1, 70)).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 6)))
+        for _ in range(rng.integers(0, 3)):
+            b = np.insert(b, rng.integers(0, len(b) + 1), np.uint64(rng.integers(0, 30)))
+        true = ordered_similarity(list(a), list(b))
+        above += true >= 0.8
+        assert omh.aligned_similarity(a, b) == pytest.approx(true if true >= 0.8 - 1e-12 else 0.0)
+    assert above > 100
+
+
+def test_edited_repeated_lines_stay_near_duplicates(spark):
+    rng = random.Random(2)
+    line = [f"line{i}" for i in range(10)]
+    words = [w for _ in range(15) for w in line + [f"u{rng.randrange(10**6)}" for _ in range(20)]]
+    copy = list(words)
+    copy[4] = "edited"
+    rows = [(0, " ".join(words)), (1, " ".join(copy)), (2, " ".join(words[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, links = brute_classes(rows)
+    assert links == 1 and {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()} == want
+    assert sorted(r.doc_id for r in omh.keep_one_of_each(docs).collect()) == [0, 2]

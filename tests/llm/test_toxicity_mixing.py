@@ -80,3 +80,16 @@ def test_rates_meet_targets(spark, corpus):
         copies[r.doc_id] = copies.get(r.doc_id, 0) + r.copies
     mixed = [r.doc_id for r in mixing.mix(docs, lab, targets).collect()]
     assert {d: mixed.count(d) for d in set(mixed)} == {d: n for d, n in copies.items() if n}
+
+
+def test_rates_are_fitted_to_the_end(spark):
+    # Overlapping domains: the posteriors hardly tell them apart.
+    rng = np.random.default_rng(5)
+    f = np.log([0.7, 0.28, 0.02]) + rng.normal(size=(3000, 3)) * 0.6
+    p = np.exp(f) / np.exp(f).sum(axis=1, keepdims=True)
+    members = spark.createDataFrame([(int(n), x) for n, x in zip(rng.integers(1, 500, 3000), p.tolist())], "tokens long, posteriors array<double>")
+    duals, off = mixing.fit_rates(members, np.array([0.5, 0.3, 0.2]))
+    tokens = np.array([r.tokens for r in members.collect()], dtype=float)
+    rate = mixing.rates_of(p, duals)
+    assert np.abs(off).sum() <= 1e-5
+    assert np.allclose((tokens * rate) @ p / tokens.sum(), [0.5, 0.3, 0.2], atol=1e-5) and (rate >= 0).all()

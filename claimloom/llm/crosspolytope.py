@@ -1,9 +1,9 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-For the largest inner product a vector x becomes the unit vector (x, sqrt(M^2 - |x|^2)) / M with M the largest norm,
-a query q becomes (q, 0) / |q|. Padded with zeros to a power of two that leaves room, vectors go through a
+For the largest inner product a vector x becomes the unit vector (x, sqrt(M^2 - |x|^2)) / M with M the upper end of its
+norm band, the next power of ``BAND``, so that a few long vectors leave the buckets of the others as they are; a query q becomes (q, 0) / |q|. Padded with zeros to a power of two that leaves room, vectors go through a
 pseudo-rotation, three rounds of random signs and a fast Hadamard transform; the hash is the signed
-axis that lies nearest. ``TABLES`` independent rotations give as many tables. A row lies in one bucket a
+axis that lies nearest. Each band has buckets of its own, and a query probes those of every band. ``TABLES`` independent rotations give as many tables. A row lies in one bucket a
 table; a query looks into the ``PROBES`` buckets whose axes lie nearest to it. What it meets there is reranked by
 the exact inner product of the original vectors in double precision.
 
@@ -35,6 +35,8 @@ TABLES = 16
 PROBES = 6
 CELL = 8192
 SEED = 4711
+#: Norms of a band differ by this factor at most. A power of it is moved up a little, so that unit vectors lie under their own M.
+BAND = 1.25
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -64,7 +66,24 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, x.size + 1, max(x.shape[1], 1), dtype=np.int32), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def _index(tables: int, largest: float, copies: int):
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Norms, safe where squares leave the range of doubles."""
+    most = np.abs(x).max(axis=1)
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(axis=1))
+
+
+def bands(norms: np.ndarray) -> np.ndarray:
+    """The band of each norm: norms of band i are at most BAND ** i."""
+    return np.ceil(np.log(norms) / np.log(BAND) - 1e-6).astype(np.int64)
+
+
+def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bands(lengths(matrix(batch.column(1))))))], names=["band"])
+
+
+def _index(tables: int, copies: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -73,17 +92,23 @@ def _index(tables: int, largest: float, copies: int):
             _, same = np.unique(x, axis=0, return_inverse=True)
             kept = keep_best(same.ravel(), ids, np.zeros(len(ids)), copies)
             ids, x = ids[kept], x[kept]
-            unit = padded(x / largest, np.sqrt(np.maximum(0, 1 - ((x / largest) ** 2).sum(axis=1))))
+            band = bands(lengths(x))
+            y = x / BAND ** band.astype(np.float64)[:, None]
+            unit = padded(y, np.sqrt(np.maximum(0, 1 - (y**2).sum(axis=1))))
             data = _lists(x)
             for t in range(tables):
                 r = rotated(unit, t)
                 axis = np.argmax(np.abs(r), axis=1)
                 code = 2 * axis + (r[np.arange(len(r)), axis] < 0)
-                yield pa.RecordBatch.from_arrays([pa.array((t << 32) + code), pa.array(ids), data], names=["bucket", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array((t << 32) + code), pa.array(band), pa.array(ids), data], names=["axis", "band", "vec_id", "embedding"])
 
     return run
 
 
+def _bucket():
+    return F.xxhash64("axis", "band")
+
+
 def _probe(tables: int, probes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +123,7 @@ def _probe(tables: int, probes: int):
                 take = pa.array(np.repeat(np.arange(len(q)), near.shape[1]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((t << 32) + near.ravel().astype(np.int64)), batch.column(0).take(take), batch.column(1).take(take)],
-                    names=["bucket", "key", "embedding"],
+                    names=["axis", "key", "embedding"],
                 )
 
     return run
@@ -144,17 +169,17 @@ def _scan(k: int):
 def neighbours(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, tables: int = TABLES, probes: int = PROBES, cell: int = CELL) -> DataFrame:
     """query_id, rank, vec_id, score for every row whose vec_id is divisible by `every`."""
     rows = taking_part(vectors, zero=False)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    largest = rows.agg(F.max(norm).alias("m")).first().m or 1.0
     kind = "vec_id long, embedding array<double>"
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
     members = asked.select(F.col("vec_id").alias("query_id"), F.xxhash64("embedding").alias("key"), "embedding")
     members = cut(members)
     queries = members.groupBy("key").agg(F.min("embedding").alias("embedding"))
     # The query itself may be met, so one more than k is looked for.
-    index = rows.mapInArrow(_index(tables, largest, k + 1), f"bucket long, {kind}")
-    probe = queries.mapInArrow(_probe(tables, probes), "bucket long, key long, embedding array<double>")
-    # A row a bucket: tables x twice the padded length, whatever the corpus.
+    index = rows.mapInArrow(_index(tables, k + 1), f"axis long, band long, {kind}").withColumn("bucket", _bucket())
+    # A row for each band of norms that occurs.
+    found_bands = F.broadcast(cut(rows.mapInArrow(_band_rows, "band long").distinct()))
+    probe = queries.mapInArrow(_probe(tables, probes), "axis long, key long, embedding array<double>").crossJoin(found_bands).withColumn("bucket", _bucket())
+    # A row a bucket: tables x twice the padded length x bands of norms, whatever the number of rows.
     parts = index.groupBy("bucket").agg(F.ceil(F.count("*") / cell).cast("int").alias("rows_in"))
     asks = probe.groupBy("bucket").agg(F.ceil(F.count("*") / cell).cast("int").alias("asks_in"))
     grid = cut(parts.join(asks, "bucket"))

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimloom.llm import crosspolytope, segtopk
@@ -83,3 +84,24 @@ def test_few_rows_find_all(spark):
     df = spark.createDataFrame([(i, [float(i + 1), 1.0, -float(i)]) for i in range(5)], "vec_id long, embedding array<double>")
     assert [c for c, _ in lists(crosspolytope.neighbours(df).collect())[0]] == [4, 3, 2, 1]
     assert crosspolytope.neighbours(df.limit(0)).count() == 0 and segtopk.integer_top_k(df.limit(0)).count() == 0
+
+
+def test_one_long_vector_does_not_spoil_the_buckets():
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(150, 32))[rng.integers(0, 150, 6000)] + rng.normal(size=(6000, 32)) * 0.7
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x[1] *= 30
+    kinds = {"bucket": crosspolytope._index(crosspolytope.TABLES, 21), "probe": crosspolytope._probe(crosspolytope.TABLES, crosspolytope.PROBES)}
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), crosspolytope._lists(x)], names=["vec_id", "embedding"])
+    rows = pa.Table.from_batches(kinds["bucket"](iter([batch])))
+    asked = pa.Table.from_batches(kinds["probe"](iter([batch.slice(100, 100)])))
+    members = {}
+    for a, b, i in zip(*(rows.column(c).to_pylist() for c in ("axis", "band", "vec_id"))):
+        members.setdefault(a, {}).setdefault(b, []).append(i)
+    met = {}
+    for a, q in zip(asked.column("axis").to_pylist(), asked.column("key").to_pylist()):
+        for ids in members.get(a, {}).values():
+            met.setdefault(q, set()).update(ids)
+    hits = [len(set(np.argsort(-(x[2:] @ x[q]))[:20] + 2) & met[q]) / 20 for q in range(100, 200)]
+    assert np.mean(hits) >= 0.9
+    assert len(set(rows.column("band").to_pylist())) == 2

@@ -90,18 +90,18 @@ def attach_roles(votes: DataFrame, mine: str, theirs: str, shared: str, n_mine:
     return best.withColumn("role", F.when(nth == 1, "merged").otherwise("sibling"))
 
 
-def one_to_one(pairs: DataFrame, a: str, b: str, score: str, max_rounds: int = 50) -> DataFrame:
+def one_to_one(pairs: DataFrame, a: str, b: str, score: str) -> DataFrame:
     """Greedy one-to-one matching by score, then ids: the same pairs that taking the best free pair again and again gives.
 
     A pair that is the best of both its ends would be taken before any other of theirs, so all such pairs are taken in one round.
+    Pairs with a null end are left out.
     """
     from claimloom.session import cut
 
-    left, taken = cut(pairs.select(a, b, score)), None
+    left, taken = cut(pairs.select(a, b, score).where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct()), None
     order = [F.desc(score), F.asc(a), F.asc(b)]
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
+    # The best pair of all is taken in every round, so the rounds end.
+    while not left.isEmpty():
         first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy(*order))
         best = cut(left.withColumns({"__a": first(a), "__b": first(b)}).where("__a = 1 and __b = 1").select(a, b, score))
         taken = best if taken is None else taken.union(best)

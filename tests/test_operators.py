@@ -124,3 +124,10 @@ def test_spread_to_a_fixed_point(spark):
     df = spark.createDataFrame(rows, "id int, g string, h string, v string")
     got = {r.id: r.v for r in linkage.spread(df, "id", ["g", "h"], "v").collect()}
     assert got == {1: "v", 2: "v", 3: "v", 4: None, 5: "1", 6: "2", 7: None}
+
+
+def test_one_to_one_follows_a_long_chain(spark):
+    # Falling scores free one pair a round: 52 rounds.
+    pairs = [(k // 2 + k % 2, 1000 + k // 2, 200 - k) for k in range(103)]
+    df = spark.createDataFrame([*pairs, pairs[0], (None, 1000, 500), (None, None, 1)], "a int, b int, s int")
+    assert {tuple(r) for r in linkage.one_to_one(df, "a", "b", "s").collect()} == set(pairs[::2])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.session import cut
+from claimloom.session import cut, release
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -17,7 +17,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     both = cut(pairs.union(pairs.select("b", "a")).distinct())
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component"))
+    labels, last = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component")), None
     for _ in range(max_rounds):
         seen = labels.select(F.col("node").alias("b"), F.col("component").alias("c"))
         near = both.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("c").alias("near"))
@@ -26,8 +26,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         )
         jump = labels.select(F.col("node").alias("via"), F.col("component").alias("root"))
         moved = cut(step.join(jump, "via", "left").select("node", "was", F.least("via", "root").alias("component")))
-        labels = moved.select("node", "component")
+        release(last)
+        labels, last = moved.select("node", "component"), moved
         if moved.where("was <> component").isEmpty():
+            release(both)
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
@@ -39,11 +41,12 @@ def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id",
     smallest); ids on a cycle, which have no last successor, get a null final_id.
     """
     one = links.where(F.col(old).isNotNull() & F.col(new).isNotNull()).groupBy(F.col(old).alias("old_id")).agg(F.min(new).alias("to"))
-    state = cut(one)
+    state = last = cut(one)
     for _ in range(max_rounds):
         ahead = state.select(F.col("old_id").alias("to"), F.col("to").alias("next"))
         moved = cut(state.join(ahead, "to", "left").select("old_id", F.col("to").alias("was"), F.coalesce("next", "to").alias("to")))
-        state = moved.select("old_id", "to")
+        release(last)
+        state, last = moved.select("old_id", "to"), moved
         if moved.where("was <> to").isEmpty():
             break
     looping = one.select(F.col("old_id").alias("to"), F.lit(True).alias("loops"))

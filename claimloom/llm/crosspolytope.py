@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.vectors import exact_products, in_blocks, keep_best, matrix, merge_best, taking_part
-from claimloom.session import cut
+from claimloom.session import cut, release
 
 K = 20
 QUERY_EVERY = 20
 TABLES = 16
-PROBES = 6
+PROBES = 14
 CELL = 8192
 SEED = 4711
 #: Norms of a band differ by this factor at most. A power of it is moved up a little, so that unit vectors lie under their own M.
@@ -77,13 +77,7 @@ def bands(norms: np.ndarray) -> np.ndarray:
     return np.ceil(np.log(norms) / np.log(BAND) - 1e-6).astype(np.int64)
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bands(lengths(matrix(batch.column(1))))))], names=["band"])
-
-
-def _index(tables: int, copies: int):
+def _index(tables: int, copies: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -95,12 +89,12 @@ def _index(tables: int, copies: int):
             band = bands(lengths(x))
             y = x / BAND ** band.astype(np.float64)[:, None]
             unit = padded(y, np.sqrt(np.maximum(0, 1 - (y**2).sum(axis=1))))
-            data = _lists(x)
+            codes = np.zeros((len(x), tables), dtype=np.int64)
             for t in range(tables):
                 r = rotated(unit, t)
                 axis = np.argmax(np.abs(r), axis=1)
-                code = 2 * axis + (r[np.arange(len(r)), axis] < 0)
-                yield pa.RecordBatch.from_arrays([pa.array((t << 32) + code), pa.array(band), pa.array(ids), data], names=["axis", "band", "vec_id", "embedding"])
+                codes[:, t] = (t << 32) + 2 * axis + (r[np.arange(len(r)), axis] < 0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(band), _lists(codes), _lists(x.astype(kind))], names=["vec_id", "band", "axes", "embedding"])
 
     return run
 
@@ -109,22 +103,19 @@ def _bucket():
     return F.xxhash64("axis", "band")
 
 
-def _probe(tables: int, probes: int):
+def _probe(tables: int, probes: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             q = matrix(batch.column(1))
-            unit = padded(q / np.sqrt((q * q).sum(axis=1, keepdims=True)), np.zeros(len(q)))
+            unit = padded(q / lengths(q)[:, None], np.zeros(len(q)))
+            axes = []
             for t in range(tables):
                 r = rotated(unit, t)
                 both = np.stack((r, -r), axis=2).reshape(len(r), -1)
-                near = np.argsort(-both, axis=1, kind="stable")[:, :probes]
-                take = pa.array(np.repeat(np.arange(len(q)), near.shape[1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((t << 32) + near.ravel().astype(np.int64)), batch.column(0).take(take), batch.column(1).take(take)],
-                    names=["axis", "key", "embedding"],
-                )
+                axes.append((t << 32) + np.argsort(-both, axis=1, kind="stable")[:, :probes])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(np.concatenate(axes, axis=1).astype(np.int64)), _lists(q.astype(kind))], names=["key", "axes", "embedding"])
 
     return run
 
@@ -169,16 +160,20 @@ def _scan(k: int):
 def neighbours(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, tables: int = TABLES, probes: int = PROBES, cell: int = CELL) -> DataFrame:
     """query_id, rank, vec_id, score for every row whose vec_id is divisible by `every`."""
     rows = taking_part(vectors, zero=False)
-    kind = "vec_id long, embedding array<double>"
+    # Vectors travel as wide as they came.
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind, real = ("float", np.float32) if single else ("double", np.float64)
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
-    members = asked.select(F.col("vec_id").alias("query_id"), F.xxhash64("embedding").alias("key"), "embedding")
-    members = cut(members)
+    members = cut(asked.select(F.col("vec_id").alias("query_id"), F.xxhash64("embedding").alias("key"), "embedding"))
     queries = members.groupBy("key").agg(F.min("embedding").alias("embedding"))
-    # The query itself may be met, so one more than k is looked for.
-    index = rows.mapInArrow(_index(tables, k + 1), f"axis long, band long, {kind}").withColumn("bucket", _bucket())
-    # A row for each band of norms that occurs.
-    found_bands = F.broadcast(cut(rows.mapInArrow(_band_rows, "band long").distinct()))
-    probe = queries.mapInArrow(_probe(tables, probes), "axis long, key long, embedding array<double>").crossJoin(found_bands).withColumn("bucket", _bucket())
+    # Every row is turned once; the query itself may be met, so one more than k is looked for.
+    indexed = cut(rows.mapInArrow(_index(tables, k + 1, real), f"vec_id long, band long, axes array<long>, embedding array<{kind}>"))
+    index = indexed.select("vec_id", "embedding", "band", F.explode("axes").alias("axis")).withColumn("bucket", _bucket())
+    # Norms of doubles span some 6,400 bands at most.
+    found_bands = sorted(r.band for r in indexed.select("band").distinct().collect())
+    asking = cut(queries.mapInArrow(_probe(tables, probes, real), f"key long, axes array<long>, embedding array<{kind}>"))
+    probe = asking.select("key", "embedding", F.explode("axes").alias("axis"))
+    probe = probe.withColumn("band", F.explode(F.array(*[F.lit(b).cast("long") for b in found_bands]) if found_bands else F.expr("cast(array() as array<long>)"))).withColumn("bucket", _bucket())
     # A row a bucket: tables x twice the padded length x bands of norms, whatever the number of rows.
     parts = index.groupBy("bucket").agg(F.ceil(F.count("*") / cell).cast("int").alias("rows_in"))
     asks = probe.groupBy("bucket").agg(F.ceil(F.count("*") / cell).cast("int").alias("asks_in"))
@@ -200,4 +195,6 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, tables:
     short = queries.join(enough, "key", "left_anti").select("key", "embedding")
     more = in_blocks(short, rows, _scan(k + 1), "key long, vec_id long, score double")
     found = members.select("query_id", "key").join(best.select("key", "vec_id", "score").union(more), "key").where("query_id <> vec_id")
-    return merge_best(found.drop("key"), "query_id", k).select("query_id", "rank", "vec_id", "score")
+    out = cut(merge_best(found.drop("key"), "query_id", k).select("query_id", "rank", "vec_id", "score"))
+    release(members, indexed, asking, grid, best)
+    return out

@@ -10,12 +10,13 @@ rounding and a bound equal to the k-th score is not pruned, so ties are exact.
 Queries go in blocks against all rows; each task keeps k results a query, and these are merged.
 Null vectors, those with null or non-finite components, of another length than most, or without vec_id take
 no part; zero vectors do. Repeated rows count once, and an id never finds itself. An id with several vectors is
-a query by the largest, and as a candidate counts once with its best score. Products beyond 64 bits are cut to the
-range of a long. An empty table gives no row. Other columns are never read.
+a query by the largest, and as a candidate counts once with its best score. Products are exact
+integers; those beyond +-(2^63 - 1), which no long holds, count as that, so they tie. An empty table gives no row. Other columns are never read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from claimloom.llm.vectors import ROWS, in_blocks, keep_best, matrix, merge_best
 SCALE = 1024
 K = 10
 QUERY_EVERY = 100
+#: Longs end here; a product beyond is this much, with its sign.
+MOST = 2**63 - 1
 #: Segments a vector, coarse to fine.
 LEVELS = (4, 16)
 
@@ -46,34 +49,50 @@ def least_squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T
 
 
+def _component(x: float, scale: int) -> int:
+    """floor(scale * x); a double of 2^53 or more is whole, and its product may leave the doubles."""
+    return int(x) * scale if abs(x) >= 2.0**53 else math.floor(x * scale)
+
+
 def _search(k: int, scale: int, levels: tuple[int, ...]):
     def run(ids: np.ndarray, vectors: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = np.floor(vectors * scale)
-        qn = (q * q).sum(axis=1)
+        with np.errstate(over="ignore"):
+            q = np.floor(vectors * scale)
+            qn = (q * q).sum(axis=1)
         stats = [segment_statistics(q, s) for s in levels]
         owner, best_id, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
         floor = np.full(len(q), -np.inf)
         for batch in batches:
             all_rows, all_ids = matrix(batch.column(1)), batch.column(0).to_numpy()
             for lo in range(0, len(all_ids), ROWS):
-                x, own = np.floor(all_rows[lo : lo + ROWS] * scale), all_ids[lo : lo + ROWS]
-                xn = (x * x).sum(axis=1)
-                wide = np.sqrt(qn.max() * xn.max()) >= 2.0**52 if len(x) else False
-                at_q, at_x = np.nonzero(ids[:, None] != own[None, :]) if wide else (None, None)
-                if not wide:
-                    alive = ids[:, None] != own[None, :]
-                    for level, s in zip(stats, levels):
-                        least = least_squared_distances(level, segment_statistics(x, s))
-                        most = (qn[:, None] + xn[None, :] - least) / 2
-                        alive &= most + 1e-9 * (qn[:, None] + xn[None, :]) + 1e-6 >= floor[:, None]
-                    at_q, at_x = np.nonzero(alive)
-                for a in range(0, len(at_q), 1 << 18):
-                    i, j = at_q[a : a + (1 << 18)], at_x[a : a + (1 << 18)]
-                    if wide:
-                        exact = [sum(int(u) * int(v) for u, v in zip(q[s], x[t])) for s, t in zip(i, j)]
-                        score = np.array([max(-(2**63), min(2**63 - 1, e)) for e in exact], dtype=object)
-                        yield _batch(ids[i], own[j], score)
-                        continue
+                raw, own = all_rows[lo : lo + ROWS], all_ids[lo : lo + ROWS]
+                with np.errstate(over="ignore"):
+                    x = np.floor(raw * scale)
+                    xn = (x * x).sum(axis=1)
+                    wide = len(x) > 0 and not np.sqrt(qn.max()) * np.sqrt(xn.max()) < 2.0**52
+                if wide:
+                    # Integers of any size, one query at a time.
+                    whole = [[_component(v, scale) for v in row] for row in raw]
+                    for i, vector in enumerate(vectors):
+                        at = np.flatnonzero(own != ids[i])
+                        one = [_component(v, scale) for v in vector]
+                        score = np.array([min(MOST, max(-MOST, sum(map(int.__mul__, one, whole[t])))) for t in at], dtype=np.int64)
+                        kept = keep_best(np.zeros(len(at), dtype=np.int64), own[at], score, k)
+                        yield _batch(np.full(len(kept), ids[i]), own[at][kept], score[kept])
+                    continue
+                # Rows and queries that the coarse bound rules out altogether never get a fine one.
+                at_q, at_x = np.arange(len(q)), np.arange(len(x))
+                alive = ids[:, None] != own[None, :]
+                for level, s in zip(stats, levels):
+                    least = least_squared_distances(level[at_q], segment_statistics(x[at_x], s))
+                    both = qn[at_q][:, None] + xn[at_x][None, :]
+                    alive &= (both - least) / 2 + 1e-9 * both + 1e-6 >= floor[at_q][:, None]
+                    rows, columns = alive.any(axis=1), alive.any(axis=0)
+                    at_q, at_x, alive = at_q[rows], at_x[columns], alive[rows][:, columns]
+                i_all, j_all = np.nonzero(alive)
+                i_all, j_all = at_q[i_all], at_x[j_all]
+                for a in range(0, len(i_all), 1 << 18):
+                    i, j = i_all[a : a + (1 << 18)], j_all[a : a + (1 << 18)]
                     score = np.einsum("ij,ij->i", q[i], x[j])
                     ok = score >= floor[i]
                     i, j, score = i[ok], j[ok], score[ok]

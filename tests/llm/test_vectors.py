@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from claimloom.llm import crosspolytope, segtopk
+from claimloom.llm import crosspolytope, queries, segtopk
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +63,24 @@ def test_wide_integers(spark):
     assert got[0][0] == (1, 2**63 - 1) and got[0][1][0] == 2
 
 
+def test_products_beyond_a_long_saturate(spark):
+    df = spark.createDataFrame([(0, [1e306, 1.0]), (1, [-1e306, 1.0]), (2, [1e306, 0.0]), (3, [0.5, 2.0])], "vec_id long, embedding array<double>")
+    assert lists(segtopk.integer_top_k(df).collect())[0] == [(2, 2**63 - 1), (3, 2**63 - 1), (1, -(2**63) + 1)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_the_query_on_its_table(spark, sf):
+    found = lists(queries.op1_cross_polytope(spark, f"/root/testdata/{sf}").collect())
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
+    hit = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += sum(score >= np.sort(s)[-20] - 1e-9 for _, score in found[int(ids[q])])
+    assert hit / (20 * len(found)) >= 0.9 and len(found) == (ids % 20 == 0).sum()
+
+
 def test_neighbours_recall_and_scores(spark, table):
     df = spark.createDataFrame(table, "vec_id long, embedding array<float>, score int")
     got = lists(crosspolytope.neighbours(df, k=10, every=20, cell=64).collect())
@@ -91,17 +109,19 @@ def test_one_long_vector_does_not_spoil_the_buckets():
     x = rng.normal(size=(150, 32))[rng.integers(0, 150, 6000)] + rng.normal(size=(6000, 32)) * 0.7
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
     x[1] *= 30
-    kinds = {"bucket": crosspolytope._index(crosspolytope.TABLES, 21), "probe": crosspolytope._probe(crosspolytope.TABLES, crosspolytope.PROBES)}
+    kinds = {"bucket": crosspolytope._index(crosspolytope.TABLES, 21, np.float64), "probe": crosspolytope._probe(crosspolytope.TABLES, crosspolytope.PROBES, np.float64)}
     batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), crosspolytope._lists(x)], names=["vec_id", "embedding"])
     rows = pa.Table.from_batches(kinds["bucket"](iter([batch])))
     asked = pa.Table.from_batches(kinds["probe"](iter([batch.slice(100, 100)])))
     members = {}
-    for a, b, i in zip(*(rows.column(c).to_pylist() for c in ("axis", "band", "vec_id"))):
-        members.setdefault(a, {}).setdefault(b, []).append(i)
+    for axes, b, i in zip(*(rows.column(c).to_pylist() for c in ("axes", "band", "vec_id"))):
+        for a in axes:
+            members.setdefault(a, {}).setdefault(b, []).append(i)
     met = {}
-    for a, q in zip(asked.column("axis").to_pylist(), asked.column("key").to_pylist()):
-        for ids in members.get(a, {}).values():
-            met.setdefault(q, set()).update(ids)
+    for axes, q in zip(asked.column("axes").to_pylist(), asked.column("key").to_pylist()):
+        for a in axes:
+            for ids in members.get(a, {}).values():
+                met.setdefault(q, set()).update(ids)
     hits = [len(set(np.argsort(-(x[2:] @ x[q]))[:20] + 2) & met[q]) / 20 for q in range(100, 200)]
     assert np.mean(hits) >= 0.9
     assert len(set(rows.column("band").to_pylist())) == 2

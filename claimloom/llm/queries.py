@@ -69,4 +69,4 @@ QUERIES = {
         op10_order_minhash,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_segment_top_k": segtopk.ORACLE, "op7_host_reputation": hosts.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_segment_top_k": segtopk.ORACLE, "op7_host_reputation": hosts.ORACLE, "op8_byte_shards": sharding.ORACLE}

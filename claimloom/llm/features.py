@@ -29,14 +29,21 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))
 
 
-def word_sets(column: pa.Array, shapes: bool = False, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """lo, hi, then row and hash of each different feature, and the words of each row."""
+def word_sets(column: pa.Array, shapes: bool = False, prefixes: tuple[int, ...] = (), known: Vocabulary | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """lo, hi, then row and hash of each different feature, and the words of each row.
+
+    With a vocabulary only its words are listed (all count for the shapes), so few are left to sort.
+    """
     data, offsets = tv.raw(column)
     for w in tv.words(column, alnum=True, prefixes=prefixes):
         n = np.diff(w.starts)
         own = np.repeat(np.arange(len(n), dtype=np.uint64), n)
         row = np.concatenate((own, *[own[i] for i, _ in w.heads]))
         found = np.concatenate((w.hashes, *[h for _, h in w.heads]))
+        different = _different(row, found, len(n)) if shapes else None
+        if known is not None:
+            maybe = known.maybe(found)
+            row, found = row[maybe], found[maybe]
         key = found ^ tv.mix(row + np.uint64(1))
         order = np.argsort(key)
         new = np.ones(len(order), dtype=bool)
@@ -47,7 +54,7 @@ def word_sets(column: pa.Array, shapes: bool = False, prefixes: tuple[int, ...]
             b, at = data[offsets[w.lo] : offsets[w.hi]], offsets[w.lo : w.hi + 1] - offsets[w.lo]
             size = np.maximum(np.diff(at), 1)
             share = [np.diff(np.concatenate(([0], np.cumsum(c[b])))[at]) / size for c in (_UPPER, _DIGIT, _MARK)]
-            share.append(np.bincount(rows, minlength=len(n)) / np.maximum(n, 1))
+            share.append(different / np.maximum(n, 1))
             for k, x in enumerate(share):
                 bins = np.searchsorted(_EDGES, x, side="right").astype(np.uint64)
                 rows = np.concatenate((rows, np.arange(len(n))))
@@ -72,6 +79,15 @@ def sampled(docs: DataFrame, group: str, shapes: bool, prefixes: tuple[int, ...]
     return cut(docs.select("text", F.col(group).cast("int").alias("part")).mapInArrow(run, "features binary, part int"))
 
 
+def _different(row: np.ndarray, found: np.ndarray, rows: int) -> np.ndarray:
+    """Different features of each row: one sort of plain numbers, the row above 44 bits of the hash."""
+    key = (row << np.uint64(44)) | (found & np.uint64((1 << 44) - 1))
+    key.sort()
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    return np.bincount((key[new] >> np.uint64(44)).astype(np.int64), minlength=rows)
+
+
 class Vocabulary:
     """Feature hashes, sorted, with a small table that rules most others out at once."""
 
@@ -80,11 +96,14 @@ class Vocabulary:
         self.table = np.zeros(1 << 18, dtype=bool)
         self.table[(self.hashes & np.uint64((1 << 18) - 1)).astype(np.int64)] = True
 
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        return self.table[(hashes & np.uint64((1 << 18) - 1)).astype(np.int64)]
+
     def find(self, rows: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and feature numbers of the hashes that belong."""
         if not len(self.hashes):
             return rows[:0], rows[:0]
-        maybe = self.table[(hashes & np.uint64((1 << 18) - 1)).astype(np.int64)]
+        maybe = self.maybe(hashes)
         rows, hashes = rows[maybe], hashes[maybe]
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         ok = self.hashes[at] == hashes

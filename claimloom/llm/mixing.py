@@ -12,7 +12,7 @@ doesn't settle warns with its residual.
 Tokens of a document are its words (runs of letters and digits). Rates turn into whole copies by a hash
 of id and text, so copies average the rate. Null and empty texts have no tokens; their rate follows from
 their posteriors. Without labels, or with one domain, every posterior is certain and rates only meet
-the total. Repeated rows are documents of their own; null ids are mixed too but do not train.
+the total. Repeated rows are documents of their own; extra columns, whatever their names, are carried along; null ids are mixed too but do not train.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm import textvec as tv
 from claimloom.llm.features import Vocabulary, contrasts, known_features, sampled, word_sets
 from claimloom.session import cut
 
@@ -55,7 +56,7 @@ class Posteriors:
     bias: np.ndarray
 
     def of(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        for lo, hi, rows, hashes, n in word_sets(column, shapes=True):
+        for lo, hi, rows, hashes, n in word_sets(column, shapes=True, known=self.words):
             rows, at = self.words.find(rows, hashes)
             f = np.stack([b + np.bincount(rows, w[at], minlength=hi - lo) for w, b in zip(self.weights.T, self.bias)], axis=1)
             e = np.exp(f - f.max(axis=1, keepdims=True))
@@ -193,7 +194,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """docs, all columns, each row as often as its copies say."""
     # Equal rows get equal copies, so one decision per id and text serves all of them.
-    chosen = mixed(docs, labelled, targets).groupBy("doc_id", "text_hash").agg(F.first("copies").alias("__copies"))
-    chosen = chosen.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    both = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["__id"]) & (F.xxhash64(docs["text"]) == chosen["__hash"]))
-    return both.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[docs[f"`{c}`"] for c in docs.columns])
+    ident, digest, copies, copy = tv.free_names(docs.columns, "id", "hash", "copies", "copy")
+    chosen = mixed(docs, labelled, targets).groupBy("doc_id", "text_hash").agg(F.first("copies").alias(copies))
+    chosen = chosen.withColumnsRenamed({"doc_id": ident, "text_hash": digest}).where(F.col(copies) > 0)
+    both = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[ident]) & (F.xxhash64(docs["text"]) == chosen[digest]))
+    return both.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*[docs[f"`{c}`"] for c in docs.columns])

@@ -16,7 +16,7 @@ similarity, so no link is lost to the leaders and a large group of loosely simil
 
 Texts without a word (null and empty ones too) have no k-mer and are near-duplicates of nothing but
 equal texts with words are; a text of one to four words is one k-mer of all its words.
-Repeated rows, equal ids and null ids are allowed; other columns are never read.
+Repeated rows, equal ids and null ids are allowed; other columns are never read, and may have any name.
 """
 
 from __future__ import annotations
@@ -314,11 +314,12 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     nodes, _ = near_duplicate_classes(docs, **options)
     heads = nodes.where(F.col("first_id").eqNullSafe(F.col("class_id")))
     heads = heads.groupBy("class_node").agg(F.min(F.struct("node", "first_id", "first_rows")).alias("h")).select("h.*")
-    heads = heads.select(F.col("node").alias("__node"), F.col("first_id").alias("__first"), F.col("first_rows").alias("__rows"))
+    node, first, rows = tv.free_names(docs.columns, "node", "first", "rows")
+    heads = heads.select(F.col("node").alias(node), F.col("first_id").alias(first), F.col("first_rows").alias(rows))
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[A-Za-z0-9]|[^\\x00-\\x7F]")
-    marked = docs.where(~wordless).withColumn("__node", F.xxhash64("text"))
-    key = [marked["__node"] == heads["__node"], marked["doc_id"].eqNullSafe(heads["__first"])]
-    kept = marked.join(heads, key).select(*[marked[c] for c in marked.columns], "__rows")
-    once, again = kept.where("__rows = 1"), kept.where("__rows > 1").dropDuplicates(["__node"])
+    marked = docs.where(~wordless)
+    key = [F.xxhash64(marked["text"]) == heads[node], marked["doc_id"].eqNullSafe(heads[first])]
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = marked.join(heads, key)
+    once, again = kept.where(F.col(rows) == 1), kept.where(F.col(rows) > 1).dropDuplicates([node])
     return once.select(*columns).union(again.select(*columns)).union(docs.where(wordless).select(*columns))

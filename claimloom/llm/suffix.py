@@ -3,16 +3,21 @@
 A document is its words (as str.split() gives them). Suffixes are retained only where content selects
 them: at positions whose ``SEED``-word hash is the smallest of some ``WINDOW`` neighbouring positions.
 Every run of ``LENGTH`` words then holds a retained suffix within its first ``WINDOW`` words, at the same
-place in all its copies. The retained suffixes are sorted by the fingerprint of their first
-``LENGTH - WINDOW + 1`` words, and those whose neighbours in that order come from another text go on.
-They are extended left and right: each run of ``LENGTH`` words that a surviving suffix stands for, up to
-``WINDOW - 1`` words to its left and as many to its right, is matched by its own fingerprint, so the
-best partner need not be the neighbour. Overlapping runs merge into maximal passages.
-
-A passage counts if it occurs in two different texts; equal texts form one text first, and their copies
-are passages as a whole. The first occurrence, by (doc_id, text hash, position), is kept; others go.
+place in all its copies. The retained suffixes of all texts are sorted by their first ``LENGTH - WINDOW + 1`` words
+(words in the order of their fingerprints), and each is compared with its neighbours: those that share these
+words with the one before or behind go on. They are extended left and right to the runs of ``LENGTH`` words that they stand
+for, up to ``WINDOW - 1`` words to either side; these are sorted again, ties by (doc_id, text hash, position), and
+neighbours that agree in all their words repeat. Overlapping runs merge into maximal passages.
+
+A passage that so many rows hold that they would fill a sort partition by themselves is taken out of the sort: its first
+occurrence is found by partial aggregates and sent to all tasks. Which passages are treated so follows from a sample and
+changes no result.
+
+The first occurrence, by (doc_id, text hash, position), is kept; others go, in the same text too where they start
+``LENGTH`` words behind it or more. Equal texts form one text first, and their copies are passages as a whole.
 Documents under ``LENGTH`` words, null and empty ones have no passage. Rows that repeat with id and text
-are one document; null ids sort first. Fingerprints have 64 bits. Other columns are never read.
+are one document; null ids sort first. Neighbours are equal where 96 bits of their words' fingerprints are. Other columns are
+never read, and may have any name.
 """
 
 from __future__ import annotations
@@ -25,10 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm import textvec as tv
+from claimloom.session import cut, release
 
 LENGTH = 50
 WINDOW = 16
 SEED = 8
+#: One row in so many serves to find the passages that are taken out of the sort, at most HOT_MARKS a partition.
+SAMPLE = 64
+HOT_MARKS = 4
 
 
 def _selected(w: tv.Words, seed: int, window: int) -> np.ndarray:
@@ -88,14 +97,69 @@ def _windows(length: int, window: int, seed: int):
                 ok = x + length <= w.starts[of + 1] if len(x) else np.zeros(0, dtype=bool)
                 x, of = x[ok], of[ok]
                 at = pa.array(of + w.lo)
+                other = (tv.runs(tv.mix(w.hashes + np.uint64(1)), length)[x] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [tv.signed(tv.runs(w.hashes, length)[x]), batch.column(0).take(at), batch.column(1).take(at), pa.array((x - w.starts[of]).astype(np.int32))],
-                    names=["mark", "doc_id", "node", "pos"],
+                    [tv.signed(tv.runs(w.hashes, length)[x]), pa.array(other), batch.column(0).take(at), batch.column(1).take(at), pa.array((x - w.starts[of]).astype(np.int32))],
+                    names=["mark", "other", "doc_id", "node", "pos"],
                 )
 
     return run
 
 
+def _neighbours(apart: int):
+    """Rows mark, other, node, pos in sorted order -> node, pos, leads of those that repeat.
+
+    Only the first row of the current run of equal rows is remembered from batch to batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, told = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            mark, other, node, pos = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            new = np.ones(len(mark), dtype=bool)
+            new[1:] = (mark[1:] != mark[:-1]) | (other[1:] != other[:-1])
+            new[0] = last is None or (mark[0], other[0]) != last[:2]
+            group = np.cumsum(new)
+            heads = np.flatnonzero(new)
+            head_node = np.concatenate(([last[2] if last else 0], node[heads]))
+            head_pos = np.concatenate(([last[3] if last else 0], pos[heads]))
+            later = ~new & ((node != head_node[group]) | (pos >= head_pos[group] + apart))
+            repeats = np.bincount(group[later], minlength=len(head_node)) > 0
+            tell = repeats.copy()
+            tell[0] &= not told
+            told = bool(repeats[group[-1]] or (not group[-1] and told))
+            last = (mark[-1], other[-1], head_node[group[-1]], head_pos[group[-1]])
+            leads = np.concatenate((np.ones(int(tell.sum()), dtype=bool), np.zeros(int(later.sum()), dtype=bool)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate((head_node[tell], node[later])).astype(np.int64)), pa.array(np.concatenate((head_pos[tell], pos[later])).astype(np.int32)), pa.array(leads)],
+                names=["node", "pos", "leads"],
+            )
+
+    return run
+
+
+def _repeating(rows: DataFrame, order: list[str], apart: int) -> DataFrame:
+    """(node, pos, leads) of the rows (mark, other, node, pos and what else orders them) whose mark and other occur again.
+
+    leads marks the first by `order`; in its text others count from `apart` words behind it.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = rows.where(F.pmod(F.xxhash64("node", "pos"), F.lit(SAMPLE)) == 0)
+    counted = cut(some.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"))
+    least = max(2, (counted.agg(F.sum("n")).first()[0] or 0) // (HOT_MARKS * parts))
+    # At most HOT_MARKS a partition, as they hold that share of the sample each.
+    hot = F.broadcast(counted.where(F.col("n") > least).select("mark"))
+    usual = rows.join(hot, "mark", "left_anti").repartitionByRange(parts, "mark").sortWithinPartitions("mark", "other", *order)
+    found = usual.select("mark", "other", "node", "pos").mapInArrow(_neighbours(apart), "node long, pos int, leads boolean")
+    large = rows.join(hot, "mark", "left_semi")
+    heads = large.groupBy("mark", "other").agg(F.min(F.struct(*order)).alias("head"), F.count("*").alias("n")).where("n > 1")
+    flagged = large.join(F.broadcast(heads), ["mark", "other"]).select("node", "pos", ((F.col("node") == F.col("head.node")) & (F.col("pos") == F.col("head.pos"))).alias("leads"), "head")
+    away = (F.col("node") != F.col("head.node")) | (F.col("pos") >= F.col("head.pos") + apart)
+    return found.union(flagged.where(F.col("leads") | away).select("node", "pos", "leads"))
+
+
 def _union(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal stretches [from, to) that runs of so many words from these starts cover."""
     starts = np.unique(starts)
@@ -139,28 +203,26 @@ def text_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, seed
     """(spans by text, texts): node, start_word, n_words, kept; and node, first_id, n_words, copies."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("node"))
-    heads = (
+    heads = cut(
         rows.groupBy("node", "doc_id").agg(F.lit(1).alias("one")).groupBy("node").agg(F.min(F.struct("doc_id")).alias("m"), F.count("*").alias("copies"))
-    ).select("node", F.col("m.doc_id").alias("first_id"), "copies")
+        .select("node", F.col("m.doc_id").alias("first_id"), "copies")
+    )
     own = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("node"))
     wanted = heads.select(F.col("node").alias("n"), "first_id")
     # One row of each text; ids spread even a very large group of copies over the tasks.
     single = own.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    samples = single.select("node", "text").mapInArrow(_samples(length, window, seed), "mark long, node long, pos int").repartition("mark")
+    samples = cut(single.select("node", "text").mapInArrow(_samples(length, window, seed), "mark long, node long, pos int"))
     sizes = samples.where("pos < 0").groupBy("node").agg(F.max(-1 - F.col("pos")).alias("n_words"))
-    shared = samples.where("pos >= 0").groupBy("mark").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("mark")
-    alive = samples.where("pos >= 0").join(shared, "mark").groupBy("node").agg(F.sort_array(F.collect_set("pos")).alias("pos"))
+    suffixes = samples.where("pos >= 0").withColumn("other", F.lit(0))
+    alive = _repeating(suffixes, ["node", "pos"], 1).groupBy("node").agg(F.sort_array(F.collect_set("pos")).alias("pos"))
     alive = alive.join(heads.select("node", "first_id"), "node").select(F.col("node").alias("n"), "first_id", "pos")
     joined = single.join(alive, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "node", "text", "pos")
-    runs = joined.mapInArrow(_windows(length, window, seed), f"mark long, doc_id {kind}, node long, pos int").repartition("mark")
-    first = runs.groupBy("mark").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min(F.struct("doc_id", "node", "pos")).alias("head"))
-    found = runs.join(first.where("lo <> hi").select("mark", "head"), "mark").select(
-        "node", "pos", ((F.col("head.node") == F.col("node")) & (F.col("head.pos") == F.col("pos"))).alias("leads")
-    )
+    runs = cut(joined.mapInArrow(_windows(length, window, seed), f"mark long, other int, doc_id {kind}, node long, pos int"))
+    found = _repeating(runs, ["doc_id", "node", "pos"], length)
     each = found.groupBy("node").agg(
         F.collect_set(F.when(F.col("leads"), F.col("pos"))).alias("first"), F.collect_set(F.when(~F.col("leads"), F.col("pos"))).alias("later")
     )
-    texts = heads.join(sizes, "node")
+    texts = cut(heads.join(sizes, "node"))
     copied = texts.where(F.col("copies") > 1).where(F.col("n_words") >= length).select("node", F.col("n_words").alias("whole"))
     none = F.expr("cast(array() as array<int>)")
     each = each.join(copied, "node", "full").select(
@@ -168,7 +230,9 @@ def text_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, seed
         F.when(F.col("whole").isNotNull(), F.sequence(F.lit(0), F.col("whole") - length)).otherwise(F.col("first")).alias("first"),
         F.coalesce("later", none).alias("later"),
     )
-    return each.mapInArrow(_spans(length), "node long, start_word int, n_words int, kept boolean"), texts
+    spans = cut(each.mapInArrow(_spans(length), "node long, start_word int, n_words int, kept boolean"))
+    release(samples, runs, heads)
+    return spans, texts
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
@@ -210,14 +274,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFra
     spans, texts = text_spans(docs, length, **options)
     gone = spans.where("not kept").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start_word", "n_words"))).alias("g"))
     plan = texts.join(gone, "node", "left").where((F.col("copies") > 1) | F.col("g").isNotNull())
-    plan = plan.select(F.col("node").alias("__node"), F.col("first_id").alias("__first"), F.col("n_words").alias("__n"), F.col("g").alias("__g"))
-    marked = docs.withColumn("__key", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    both = marked.join(plan, marked["__key"] == plan["__node"], "left")
-    copy = ~F.col("__first").eqNullSafe(F.col("doc_id")) & F.col("__node").isNotNull() & (F.col("__n") >= length)
-    starts = F.when(copy, F.array(F.lit(0))).otherwise(F.col("__g.start_word"))
-    sizes = F.when(copy, F.array(F.col("__n"))).otherwise(F.col("__g.n_words"))
+    key, first, size, gone, starts, sizes = tv.free_names(docs.columns, "key", "first", "size", "gone", "starts", "sizes")
+    plan = plan.select(F.col("node").alias(key), F.col("first_id").alias(first), F.col("n_words").alias(size), F.col("g").alias(gone))
+    both = docs.join(plan, F.when(docs["text"].isNotNull(), F.xxhash64(docs["text"])) == plan[key], "left")
+    copy = ~F.col(first).eqNullSafe(F.col("doc_id")) & F.col(key).isNotNull() & (F.col(size) >= length)
+    starts_of = F.when(copy, F.array(F.lit(0))).otherwise(F.col(f"{gone}.start_word"))
+    sizes_of = F.when(copy, F.array(F.col(size))).otherwise(F.col(f"{gone}.n_words"))
     others = [c for c in docs.columns if c != "text"]
-    ready = both.select("text", starts.alias("__starts"), sizes.alias("__sizes"), *[F.col(f"`{c}`") for c in others])
+    ready = both.select("text", starts_of.alias(starts), sizes_of.alias(sizes), *[F.col(f"`{c}`") for c in others])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [docs.schema["text"], *(docs.schema[c] for c in others)])
     out = ready.mapInArrow(_cut_text, kinds)
     if "n_chars" in docs.columns:

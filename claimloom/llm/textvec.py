@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _RNG = np.random.default_rng(20240601)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -47,6 +47,17 @@ class Words(NamedTuple):
     heads: tuple = ()  # for each prefix length asked for: the words that long, and their prefixes' hashes
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """Names for columns of one's own that clash with none of the given, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)

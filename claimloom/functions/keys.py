@@ -104,9 +104,15 @@ def months_between_iso(a: Column, b: Column) -> Column:
     return (part(b, 1, 4) - part(a, 1, 4)) * 12 + part(b, 6, 2) - part(a, 6, 2)
 
 
-def dated_by(d: Column, today: str) -> Column:
-    """A truncated date that has come by today, at its own precision; the current year does not count."""
-    return F.when(F.length(d) == 4, d < today[:4]).otherwise(d <= F.substring(F.lit(today), F.lit(1), F.length(d)))
+def dated_by(d: Column, today: str, projected: Column | None = None) -> Column:
+    """A truncated date that has come by today, at its own precision; a malformed one has not.
+
+    The current year alone counts only once the projected month is past; without a projected month it does.
+    """
+    month = F.coalesce(projected, F.lit("")) if projected is not None else F.lit("")
+    year = (d < today[:4]) | ((d == today[:4]) & (month <= today[:7]))
+    well = F.coalesce(d.rlike("^[0-9]{4}(-[0-9]{2}(-[0-9]{2})?)?$"), F.lit(False))
+    return well & F.when(F.length(d) == 4, year).otherwise(d <= F.substring(F.lit(today), F.lit(1), F.length(d)))
 
 
 def volume_number(s: Column) -> Column:

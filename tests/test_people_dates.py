@@ -17,8 +17,12 @@ def test_dates(text, want):
 
 
 def test_names(spark):
-    assert pd.name_key("Émile  ZOLA") == pd.name_key("Zola, Émile") == "emile zola"
-    df = spark.createDataFrame([("Ana María López", "López, Ana María"), (None, "X")], "a string, b string")
+    key, same = pd.name_key, lambda a, b: pd.same_person(pd.name_key(a), pd.name_key(b))
+    assert key("Émile  ZOLA") == key("Zola, Émile") == {"family": "zola", "tokens": ["emile", "zola"]} and key("Al") is None and key("Shin'ichi (x) Jean-Luc")["tokens"] == ["jeanluc", "shinichi"]
+    assert same("Hayashida, Kyū", "Q Hayashida") and same("Umino, Chika", "Chica Umino") and same("Kōsuke", "Kohske") and not same("Sakamoto, Akira", "Akira Toriyama")
+    assert {(s["family"], s["given"]) for s in pd.name_splits("Park Jin Hwan")} == {("park", "jinhwan"), ("hwan", "parkjin"), ("parkjinhwan", "")}
+    assert pd.name_splits("Chu-Gong") == pd.name_splits("Chugong") and pd.name_splits("Park, Jin-hwan") == [{"family": "park", "given": "jinhwan"}]
+    df = spark.createDataFrame([("Ana López", "López, Ana"), (None, "X")], "a string, b string")
     same = F.arrays_overlap(pd.person_splits("a"), pd.person_splits("b"))
     assert [r.s for r in df.select(F.coalesce(same, F.lit(False)).alias("s")).collect()] == [True, False]
     assert [r.d for r in df.select(pd.iso_date(F.lit("3 mars 2010")).alias("d")).collect()] == ["2010-03-03"] * 2

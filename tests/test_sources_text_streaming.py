@@ -40,6 +40,8 @@ def test_text(spark):
     assert text.strip_accents("Été が") == "Ete が" and text.fold_numbers("Ⅱ ½ x²") == "2 0.5 x2"
     assert text.clean_value("[[A|b]] <ref>x</ref>{{nihongo|T}} ''c''<br>d") == "b T c d"
     assert text.numbers_in("1, 3-5, 7.5, 3") == [1, 3, 4, 5, 7.5]
+    assert text.numbers_in("1.5-5") == [1.5, 2, 3, 4, 5] and text.numbers_in("1.5–3.5") == [1.5, 2.5, 3.5] and text.numbers_in("2-4.5") == [2, 3, 4, 4.5] and text.numbers_in("1-900") == [1]
+    assert text.split_fields("a|b {{c|d}}|[[e|f]]") == ["a", "b {{c|d}}", "[[e|f]]"] and [t["body"] for t in text.templates("{{ab|1}} {{x|{{ab}}}}", "AB")] == ["ab|1"]
 
 
 def test_templates(spark):
@@ -47,7 +49,7 @@ def test_templates(spark):
     spark.udtf.register("extract_templates", text.ExtractTemplates)
     df.createOrReplaceTempView("wiki")
     got = spark.sql("select id, e.* from wiki, lateral extract_templates(t) e").collect()
-    assert [(r.id, r.start, r.name, r.fields) for r in got] == [(1, 2, "Book", {"title": "A {{b|c}}", "isbn": "1"})]
+    assert [(r.id, r.start, r.name, r.fields) for r in got] == [(1, 2, "Book", {"title": "A {{b|c}}", "isbn": "2"})]
 
 
 def test_marc(spark):

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from claimloom.plans import catalogue, linking  # noqa: F401
+import __spark_entry__  # noqa: F401  (registers every plan)
+from claimloom.plans import catalogue
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

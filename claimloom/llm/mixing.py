@@ -37,7 +37,7 @@ STEPS = 300
 #: The fit ends at this sum of the domains' shares off target, or where it changes by no more.
 TOLERANCE = 1e-5
 #: Weights of the distance to rate 1, and Newton steps for each at most.
-WEIGHTS = [10.0**-k for k in range(2, 10)]
+WEIGHTS = [10.0**-k for k in range(2, 13)]
 NEWTON = 40
 #: Lengths of a Newton step that one pass tries.
 LENGTHS = 0.5 ** np.arange(12)

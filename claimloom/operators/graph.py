@@ -34,12 +34,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id", max_rounds: int = 40) -> DataFrame:
+def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id", max_rounds: int = 40, present: DataFrame | None = None) -> DataFrame:
     """Follows old -> new links to their last successor: (old_id, final_id).
 
     Pointer jumping doubles the covered length each round. One successor per id is kept (the
-    smallest); ids on a cycle, which have no last successor, get a null final_id.
+    smallest); ids on a cycle, which have no last successor, get a null final_id. Ids that are present (a column named
+    like old) lead nowhere, so a chain ends at the first of them.
     """
+    if present is not None:
+        links = links.join(present.select(old), old, "left_anti")
     one = links.where(F.col(old).isNotNull() & F.col(new).isNotNull()).groupBy(F.col(old).alias("old_id")).agg(F.min(new).alias("to"))
     state = last = cut(one)
     for _ in range(max_rounds):

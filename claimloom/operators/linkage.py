@@ -52,26 +52,47 @@ def longest_prefix(rows: DataFrame, names: DataFrame, least: int) -> DataFrame:
     return found.groupBy("name").agg(F.max_by("parent", F.length("parent")).alias("parent"))
 
 
-def near_names(names: DataFrame, distance: int = 1, gram: int = 3) -> DataFrame:
+def near_names(names: DataFrame, distance: int = 1) -> DataFrame:
     """Pairs of different names within an edit distance, without comparing all pairs.
 
-    A name cut into distance + 1 parts keeps one of them under that many edits, shifted by no more than as many
-    places: names are equal on that part, and only those are compared.
+    Names that many edits apart become equal when each loses at most as many letters, so a name meets the others under the hash
+    of itself and of what is left of it. A prefix that all names share brings none together.
     """
-    base = names.select("name").distinct().withColumn("l", F.length("name"))
-    parts = distance + 1
-    seg = base.select("name", "l", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"))
-    lo = F.floor(F.col("p") * F.col("l") / parts).cast("int")
-    hi = F.floor((F.col("p") + 1) * F.col("l") / parts).cast("int")
-    seg = seg.select("name", F.col("l").alias("la"), "p", F.substring("name", lo + 1, hi - lo).alias("part"), lo.alias("at"))
-    probe = base.select(F.col("name").alias("other"), F.col("l").alias("lb")).withColumn("d", F.explode(F.sequence(F.lit(-distance), F.lit(distance))))
-    probe = probe.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("s", F.explode(F.sequence(F.lit(-distance), F.lit(distance))))
-    la = F.col("lb") + F.col("d")
-    plo = F.floor(F.col("p") * la / parts).cast("int")
-    phi = F.floor((F.col("p") + 1) * la / parts).cast("int")
-    probe = probe.where((la > 0) & (plo + F.col("s") >= 0)).select("other", la.alias("la"), "p", F.substring("other", plo + F.col("s") + 1, phi - plo).alias("part"))
-    pairs = seg.join(probe.distinct(), ["la", "p", "part"]).where("name < other").select("name", "other").distinct()
-    return pairs.withColumn("distance", F.levenshtein("name", "other", distance)).where("distance >= 0")
+    shorter = lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substr(x, F.lit(1), i - 1), F.substr(x, i + 1)))
+    forms = F.array("name")
+    for _ in range(distance):
+        forms = F.array_distinct(F.concat(forms, F.flatten(F.transform(F.filter(forms, lambda x: F.length(x) > 0), shorter))))
+    probe = names.where(F.col("name").isNotNull()).select("name").distinct().select("name", F.explode(forms).alias("form")).select("name", F.xxhash64("form").alias("form"))
+    met = probe.join(probe.select(F.col("name").alias("other"), "form"), "form").where("name < other").select("name", "other").distinct()
+    return met.withColumn("distance", F.levenshtein("name", "other", distance)).where("distance >= 0")
+
+
+def contained(needles: DataFrame, texts: DataFrame, item: str, doc: str, head: int = 4) -> DataFrame:
+    """(item, doc) of needles whose words occur as a run in a text, whole words only; both tables have a column text.
+
+    A needle meets the texts that hold its first words (at most `head`), by their hash; only these pairs carry their texts. The
+    runs of a text have the lengths that occur among the heads. Needles and texts without a word are contained in nothing.
+    """
+    from claimloom.functions.keys import ascii_key
+
+    w = needles.select(item, ascii_key(F.col("text")).alias("key")).where("key <> ''").withColumn("w", F.split("key", " "))
+    hashed = F.coalesce(*[F.when(F.size("w") >= k, F.xxhash64(*[F.get("w", F.lit(j)) for j in range(k)])) for k in range(head, 0, -1)])
+    heads = w.select(item, "key", F.least(F.size("w"), F.lit(head)).alias("n"), hashed.alias("h"))
+    lengths = sorted(r.n for r in heads.select("n").distinct().collect())
+    keyed = texts.select(doc, ascii_key(F.col("text")).alias("words")).where("words <> ''")
+    split = keyed.select(doc, F.split("words", " ").alias("w"))
+    met = None
+    for k in lengths:
+        runs = F.expr(f"transform(sequence(0, size(w) - {k}), i -> xxhash64({', '.join(f'w[i + {j}]' for j in range(k))}))")
+        every = split.where(F.size("w") >= k).select(doc, F.explode(F.array_distinct(runs)).alias("h"))
+        found = every.join(heads.where(F.col("n") == k).select("h", item), "h").select(doc, item)
+        met = found if met is None else met.unionAll(found)
+    if met is None:
+        return heads.join(keyed, F.lit(False)).select(item, doc)
+    pairs = met.distinct().join(heads.select(F.col(item).alias("__i"), "key"), F.col(item).eqNullSafe(F.col("__i")))
+    pairs = pairs.join(keyed.select(F.col(doc).alias("__d"), "words"), F.col(doc).eqNullSafe(F.col("__d")))
+    inside = F.contains(F.concat(F.lit(" "), "words", F.lit(" ")), F.concat(F.lit(" "), "key", F.lit(" ")))
+    return pairs.where(inside).select(item, doc).distinct()
 
 
 def tier(official: Column, alias: Column, authors: Column) -> Column:

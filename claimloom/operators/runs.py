@@ -35,9 +35,16 @@ def heading_at(rows: DataFrame, key: list[str], position: str, heading: str) ->
     return F.last(heading, ignorenulls=True).over(Window.partitionBy(*key).orderBy(position).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def upper_median(values: Column) -> Column:
-    s = F.sort_array(values)
-    return F.get(s, (F.size(s) / 2).cast("int"))
+def upper_median(rows: DataFrame, key: list[str], value: str) -> DataFrame:
+    """The upper median of each key: the value at place n div 2 of its sorted values, nulls left out.
+
+    Values are counted first, so what a key sorts are its different values with their running counts, never its rows.
+    """
+    each = rows.where(F.col(value).isNotNull()).groupBy(*key, value).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*key)
+    upto = F.sum("__n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    placed = each.withColumns({"__upto": upto, "__half": F.floor(F.sum("__n").over(w) / 2)})
+    return placed.where((F.col("__upto") > F.col("__half")) & (F.col("__upto") - F.col("__n") <= F.col("__half"))).select(*key, value)
 
 
 def mode_first_seen(rows: DataFrame, key: list[str], value: str, position: str) -> DataFrame:

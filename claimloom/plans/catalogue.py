@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -112,10 +113,10 @@ def agreement_rates(spark, sf_dir):
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN strftime(DATE '1999-01-01' + (p_partkey % 400)::INTEGER, '%Y-%m-%d') ELSE '1999-06' END AS value,
-  CASE WHEN p_partkey % 3 = 0 THEN 'published' ELSE 'projected' END AS kind FROM part WHERE p_partkey % 5 = 0""")
+  CASE WHEN p_partkey % 3 = 0 THEN 'published' ELSE 'projected' END AS kind FROM part""")
 def projected_replaced(spark, sf_dir):
     """A projected month gives way to a plausible real date that has come."""
-    p = table(spark, sf_dir, "part").where("p_partkey % 5 = 0").withColumn("projected", F.lit("1999-06"))
+    p = table(spark, sf_dir, "part").withColumn("projected", F.lit("1999-06"))
     real = F.when(F.col("p_partkey") % 3 == 0, F.date_format(F.expr("date_add(date'1999-01-01', cast(p_partkey % 400 as int))"), "yyyy-MM-dd"))
     p = p.withColumn("real", real)
     ok = F.col("real").isNotNull() & keys.dated_by(F.col("real"), "2024-01-01") & (F.abs(F.substring("real", 1, 4).cast("int") - F.substring("projected", 1, 4).cast("int")) <= 1)
@@ -154,44 +155,60 @@ def transition_matrix(spark, sf_dir):
     return claims.snapshot_diff(o, new, "o_orderkey", "o_orderstatus").groupBy("was", "now").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT l_orderkey, 'k' || l_linenumber AS field, CASE l_linenumber % 2 WHEN 0 THEN l_returnflag ELSE l_linestatus END AS value FROM lineitem WHERE l_orderkey % 5 = 0""")
+@query("""SELECT l_orderkey, 'k' || l_linenumber AS field, CASE l_linenumber % 2 WHEN 0 THEN l_returnflag ELSE l_linestatus END AS value FROM lineitem""")
 def volume_to_claims(spark, sf_dir):
     """Wide rows become tall claims; the field and its value depend on the row."""
-    r = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 = 0")
+    r = table(spark, sf_dir, "lineitem")
     v = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_returnflag")).otherwise(F.col("l_linestatus"))
     return r.select("l_orderkey", F.concat(F.lit("k"), "l_linenumber").alias("field"), v.alias("value"))
 
 
 # --- filters and gates -------------------------------------------------------------------------
 
-_AUDIT = [
+#: table -> (rule, kind, condition); the conditions read alike in both engines.
+_ROW_RULES = {
+    "lineitem": [
+        ("new_year_ship", "expected", "month(l_shipdate) = 1 AND day(l_shipdate) = 1"), ("tiny_quantity", "info", "l_quantity < 2"), ("full_discount", "honest", "l_discount >= 0.1"),
+        ("returned_and_open", "defect", "l_returnflag = 'R' AND l_linestatus = 'O'"), ("no_tax", "honest", "l_tax = 0"), ("free_line", "defect", "l_extendedprice <= 0"), ("late_ship", "expected", "year(l_shipdate) > 2000"),
+    ],
+    "orders": [("cheap_order", "info", "o_totalprice < 1000"), ("unspecified", "honest", "o_orderpriority LIKE '4%'"), ("pending", "expected", "o_orderstatus = 'P'"), ("no_customer", "defect", "o_custkey IS NULL")],
+    "customer": [("negative_balance", "honest", "c_acctbal < 0"), ("unnamed_customer", "defect", "coalesce(c_name, '') = ''"), ("rich_customer", "info", "c_acctbal > 9000")],
+    "part": [("digit_names", "info", "p_name LIKE '%0%' OR p_name LIKE '%1%'"), ("brandless", "defect", "coalesce(p_brand, '') = ''"), ("markup_names", "defect", "p_name LIKE '%[[%' OR p_name LIKE '%{{%' OR p_name LIKE '%<ref%'"), ("huge_size", "expected", "p_size > 45")],
+    "supplier": [("supplier_in_debt", "honest", "s_acctbal < 0")],
+    "pages": [("plain_http", "expected", "url LIKE 'http:%'"), ("untitled_page", "defect", "html NOT LIKE '%<title>%'")],
+    "labels": [("toxic_and_good", "defect", "toxic = 1 AND quality = 1")],
+    "documents": [("empty_text", "defect", "coalesce(text, '') = ''"), ("wrong_length", "defect", "length(text) <> n_chars")],
+}
+_GROUP_RULES = [
     ("orders_no_lines", "defect", "SELECT count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"),
     ("duplicate_lines", "defect", "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"),
-    ("negative_balance", "honest", "SELECT count(*) FROM customer WHERE c_acctbal < 0"),
-    ("new_year_ship", "expected", "SELECT count(*) FROM lineitem WHERE month(l_shipdate) = 1 AND day(l_shipdate) = 1"),
-    ("digit_names", "info", "SELECT count(*) FROM part WHERE regexp_matches(p_name, '[0-9]')"),
-    ("brandless", "defect", "SELECT count(*) FROM part WHERE coalesce(p_brand, '') = ''"),
+    ("parts_of_many_suppliers", "info", "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 3)"),
+    ("customers_without_orders", "expected", "SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"),
+    ("repeated_names", "honest", "SELECT count(*) FROM (SELECT 1 FROM part GROUP BY p_brand, p_name HAVING count(*) > 1)"),
+    ("nations_without_suppliers", "info", "SELECT count(*) FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)"),
 ]
+_AUDIT_SQL = [f"SELECT '{n}' AS rule, '{k}' AS kind, ({q})::BIGINT AS n" for n, k, q in _GROUP_RULES]
+_AUDIT_SQL += [f"SELECT '{n}', '{k}', count_if({q})::BIGINT FROM {t}" for t, rules in _ROW_RULES.items() for n, k, q in rules]
 
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS rule, '{k}' AS kind, ({s})::BIGINT AS n" for n, k, s in _AUDIT))
+@query(" UNION ALL ".join(_AUDIT_SQL))
 def audit_rules(spark, sf_dir):
-    """Assertion queries of four kinds; one pass a table."""
-    o, line, c, p = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer", "part"))
-    one = [
+    """Assertion queries of four kinds: a table's row rules are counted in one pass over it, rules on groups by one aggregation each."""
+    o, line, c, p, n, s = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer", "part", "nation", "supplier"))
+    many = lambda df, name: df.agg(F.count_if(F.col("k") > 1).alias(name))
+    counted = [
         o.join(line, o.o_orderkey == line.l_orderkey, "left_anti").agg(F.count("*").alias("orders_no_lines")),
-        line.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") > 1).alias("duplicate_lines")),
-        c.agg(F.count_if(F.col("c_acctbal") < 0).alias("negative_balance")),
-        line.agg(F.count_if((F.month("l_shipdate") == 1) & (F.day("l_shipdate") == 1)).alias("new_year_ship")),
-        p.agg(F.count_if(F.col("p_name").rlike("[0-9]")).alias("digit_names"), F.count_if(F.coalesce("p_brand", F.lit("")) == "").alias("brandless")),
+        many(line.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("k")), "duplicate_lines"),
+        line.groupBy("l_partkey").agg(F.count_distinct("l_suppkey").alias("k")).agg(F.count_if(F.col("k") > 3).alias("parts_of_many_suppliers")),
+        c.join(o, c.c_custkey == o.o_custkey, "left_anti").agg(F.count("*").alias("customers_without_orders")),
+        many(p.groupBy("p_brand", "p_name").agg(F.count("*").alias("k")), "repeated_names"),
+        n.join(s, n.n_nationkey == s.s_nationkey, "left_anti").agg(F.count("*").alias("nations_without_suppliers")),
     ]
-    kind = {n: k for n, k, _ in _AUDIT}
-    out = None
-    for df in one:
-        for name in df.columns:
-            row = df.select(F.lit(name).alias("rule"), F.lit(kind[name]).alias("kind"), F.col(name).alias("n"))
-            out = row if out is None else out.unionAll(row)
-    return out
+    counted += [table(spark, sf_dir, t).agg(*[F.count_if(F.expr(q)).alias(name) for name, _, q in rules]) for t, rules in _ROW_RULES.items()]
+    kinds = {name: kind for name, kind, _ in [*_GROUP_RULES, *(r for rules in _ROW_RULES.values() for r in rules)]}
+    # A row a rule out of the one row a table.
+    tall = [df.select(F.explode(F.array(*[F.struct(F.lit(x).alias("rule"), F.lit(kinds[x]).alias("kind"), F.col(x).alias("n")) for x in df.columns])).alias("r")).select("r.*") for df in counted]
+    return reduce(DataFrame.unionAll, tall)
 
 
 @query("""SELECT l_orderkey, l_linenumber, CASE WHEN strftime(l_shipdate, '%m-%d') = '01-01' THEN strftime(l_shipdate, '%Y') WHEN l_shipdate > TIMESTAMP '2000-06-30' THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d') END AS d,
@@ -218,11 +235,23 @@ def exclusion_cascade(spark, sf_dir):
     return table(spark, sf_dir, "customer").join(F.broadcast(nations), "c_nationkey", "left_anti").join(orders, "c_custkey", "left_anti").select("c_custkey")
 
 
-@query("SELECT 'customer' AS t, count(c_custkey) AS a, count(CASE WHEN c_acctbal > 0 THEN 1 END) AS b FROM customer UNION ALL SELECT 'part', count(p_partkey), count(CASE WHEN p_size > 25 THEN 1 END) FROM part")
+_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "supplier": "s_suppkey s_name s_nationkey s_acctbal", "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice", "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority", "events": "event_id ts user_id event_type value props",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label", "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, count({c}) AS n, count(*) AS rows FROM {t}" for t, cs in _COLUMNS.items() for c in cs.split()))
 def non_null_counts(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").agg(F.lit("customer").alias("t"), F.count("c_custkey").alias("a"), F.count(F.when(F.col("c_acctbal") > 0, 1)).alias("b"))
-    p = table(spark, sf_dir, "part").agg(F.lit("part").alias("t"), F.count("p_partkey").alias("a"), F.count(F.when(F.col("p_size") > 25, 1)).alias("b"))
-    return c.unionAll(p)
+    """Non-null values of every column of every table, one pass a table."""
+    out = []
+    for t in _COLUMNS:
+        df = table(spark, sf_dir, t)
+        one = df.agg(F.count("*").alias("rows"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
+        out.append(one.select("rows", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c"), F.col(f"n_{c}").alias("n")) for c in df.columns])).alias("r")).select("r.*", "rows"))
+    return reduce(DataFrame.unionAll, out)
 
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -305,24 +334,33 @@ def longest_prefix(spark, sf_dir):
     return linkage.longest_prefix(names, names, 5)
 
 
-@query("""WITH n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT substr(p_name, 2) FROM part UNION SELECT DISTINCT c_name FROM customer WHERE c_custkey <= 60)
+@query("""WITH n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT substr(p_name, 2) FROM part UNION SELECT DISTINCT c_name FROM customer)
 SELECT a.name, b.name AS other, levenshtein(a.name, b.name)::INTEGER AS distance FROM n a JOIN n b ON a.name < b.name AND abs(length(a.name) - length(b.name)) <= 1 AND levenshtein(a.name, b.name) <= 1""")
 def near_names(spark, sf_dir):
     p, c = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
-    names = p.select(F.col("p_name").alias("name")).union(p.select(F.expr("substr(p_name, 2)"))).union(c.where("c_custkey <= 60").select("c_name"))
+    names = p.select(F.col("p_name").alias("name")).union(p.select(F.expr("substr(p_name, 2)"))).union(c.select("c_name"))
     return linkage.near_names(names)
 
 
 @query("""WITH d AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) || ' ' AS t FROM documents), b AS (SELECT item_id, ' ' || trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) || ' ' AS t FROM benchmark)
 SELECT item_id, doc_id FROM d JOIN b ON contains(d.t, b.t)""")
 def contamination(spark, sf_dir):
-    """Benchmark passages contained in documents, whole words: an equi-join on the passage's first words, then the residual."""
-    key = lambda c: F.concat(F.lit(" "), keys.ascii_key(c), F.lit(" "))
-    b = table(spark, sf_dir, "benchmark").select("item_id", key(F.col("text")).alias("bt")).withColumn("w", F.split(F.trim("bt"), " "))
-    b = b.withColumn("h", F.array_join(F.slice("w", 1, 4), " ")).withColumn("n", F.size(F.slice("w", 1, 4)))
-    d = table(spark, sf_dir, "documents").select("doc_id", key(F.col("text")).alias("dt")).withColumn("w", F.split(F.trim("dt"), " "))
-    heads = d.select("doc_id", "dt", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 3, F.lit(1))), lambda i: F.array_join(F.slice(F.col("w"), i, 4), " ")))).alias("h"))
-    return heads.join(b, "h").where(F.contains("dt", F.col("bt"))).select("item_id", "doc_id").distinct()
+    """Benchmark passages contained in documents, whole words: an equi-join on the hash of the passage's first words, then the residual."""
+    return linkage.contained(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id")
+
+
+@query("""WITH i AS (SELECT p_partkey, trim(regexp_replace(lower(CASE p_partkey % 3 WHEN 0 THEN split_part(p_name, ' ', 1) WHEN 1 THEN p_name ELSE p_name || ' and old ' || p_name END), '[^a-z0-9]+', ' ', 'g')) AS k FROM part),
+n AS (SELECT DISTINCT p_partkey AS q, trim(regexp_replace(lower(p_name || ' and old ' || p_name || ' by ' || p_type), '[^a-z0-9]+', ' ', 'g')) AS t FROM part WHERE p_size > 0)
+SELECT p_partkey AS item, count(DISTINCT t) AS texts FROM i JOIN n ON contains(' ' || t || ' ', ' ' || k || ' ') GROUP BY p_partkey""")
+def short_needles(spark, sf_dir):
+    """Needles of one, two and more words found in names."""
+    p = table(spark, sf_dir, "part")
+    short = F.when(F.col("p_partkey") % 3 == 0, F.substring_index("p_name", " ", 1)).when(F.col("p_partkey") % 3 == 1, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" and old "), "p_name"))
+    texts = p.select(F.concat("p_name", F.lit(" and old "), "p_name", F.lit(" by "), "p_type").alias("text")).distinct().withColumn("doc", F.xxhash64("text"))
+    needles = p.select("p_partkey", short.alias("text"))
+    # Equal needles are looked up once.
+    once = linkage.contained(needles.select("text").distinct().withColumn("needle", F.col("text")), texts, "needle", "doc").groupBy("needle").agg(F.count("*").alias("texts"))
+    return needles.join(once, needles.text == once.needle).select(F.col("p_partkey").alias("item"), "texts")
 
 
 # --- aggregations ------------------------------------------------------------------------------------
@@ -368,7 +406,8 @@ def crosstab_other(spark, sf_dir):
 
 @query("SELECT p_brand, list_sort(list(p_size))[(count(*) // 2)::INTEGER + 1]::INTEGER AS upper, median(p_size)::DOUBLE AS mid FROM part GROUP BY p_brand")
 def upper_median(spark, sf_dir):
-    return table(spark, sf_dir, "part").groupBy("p_brand").agg(runs.upper_median(F.collect_list("p_size")).alias("upper"), F.median("p_size").alias("mid"))
+    p = table(spark, sf_dir, "part")
+    return p.groupBy("p_brand").agg(F.median("p_size").alias("mid")).join(runs.upper_median(p, ["p_brand"], "p_size").withColumnRenamed("p_size", "upper"), "p_brand")
 
 
 @query("SELECT p_brand, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS types FROM part GROUP BY p_brand")
@@ -428,13 +467,13 @@ def main_line(spark, sf_dir):
     return runs.top_per_group(by, ["s_nationkey", "p_type"], [F.desc("n"), F.col("l_suppkey")]).select("s_nationkey", "p_type", "l_suppkey", "n")
 
 
-@query("""WITH q AS (SELECT DISTINCT substr(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), 1, 6) AS q FROM part WHERE p_partkey % 9 = 0),
+@query("""WITH q AS (SELECT DISTINCT substr(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), 1, 6) AS q FROM part),
 c AS (SELECT p_partkey, p_size, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS k FROM part)
 SELECT q, p_partkey, (k = q) AS exact FROM q JOIN c ON starts_with(k, q) QUALIFY row_number() OVER (PARTITION BY q ORDER BY (k <> q), p_size DESC, p_partkey) = 1""")
 def ranked_lookup(spark, sf_dir):
     """Normalised queries meet candidates by prefix; one is picked by a total order."""
     p = table(spark, sf_dir, "part").withColumn("k", keys.ascii_key(F.col("p_name")))
-    q = p.where("p_partkey % 9 = 0").select(F.substring("k", 1, 6).alias("q")).distinct()
+    q = p.select(F.substring("k", 1, 6).alias("q")).distinct()
     met = q.join(p.withColumn("h", F.substring("k", 1, 6)), F.col("q") == F.col("h"))
     best = runs.top_per_group(met, ["q"], [F.col("k") != F.col("q"), F.desc("p_size"), F.col("p_partkey")])
     return best.select("q", "p_partkey", (F.col("k") == F.col("q")).alias("exact"))
@@ -489,18 +528,22 @@ def set_difference(spark, sf_dir):
 # --- graphs -------------------------------------------------------------------------------------------------------
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, 1000000000 + l_partkey AS b FROM lineitem WHERE l_orderkey % 40 = 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+@query("""WITH RECURSIVE e AS (SELECT o_orderkey AS a, o_orderkey - CASE WHEN o_orderkey % 9 = 0 THEN 0 WHEN o_orderkey % 9 IN (4, 7) THEN 3 ELSE 1 END AS b FROM orders), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 w(a, b) AS (SELECT a, a FROM s UNION SELECT w.a, s.b FROM w JOIN s ON s.a = w.b) SELECT a AS node, min(b) AS component FROM w GROUP BY a""")
 def connected_components(spark, sf_dir):
-    e = table(spark, sf_dir, "lineitem").where("l_orderkey % 40 = 0").select(F.col("l_orderkey").alias("src"), (F.col("l_partkey") + 1000000000).alias("dst"))
-    return graph.connected_components(e)
+    """Orders linked to an earlier one (or to themselves) form components, named by their smallest node."""
+    k = F.col("o_orderkey")
+    back = F.when(k % 9 == 0, 0).when((k % 9).isin(4, 7), 3).otherwise(1)
+    return graph.connected_components(table(spark, sf_dir, "orders").select(k.alias("src"), (k - back).alias("dst")))
 
 
-@query("""WITH RECURSIVE m AS (SELECT o_orderkey AS old_id, o_orderkey - 3 AS new_id FROM orders WHERE o_orderkey % 16 > 3), w(old_id, spot) AS (SELECT old_id, new_id FROM m UNION ALL SELECT w.old_id, m.new_id FROM w JOIN m ON m.old_id = w.spot)
+@query("""WITH RECURSIVE m AS (SELECT o_orderkey AS old_id, CASE WHEN o_orderkey % 16 > 3 THEN o_orderkey - 3 END AS new_id FROM orders WHERE o_orderstatus <> 'P'), w(old_id, spot) AS (SELECT old_id, new_id FROM m WHERE new_id IS NOT NULL UNION ALL SELECT w.old_id, m.new_id FROM w JOIN m ON m.old_id = w.spot WHERE m.new_id IS NOT NULL)
 SELECT old_id, min(spot) AS final_id FROM w GROUP BY old_id""")
 def redirect_chains(spark, sf_dir):
-    m = table(spark, sf_dir, "orders").where("o_orderkey % 16 > 3").select(F.col("o_orderkey").alias("old_id"), (F.col("o_orderkey") - 3).alias("new_id"))
-    return graph.collapse_chains(m)
+    """Every retired id leads to its last successor, and no further than the first that is present."""
+    o = table(spark, sf_dir, "orders")
+    links = o.select(F.col("o_orderkey").alias("old_id"), F.when(F.col("o_orderkey") % 16 > 3, F.col("o_orderkey") - 3).alias("new_id"))
+    return graph.collapse_chains(links, present=o.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("old_id")))
 
 
 @query("""WITH d AS (SELECT l_partkey, min(l_suppkey) AS s FROM lineitem WHERE l_quantity > 45 GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) = 1)

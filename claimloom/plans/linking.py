@@ -13,27 +13,31 @@ from claimloom.session import table
 _K = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
 
 
-@query(f"""WITH i AS (SELECT p_partkey, {_K.format('p_name')} AS k, p_brand FROM part), q AS (SELECT p_partkey AS q, CASE WHEN p_partkey % 2 = 0 THEN {_K.format('p_name')} ELSE substr({_K.format('p_name')}, 1, 7) END AS k, p_brand AS a FROM part WHERE p_partkey % 20 = 0),
-a AS (SELECT p_partkey, substr(k, 1, 7) AS k FROM i), o AS (SELECT q, count(*) AS official, count_if(a = p_brand) AS authors FROM q JOIN i USING (k) GROUP BY q), l AS (SELECT q, count(*) AS alias FROM q JOIN a USING (k) GROUP BY q)
+@query(f"""WITH i AS (SELECT p_partkey, {_K.format('p_name')} AS k, p_brand, p_size FROM part), q AS (SELECT p_partkey AS q, CASE p_partkey % 3 WHEN 0 THEN {_K.format('p_name')} WHEN 1 THEN substr({_K.format('p_name')}, 1, 7) ELSE {_K.format('p_name')} || ' ' || p_partkey END AS k, p_brand AS a FROM part),
+i2 AS (SELECT p_partkey, k, p_brand FROM i UNION ALL SELECT p_partkey, k || ' ' || p_partkey, p_brand FROM i WHERE p_size % 2 = 0), a AS (SELECT p_partkey, substr(k, 1, 7) AS k FROM i),
+o AS (SELECT q, count(*) AS official, count_if(a = p_brand) AS authors FROM q JOIN i2 USING (k) GROUP BY q), l AS (SELECT q, count(*) AS alias FROM q JOIN a USING (k) GROUP BY q)
 SELECT q, coalesce(official, 0)::BIGINT AS official, coalesce(alias, 0)::BIGINT AS alias, CASE WHEN official = 1 AND authors > 0 THEN 'high' WHEN official = 1 THEN 'medium' WHEN official IS NULL AND alias = 1 THEN 'low'
-WHEN official > 1 OR alias > 1 THEN 'ambiguous' ELSE 'none' END AS tier FROM q LEFT JOIN o USING (q) LEFT JOIN l USING (q)""")
+WHEN official > 1 OR alias > 1 THEN 'ambiguous' ELSE 'none' END AS tier, CASE WHEN official IS NOT NULL THEN 'official' WHEN alias IS NOT NULL THEN 'alias' END AS via FROM q LEFT JOIN o USING (q) LEFT JOIN l USING (q)""")
 def link_tiers(spark, sf_dir):
-    """Official keys, then alias keys, with shared authors as evidence."""
+    """Official keys, then alias keys, with shared authors as evidence; the index is counted per key before it is joined."""
     p = table(spark, sf_dir, "part").withColumn("k", keys.ascii_key(F.col("p_name")))
-    q = p.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("q"), F.when(F.col("p_partkey") % 2 == 0, F.col("k")).otherwise(F.substring("k", 1, 7)).alias("k"), F.col("p_brand").alias("a"))
-    official = q.join(p.select("k", "p_brand"), "k").groupBy("q").agg(F.count("*").alias("official"), F.count_if(F.col("a") == F.col("p_brand")).alias("authors"))
-    alias = q.join(p.select(F.substring("k", 1, 7).alias("k")), "k").groupBy("q").agg(F.count("*").alias("alias"))
-    out = q.select("q").join(official, "q", "left").join(alias, "q", "left").fillna(0)
-    return out.select("q", "official", "alias", linkage.tier(F.col("official"), F.col("alias"), F.col("authors")).alias("tier"))
+    own = F.concat_ws(" ", "k", "p_partkey")
+    q = p.select(F.col("p_partkey").alias("q"), F.when(F.col("p_partkey") % 3 == 0, F.col("k")).when(F.col("p_partkey") % 3 == 1, F.substring("k", 1, 7)).otherwise(own).alias("k"), F.col("p_brand").alias("a"))
+    index = p.select("k", "p_brand").unionAll(p.where("p_size % 2 = 0").select(own, "p_brand")).groupBy("k", F.col("p_brand").alias("a")).agg(F.count("*").alias("authors"))
+    official = index.groupBy("k").agg(F.sum("authors").alias("official"))
+    alias = p.groupBy(F.substring("k", 1, 7).alias("k")).agg(F.count("*").alias("alias"))
+    out = q.join(official, "k", "left").join(alias, "k", "left").join(index, ["k", "a"], "left").fillna(0, ["official", "alias", "authors"])
+    via = F.when(F.col("official") > 0, "official").when(F.col("alias") > 0, "alias")
+    return out.select("q", "official", "alias", linkage.tier(F.col("official"), F.col("alias"), F.col("authors")).alias("tier"), via.alias("via"))
 
 
-@query(f"""WITH c AS (SELECT p_partkey, p_size, p_brand, {_K.format('p_name')} AS k FROM part), q AS (SELECT DISTINCT p_brand, substr({_K.format('p_name')}, 1, 5) AS q FROM part WHERE p_partkey % 25 = 0),
+@query(f"""WITH c AS (SELECT p_partkey, p_size, p_brand, {_K.format('p_name')} AS k FROM part), q AS (SELECT DISTINCT p_brand, substr({_K.format('p_name')}, 1, 5) AS q FROM part),
 m AS (SELECT q.p_brand, q, p_partkey, p_size, CASE WHEN k = q THEN 1 WHEN starts_with(k, q) THEN 2 WHEN contains(k, q) THEN 3 END AS cls FROM q JOIN c USING (p_brand))
 SELECT p_brand, q, p_partkey, cls::INTEGER AS cls, count(*) OVER (PARTITION BY p_brand, q, cls) = 1 AS alone FROM m WHERE cls IS NOT NULL QUALIFY row_number() OVER (PARTITION BY p_brand, q ORDER BY cls, p_size DESC, p_partkey) = 1""")
 def title_ranker(spark, sf_dir):
     """Exact before prefix before substring, then popularity; a flag says whether the class had one candidate only."""
     p = table(spark, sf_dir, "part").withColumn("k", keys.ascii_key(F.col("p_name")))
-    q = p.where("p_partkey % 25 = 0").select("p_brand", F.substring("k", 1, 5).alias("q")).distinct()
+    q = p.select("p_brand", F.substring("k", 1, 5).alias("q")).distinct()
     m = q.join(p.select("p_brand", "p_partkey", "p_size", "k"), "p_brand")
     cls = F.when(F.col("k") == F.col("q"), 1).when(F.startswith("k", F.col("q")), 2).when(F.contains("k", F.col("q")), 3)
     m = m.withColumn("cls", cls).where("cls is not null")
@@ -42,11 +46,11 @@ def title_ranker(spark, sf_dir):
     return m.withColumn("r", rank).where("r = 1").select("p_brand", "q", "p_partkey", "cls", "alone")
 
 
-_VOTES = """SELECT a.l_suppkey AS mine, b.o_custkey AS theirs, count(DISTINCT b.o_orderkey) AS shared FROM lineitem a JOIN orders b ON l_orderkey = o_orderkey WHERE a.l_suppkey % 4 = 0 GROUP BY ALL"""
+_VOTES = """SELECT a.l_suppkey AS mine, b.o_custkey AS theirs, count(DISTINCT b.o_orderkey) AS shared FROM lineitem a JOIN orders b ON l_orderkey = o_orderkey GROUP BY ALL"""
 
 
 def _votes(spark, sf_dir):
-    line, o = table(spark, sf_dir, "lineitem").where("l_suppkey % 4 = 0"), table(spark, sf_dir, "orders")
+    line, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return line.join(o, line.l_orderkey == o.o_orderkey).groupBy(F.col("l_suppkey").alias("mine"), F.col("o_custkey").alias("theirs")).agg(F.countDistinct("o_orderkey").alias("shared"))
 
 
@@ -59,24 +63,36 @@ def attach_roles(spark, sf_dir):
     return linkage.attach_roles(v, "mine", "theirs", "shared", "nm", "nt").select("mine", "theirs", "shared", "role")
 
 
-@query()
+_MOVED = "CASE WHEN o_orderkey % 4 = 0 THEN o_custkey + 1 ELSE o_custkey - o_custkey % 2 END"
+_ADOPTIONS = f"""SELECT * FROM (SELECT o_custkey AS mine, {_MOVED} AS theirs, count(*) AS shared FROM orders GROUP BY ALL) JOIN (SELECT o_custkey AS mine, count(*) AS n FROM orders GROUP BY 1) USING (mine) WHERE 2 * shared > n"""
+
+
+@query(f"""WITH RECURSIVE v AS ({_ADOPTIONS}), g AS (SELECT 0 AS step, {{'s': 0::BIGINT, 'm': 0::BIGINT, 't': 0::BIGINT}} AS b, []::BIGINT[] AS um, []::BIGINT[] AS ut
+UNION ALL SELECT step + 1, b2, list_append(um, b2.m), list_append(ut, b2.t) FROM (SELECT step, um, ut, min({{'s': -shared, 'm': mine, 't': theirs}}) AS b2 FROM g, v WHERE NOT list_contains(um, mine) AND NOT list_contains(ut, theirs) GROUP BY step, um, ut))
+SELECT b.m AS mine, b.t AS theirs, -b.s AS shared FROM g WHERE step > 0""")
 def greedy_adoption(spark, sf_dir):
-    """Greedy one-to-one adoption; sequential, so it has no SQL and is tested against a plain loop."""
-    return linkage.one_to_one(_votes(spark, sf_dir), "mine", "theirs", "shared")
+    """One-to-one adoption of owners that share a strict majority of the older one's keys, best pairs first."""
+    o = table(spark, sf_dir, "orders")
+    votes = o.groupBy(F.col("o_custkey").alias("mine"), F.expr(_MOVED).alias("theirs")).agg(F.count("*").alias("shared"))
+    n = o.groupBy(F.col("o_custkey").alias("mine")).agg(F.count("*").alias("n"))
+    return linkage.one_to_one(votes.join(n, "mine").where("2 * shared > n"), "mine", "theirs", "shared")
 
 
-@query()
+@query("""WITH RECURSIVE o AS (SELECT o_orderkey AS k, o_custkey AS g, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderkey % 60 = 0 THEN o_orderstatus END AS v FROM orders),
+s AS (SELECT 0 AS i, k, g, d, v FROM o UNION ALL SELECT i + 1, k, g, d, coalesce(w, CASE WHEN min(w) OVER (PARTITION BY d) = max(w) OVER (PARTITION BY d) THEN min(w) OVER (PARTITION BY d) END)
+  FROM (SELECT i, k, g, d, coalesce(v, CASE WHEN min(v) OVER (PARTITION BY g) = max(v) OVER (PARTITION BY g) THEN min(v) OVER (PARTITION BY g) END) AS w FROM s) WHERE i < 12)
+SELECT k AS o_orderkey, g AS o_custkey, d AS day, v AS status FROM s WHERE i = 12""")
 def spread_fixpoint(spark, sf_dir):
-    """A status spreads over customers and months of orders until nothing changes."""
+    """A status spreads over customers and days of orders until nothing changes (the SQL makes twelve passes)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.when(F.col("o_orderkey") % 60 == 0, F.col("o_orderstatus")).alias("status"))
     return linkage.spread(o, "o_orderkey", ["o_custkey", "day"], "status")
 
 
-@query("""WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, max(l_partkey) AS p FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY ALL), c AS (SELECT * FROM l WHERE (k % 2 = 0 AND n > 2) OR (k % 2 = 1 AND n < 3)), t AS (SELECT * FROM l WHERE k % 2 = 1 OR n <= 2),
+@query("""WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, max(l_partkey) AS p FROM lineitem GROUP BY ALL), c AS (SELECT * FROM l WHERE (k % 2 = 0 AND n > 2) OR (k % 2 = 1 AND n < 3)), t AS (SELECT * FROM l WHERE k % 2 = 1 OR n <= 2),
 m AS (SELECT k, count(*) AS met, count_if(c.p <> t.p) AS clash FROM c JOIN t USING (k, n) GROUP BY k), a AS (SELECT k, min(n) AS lo, count(*) AS cn FROM c GROUP BY k), b AS (SELECT k, max(n) AS hi FROM t GROUP BY k)
 SELECT k, CASE WHEN coalesce(met, 0) = 0 AND lo = hi + 1 THEN 'extend' WHEN coalesce(met, 0) = cn AND coalesce(clash, 0) = 0 THEN 'duplicate' ELSE 'kept' END AS verdict FROM a JOIN b USING (k) LEFT JOIN m USING (k)""")
 def fold_verdicts(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(F.max("l_partkey").alias("p"))
+    line = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(F.max("l_partkey").alias("p"))
     c = line.where("(k % 2 = 0 and n > 2) or (k % 2 = 1 and n < 3)")
     return linkage.fold_verdicts(c, line.where("k % 2 = 1 or n <= 2"), "k", "n", "p")
 

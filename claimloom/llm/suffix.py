@@ -9,7 +9,7 @@ words with the one before or behind go on. They are extended left and right to t
 for, up to ``WINDOW - 1`` words to either side; these are sorted again, ties by (doc_id, text hash, position), and
 neighbours that agree in all their words repeat. Overlapping runs merge into maximal passages.
 
-A passage that so many rows hold that they would fill a sort partition by themselves is taken out of the sort: its first
+A passage that so many rows hold that they would fill a sort partition by themselves is dealt over several by a salt; its first
 occurrence is found by partial aggregates and sent to all tasks. Which passages are treated so follows from a sample and
 changes no result.
 
@@ -35,7 +35,7 @@ from claimloom.session import cut, release
 LENGTH = 50
 WINDOW = 16
 SEED = 8
-#: One row in so many serves to find the passages that are taken out of the sort, at most HOT_MARKS a partition.
+#: One row in so many serves to find the passages that are dealt over several partitions, at most HOT_MARKS a partition.
 SAMPLE = 64
 HOT_MARKS = 4
 
@@ -106,18 +106,20 @@ def _windows(length: int, window: int, seed: int):
     return run
 
 
-def _neighbours(apart: int):
+def _neighbours(apart: int, hot: np.ndarray):
     """Rows mark, other, node, pos in sorted order -> node, pos, leads of those that repeat.
 
-    Only the first row of the current run of equal rows is remembered from batch to batch.
+    Only the first row of the current run of equal rows is remembered from batch to batch. Runs that lie in several partitions
+    have their first row in `hot` (mark, other, node, pos, by mark and other).
     """
+    known = np.rec.fromarrays(hot[:2], names="mark,other") if hot.shape[1] else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, told = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            mark, other, node, pos = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            mark, other, node, pos = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
             new = np.ones(len(mark), dtype=bool)
             new[1:] = (mark[1:] != mark[:-1]) | (other[1:] != other[:-1])
             new[0] = last is None or (mark[0], other[0]) != last[:2]
@@ -125,7 +127,14 @@ def _neighbours(apart: int):
             heads = np.flatnonzero(new)
             head_node = np.concatenate(([last[2] if last else 0], node[heads]))
             head_pos = np.concatenate(([last[3] if last else 0], pos[heads]))
-            later = ~new & ((node != head_node[group]) | (pos >= head_pos[group] + apart))
+            if known is not None:
+                mine = np.rec.fromarrays((mark[heads], other[heads]), names="mark,other")
+                at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+                found = known[at] == mine
+                head_node[1:] = np.where(found, hot[2][at], head_node[1:])
+                head_pos[1:] = np.where(found, hot[3][at], head_pos[1:])
+            own, first = head_node[group] == node, head_pos[group]
+            later = ~(own & (pos == first)) & (~own | (pos >= first + apart))
             repeats = np.bincount(group[later], minlength=len(head_node)) > 0
             tell = repeats.copy()
             tell[0] &= not told
@@ -133,7 +142,7 @@ def _neighbours(apart: int):
             last = (mark[-1], other[-1], head_node[group[-1]], head_pos[group[-1]])
             leads = np.concatenate((np.ones(int(tell.sum()), dtype=bool), np.zeros(int(later.sum()), dtype=bool)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate((head_node[tell], node[later])).astype(np.int64)), pa.array(np.concatenate((head_pos[tell], pos[later])).astype(np.int32)), pa.array(leads)],
+                [pa.array(np.concatenate((head_node[tell], node[later]))), pa.array(np.concatenate((head_pos[tell], pos[later])).astype(np.int32)), pa.array(leads)],
                 names=["node", "pos", "leads"],
             )
 
@@ -143,21 +152,20 @@ def _neighbours(apart: int):
 def _repeating(rows: DataFrame, order: list[str], apart: int) -> DataFrame:
     """(node, pos, leads) of the rows (mark, other, node, pos and what else orders them) whose mark and other occur again.
 
-    leads marks the first by `order`; in its text others count from `apart` words behind it.
+    leads marks the first by `order`; in its text others count from `apart` words behind it. The rows are sorted over all partitions by mark;
+    a mark that would fill a good part of one is dealt by a salt, and its first row, found by partial aggregates, is sent along.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = rows.where(F.pmod(F.xxhash64("node", "pos"), F.lit(SAMPLE)) == 0)
-    counted = cut(some.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"))
+    spread = F.xxhash64("node", "pos")
+    counted = cut(rows.where(F.pmod(spread, F.lit(SAMPLE)) == 0).groupBy("mark").agg(F.count("*").alias("n")).where("n > 1"))
     least = max(2, (counted.agg(F.sum("n")).first()[0] or 0) // (HOT_MARKS * parts))
     # At most HOT_MARKS a partition, as they hold that share of the sample each.
-    hot = F.broadcast(counted.where(F.col("n") > least).select("mark"))
-    usual = rows.join(hot, "mark", "left_anti").repartitionByRange(parts, "mark").sortWithinPartitions("mark", "other", *order)
-    found = usual.select("mark", "other", "node", "pos").mapInArrow(_neighbours(apart), "node long, pos int, leads boolean")
-    large = rows.join(hot, "mark", "left_semi")
-    heads = large.groupBy("mark", "other").agg(F.min(F.struct(*order)).alias("head"), F.count("*").alias("n")).where("n > 1")
-    flagged = large.join(F.broadcast(heads), ["mark", "other"]).select("node", "pos", ((F.col("node") == F.col("head.node")) & (F.col("pos") == F.col("head.pos"))).alias("leads"), "head")
-    away = (F.col("node") != F.col("head.node")) | (F.col("pos") >= F.col("head.pos") + apart)
-    return found.union(flagged.where(F.col("leads") | away).select("node", "pos", "leads"))
+    hot = counted.where(F.col("n") > least).select("mark")
+    first = rows.join(F.broadcast(hot), "mark", "left_semi").groupBy("mark", "other").agg(F.min(F.struct(*order)).alias("head"))
+    heads = np.array(sorted((r.mark, r.other, r.node, r.pos) for r in first.select("mark", "other", "head.node", "head.pos").collect()), dtype=np.int64).reshape(-1, 4).T
+    dealt = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "mark", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(spread, F.lit(4096))).otherwise(0).cast("int"))
+    sorted_rows = dealt.repartitionByRange(parts, "mark", "salt").sortWithinPartitions("mark", "other", *order)
+    return sorted_rows.select("mark", "other", "node", "pos").mapInArrow(_neighbours(apart, heads), "node long, pos int, leads boolean")
 
 
 def _union(starts: np.ndarray, length: int) -> list[tuple[int, int]]:

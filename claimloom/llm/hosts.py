@@ -7,6 +7,9 @@ tells (method of moments on their binomial counts; one weight a level). A page p
 posterior bound of its host, mean - Z standard deviations, reaches ``THRESHOLD``. Rules, where they fit, decide
 before the reputation. A host nobody has labelled has its domain's posterior, and so on up.
 
+A registered domain is one label more than its suffix. A suffix is the longest of ``suffixes`` (such as co.uk) that the host ends with,
+else its last label; without that list all hosts under a suffix of two labels share one domain, which only makes their prior coarser.
+
 The host is what lies between the first :// and the next /, ? or #, with A-Z lower-cased; the path runs from there to ? or #.
 Null urls and those without :// have an empty host and path; they are a host of their own. Repeated rows each get a verdict. Null
 outcomes count as none. Without any outcome every mean is one half. Other columns are never read.
@@ -17,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.session import cut
+
 Z = 1.645
 THRESHOLD = 0.5
 #: (host, path, verdict)
@@ -33,12 +38,15 @@ def _rest(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.expr("substr(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
 
 
-def with_host(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path, domain (last two labels of the host), suffix (last label)."""
+def with_host(pages: DataFrame, suffixes: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, url, host, path, domain (a label more than the suffix), suffix (of the list, else the last label)."""
     rest = F.coalesce(_rest(F.col("url")), F.lit(""))
     host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = pages.select("page_id", "url").withColumns({"host": host, "path": F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)})
-    return out.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    listed = [(F.endswith(F.col("host"), F.lit(f".{x}")) | (F.col("host") == x), x) for x in sorted(suffixes, key=lambda x: (-x.count("."), x))]
+    suffix = F.coalesce(*[F.when(fits, x) for fits, x in listed], F.substring_index("host", ".", -1))
+    domain = F.coalesce(*[F.when(fits, F.substring_index("host", ".", -x.count(".") - 2)) for fits, x in listed], F.substring_index("host", ".", -2))
+    return out.withColumns({"domain": domain, "suffix": suffix})
 
 
 def rule_for(rules: list[tuple[str, str, str]]) -> Column:
@@ -62,13 +70,14 @@ def _weight(table: DataFrame, mean: str) -> float:
     return 1 / min(max(rho, 1e-3), 0.999) - 1
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """A row per host of pages: host, k good of n labelled pages, mean, bound."""
-    seen = with_host(pages)
+    seen = with_host(pages, suffixes)
     good = outcomes.where("good is not null").groupBy("page_id").agg(F.min(F.col("good").cast("int")).alias("good"))
     # Counted per host before anything else, so a host with a third of all pages is one row.
-    counts = seen.join(good, "page_id", "left").groupBy("host", "domain", "suffix").agg(
-        F.sum(F.coalesce("good", F.lit(0))).alias("k"), F.count("good").alias("n")
+    # They are read for every level's weight, so the pages are joined with their outcomes only once.
+    counts = cut(
+        seen.join(good, "page_id", "left").groupBy("host", "domain", "suffix").agg(F.sum(F.coalesce("good", F.lit(0))).alias("k"), F.count("good").alias("n"))
     )
     by_domain = counts.groupBy("domain", "suffix").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
     by_suffix = by_domain.groupBy("suffix").agg(F.sum("k").alias("k"), F.sum("n").alias("n"))
@@ -86,9 +95,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z) -> Data
     return by_host.select("host", "k", "n", "mean", (F.col("mean") - z * deviation).alias("bound"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, z: float = Z, threshold: float = THRESHOLD) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, z: float = Z, threshold: float = THRESHOLD, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """A row per row of pages: page_id, host, path, rule, verdict."""
-    bound = host_reputation(pages, outcomes, z).select(F.col("host").alias("h"), "bound")
+    bound = host_reputation(pages, outcomes, z, suffixes).select(F.col("host").alias("h"), "bound")
     judged = with_host(pages).withColumn("r", rule_for(rules)).join(bound, F.col("host") == F.col("h"), "left")
     own = F.when(F.col("bound") >= threshold, "allow").otherwise("block")
     return judged.select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", own).alias("verdict"))

@@ -85,8 +85,8 @@ def train(words: Vocabulary, rows: np.ndarray, at: np.ndarray, group: np.ndarray
     return Model(words, w, b)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Trains on the rows of labels outside fold 0."""
+def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
+    """Trains on the rows of labels outside fold 0, and on at most so many positive and unlabelled texts."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     counts = known.agg(F.count("*").alias("n"), F.sum(F.col("toxic").cast("long")).alias("t")).first()
     prior = (counts.t or 0) / counts.n if counts.n else 0.0
@@ -94,9 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     toxic = known.where("toxic = 1").select("doc_id").distinct()
     chosen = [
         x.orderBy(F.xxhash64("doc_id", F.lit(part)), "doc_id").limit(most).withColumn("part", F.lit(part))
-        for x, part, most in ((toxic.join(ids, "doc_id"), 1, POSITIVES), (ids, 0, UNLABELLED))
+        for x, part, most in ((toxic.join(ids, "doc_id"), 1, positives), (ids, 0, unlabelled))
     ]
-    # At most POSITIVES + UNLABELLED ids are broadcast, so no text of the corpus is shuffled to find theirs.
+    # At most positives + unlabelled ids are broadcast, so no text of the corpus is shuffled to find theirs.
     picked = F.broadcast(chosen[0].union(chosen[1]))
     sample = sampled(docs.select("doc_id", "text").join(picked, "doc_id"), "part", False, PREFIXES)
     words = Vocabulary(contrasts(sample, LEAST, FEATURES, CONTRAST))

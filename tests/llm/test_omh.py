@@ -125,3 +125,17 @@ def test_edited_repeated_lines_stay_near_duplicates(spark):
     want, links = brute_classes(rows)
     assert links == 1 and {r.doc_id: r.class_id for r in omh.near_duplicates(docs).collect()} == want
     assert sorted(r.doc_id for r in omh.keep_one_of_each(docs).collect()) == [0, 2]
+
+
+def test_columns_of_any_name_ties_and_very_long_texts(spark):
+    rng = random.Random(12)
+    long = [f"u{rng.randrange(10**6)}" for _ in range(30000)]
+    near = list(long)
+    near[15000] = "edited"
+    same = " ".join(f"s{i}" for i in range(30))
+    rows = [(5, " ".join(long)), (3, " ".join(near)), (9, same), (9, same), (8, same), (None, "alone in the world of words"), (1, "x y z")]
+    names = ["node", "First", "rows", "kmers", "class_id"]
+    docs = spark.createDataFrame([(d, t, *range(5)) for d, t in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    kept = omh.keep_one_of_each(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "8", "None"] and all(tuple(r)[2:] == tuple(range(5)) for r in kept)
+    assert {r.class_id for r in omh.near_duplicates(docs).where("doc_id in (8, 9)").collect()} == {8}

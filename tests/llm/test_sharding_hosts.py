@@ -60,6 +60,12 @@ def test_rules_and_hosts(spark, pages):
     assert got[4].verdict == "allow" and got[5].verdict == "block" and len(got) == len(pages)
 
 
+def test_domains_by_a_list_of_suffixes(spark):
+    df = spark.createDataFrame([(1, "http://a.b.co.uk/x"), (2, "http://b.co.uk"), (3, "http://x.y.org"), (4, "http://co.uk"), (5, None)], "page_id long, url string")
+    got = {r.page_id: (r.domain, r.suffix) for r in hosts.with_host(df, ("co.uk", "uk")).collect()}
+    assert got == {1: ("b.co.uk", "co.uk"), 2: ("b.co.uk", "co.uk"), 3: ("y.org", "org"), 4: ("co.uk", "co.uk"), 5: ("", "")}
+
+
 def test_reputation_equals_sql(spark, pages):
     labels = [(i, int(i % 7 != 2), int(i % 11 == 0)) for i in range(0, 400, 2)] + [(3, None, 1), (None, 1, 0)]
     p = spark.createDataFrame(pages, "page_id long, url string")

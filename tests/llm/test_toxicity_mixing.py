@@ -93,3 +93,56 @@ def test_rates_are_fitted_to_the_end(spark):
     rate = mixing.rates_of(p, duals)
     assert np.abs(off).sum() <= 1e-5
     assert np.allclose((tokens * rate) @ p / tokens.sum(), [0.5, 0.3, 0.2], atol=1e-5) and (rate >= 0).all()
+
+
+def test_columns_of_any_name_very_long_texts_and_equal_rows(spark, corpus):
+    rows, labels = corpus
+    names = ["copies", "Copy", "hash", "rate", "tokens"]
+    kinds = ", ".join(f"{n} int" for n in names)
+    long = " ".join(f"word{i % 500}" for i in range(40000))
+    every = [(d, t, *range(5)) for d, t in rows[:200]] + [(8000, long, *range(5))] + [(8001, "twice the same", *range(5))] * 2
+    docs = spark.createDataFrame(every, f"doc_id long, text string, {kinds}")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").select("doc_id", mixing.label_domains().alias("domain"))
+    out = mixing.mix(docs, lab, {"fine": 1.0, "rough": 1.0, "toxic": 1.0}).collect()
+    assert docs.columns == list(out[0].asDict()) and all(tuple(r)[2:] == tuple(range(5)) for r in out)
+    assert [r.tokens for r in mixing.mixed(docs, lab).where("doc_id = 8000").collect()] == [40000]
+    twins = mixing.mixed(docs, lab).where("doc_id = 8001").collect()
+    assert len(twins) == 2 and twins[0].copies == twins[1].copies and twins[0].rate == twins[1].rate
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert 0 <= scored[8000] <= 1 and len(scored) == len({r[0] for r in every})
+
+
+def test_scores_equal_a_plain_sum(spark, corpus):
+    import pyarrow as pa
+
+    from claimloom.llm import textvec as tv
+
+    rows, labels = corpus
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    weight = dict(zip(model.words.hashes.tolist(), model.weights.tolist()))
+
+    def hashes(word):
+        w = next(iter(tv.words(pa.array([word]), alnum=True, prefixes=toxicity.PREFIXES)))
+        return {*w.hashes.tolist(), *(h for _, hs in w.heads for h in hs.tolist())}
+
+    texts = [t for _, t in rows[:60]] + [None, ""]
+    for t, score in zip(texts, model.scores(pa.array(texts))):
+        found = set().union(*(hashes(w) for w in (t or "").replace("!", " ").split())) if t else set()
+        assert score == pytest.approx(1 / (1 + np.exp(-(model.bias + sum(weight.get(h, 0.0) for h in found)))))
+
+
+def test_vocabulary_first_changes_no_posterior(spark, corpus):
+    import pyarrow as pa
+
+    from claimloom.llm.features import word_sets
+
+    rows, labels = corpus
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").select("doc_id", mixing.label_domains().alias("domain"))
+    model = mixing.fit(spark.createDataFrame(rows, "doc_id long, text string"), lab, list(mixing.TARGETS))
+    column = pa.array([t for _, t in rows[:100]])
+    for (lo, hi, p, _), (_, _, r, h, _) in zip(model.of(column), word_sets(column, shapes=True)):
+        r, at = model.words.find(r, h)
+        f = np.stack([b + np.bincount(r, w[at], minlength=hi - lo) for w, b in zip(model.weights.T, model.bias)], axis=1)
+        e = np.exp(f - f.max(axis=1, keepdims=True))
+        assert np.allclose(p, e / e.sum(axis=1, keepdims=True))

@@ -55,7 +55,9 @@ def resolve(claims: DataFrame, order: list[str], overrides: DataFrame | None = N
     claims: entity, entity_id, field, value, source (one value a source and field); overrides: the key and value.
     """
     rows = claims.select(*KEY, "value", "source", ranked(F.col("source"), order).alias("r"))
-    each = rows.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("r", "source", "value"))).alias("c"), F.countDistinct("source").alias("n_sources"))
+    # Sources are counted in the collected list: a distinct aggregate beside it would shuffle every claim a second time.
+    each = rows.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("r", "source", "value"))).alias("c"))
+    each = each.withColumn("n_sources", F.size(F.array_distinct("c.source")))
     values = F.transform("c", lambda x: x.value)
     is_date = F.col("field").rlike(date_fields)
     each = each.withColumn("v", values).withColumn("one", F.size(F.array_distinct("v")) == 1)

@@ -8,5 +8,7 @@ from claimloom.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8, 8, "4g")
+def spark(tmp_path_factory):
+    session = local_session(8, 8, "4g")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    return session

@@ -161,10 +161,10 @@ def _repeating(rows: DataFrame, order: list[str], apart: int) -> DataFrame:
     least = max(2, (counted.agg(F.sum("n")).first()[0] or 0) // (HOT_MARKS * parts))
     # At most HOT_MARKS a partition, as they hold that share of the sample each.
     hot = counted.where(F.col("n") > least).select("mark", F.lit(True).alias("hot"))
-    marked = rows.join(F.broadcast(hot), "mark", "left")
-    first = marked.where("hot").groupBy("mark", "other").agg(F.min(F.struct(*order)).alias("head"))
+    marks = [r.mark for r in hot.collect()]
+    first = rows.where(F.col("mark").isin(marks)).groupBy("mark", "other").agg(F.min(F.struct(*order)).alias("head"))
     heads = np.array(sorted((r.mark, r.other, r.node, r.pos) for r in first.select("mark", "other", "head.node", "head.pos").collect()), dtype=np.int64).reshape(-1, 4).T
-    dealt = marked.withColumn("salt", F.when(F.col("hot"), F.pmod(spread, F.lit(4096))).otherwise(0).cast("int"))
+    dealt = rows.join(F.broadcast(hot), "mark", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(spread, F.lit(4096))).otherwise(0).cast("int"))
     sorted_rows = dealt.repartitionByRange(parts, "mark", "salt").sortWithinPartitions("mark", "other", *order)
     return sorted_rows.select("mark", "other", "node", "pos").mapInArrow(_neighbours(apart, heads), "node long, pos int, leads boolean")
 

@@ -1,7 +1,8 @@
 """Sources: cached pages behind a Python data source, previous snapshots, corrections; and the sinks beside them.
 
 Nothing here talks to a network: a cache folder of JSON pages stands for the remote set. A page is
-one partition, so pages are read in parallel and a lost task re-reads one page.
+one partition, so pages are read in parallel and a lost task re-reads one page. read_cached() lists and reads the folder with
+Spark's own readers, wherever it lies; the data source cached_pages is for a folder that driver and executors mount.
 """
 
 from __future__ import annotations
@@ -54,6 +55,14 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(CachedPages)
 
 
+def read_cached(spark: SparkSession, folder: str) -> DataFrame:
+    """position, key, record (JSON) of the pages in a folder of any file system that Spark reads."""
+    page = F.from_json("value", "offset long, records array<string>")
+    pages = spark.read.option("wholetext", True).option("pathGlobFilter", "page-*.json").text(folder).select(page.alias("p"))
+    each = pages.select(F.col("p.offset").alias("offset"), F.posexplode("p.records").alias("i", "record"))
+    return each.select((F.col("offset") + F.col("i")).alias("position"), F.get_json_object("record", "$.key").alias("key"), "record")
+
+
 def year_slices(first: int, fine_from: int, last: int, coarse: int = 10) -> list[tuple[int | None, int | None]]:
     """Slices of a set by year: coarse ones up to fine_from, then one a year, an open end, and those without a year."""
     out: list[tuple[int | None, int | None]] = [(y, min(y + coarse, fine_from) - 1) for y in range(first, fine_from, coarse)]

@@ -15,6 +15,8 @@ def test_cached_pages(spark, tmp_path):
     pages.register(spark)
     df = spark.read.format("cached_pages").load(str(tmp_path))
     assert df.rdd.getNumPartitions() == 3 and sorted(r.position for r in df.collect()) == list(range(6))
+    own = pages.read_cached(spark, str(tmp_path))
+    assert sorted((r.position, r.key, json.loads(r.record)["year"]) for r in own.collect()) == sorted((r.position, r.key, json.loads(r.record)["year"]) for r in df.collect())
     assert pages.complete(df, "key", 6).first().complete and not pages.complete(df, "key", 7).first().complete
     assert pages.foreign(df, F.get_json_object("record", "$.year") == "1990").count() == 3
     assert pages.year_slices(1950, 1970, 1972) == [(1950, 1959), (1960, 1969), (1970, 1970), (1971, 1971), (1972, 1972), (1973, None), (None, None)]

@@ -1,11 +1,11 @@
-"""The ten operators as queries over their whole tables, with production parameters."""
+"""The operators as queries over their whole tables, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, segtopk, sharding, suffix, toxicity, windows
+from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, resampling, segtopk, sharding, suffix, toxicity, windows
 from claimloom.session import table
 
 
@@ -54,6 +54,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_trie_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +71,12 @@ QUERIES = {
         op8_byte_shards,
         op9_compact_windows,
         op10_order_minhash,
+        op11_trie_resampling,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op2_segment_top_k": segtopk.ORACLE, "op7_host_reputation": hosts.ORACLE, "op8_byte_shards": sharding.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_segment_top_k": segtopk.ORACLE,
+    "op7_host_reputation": hosts.ORACLE,
+    "op8_byte_shards": sharding.ORACLE,
+    "op11_trie_resampling": resampling.ORACLE,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import crosspolytope, hosts, mixing, omh, packing, resampling, segtopk, sharding, suffix, toxicity, windows
+from claimloom.llm import crosspolytope, hosts, merkle, mixing, omh, packing, resampling, segtopk, sharding, suffix, toxicity, windows
 from claimloom.session import table
 
 
@@ -58,6 +58,10 @@ def op11_trie_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("path")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +76,7 @@ QUERIES = {
         op9_compact_windows,
         op10_order_minhash,
         op11_trie_resampling,
+        op12_merkle_manifest,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -79,4 +84,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_host_reputation": hosts.ORACLE,
     "op8_byte_shards": sharding.ORACLE,
     "op11_trie_resampling": resampling.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }

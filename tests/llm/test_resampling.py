@@ -77,9 +77,11 @@ def test_blocks_of_a_long_text():
     whole = next(R.word_blocks(text))
     assert [w for block in R.word_blocks(text, 7) for w in block] == whole and len(list(R.word_blocks(text, 7))) > 20
     for longest in (1, 2, 3, 5):
-        ((n, all_at_once),) = R.Trie(longest).runs(text)
-        parts = list(R.Trie(longest, block=1).runs(text))
-        assert sum(p[0] for p in parts) == n == 150 and Counter(x for p in parts for x in p[1]) == Counter(all_at_once)
+        whole_trie, block_trie = R.Trie(longest), R.Trie(longest, block=1)
+        ((n, at_once),) = whole_trie.runs(text)
+        parts = list(block_trie.runs(text))
+        assert sum(new for new, _ in parts) == n == 150 and len(parts) > 20
+        assert Counter(block_trie.crc[x] for _, found in parts for x in found) == Counter(whole_trie.crc[x] for x in at_once)
 
 
 def test_no_rows(spark):

@@ -254,7 +254,10 @@ class Forest:
 
         schema = T.StructType([*self.schema.fields, *paths.schema.fields[4:]])
         # One list a partition on either side: rows stay where they were sorted, only the nodes' rows move.
-        return self.spark.createDataFrame(self.rows.glom().zip(sent.glom()).mapPartitionsWithIndex(run), schema, verifySchema=False)
+        rows, spare = self.rows.glom(), sent.getNumPartitions() - parts
+        if spare > 0:  # a session may deal to more partitions than were asked for
+            rows = rows.union(self.spark.sparkContext.parallelize([[]] * spare, spare))
+        return self.spark.createDataFrame(rows.zip(sent.glom()).mapPartitionsWithIndex(run), schema, verifySchema=False)
 
 
 _STEPS = T.ArrayType(T.StructType().add("left", T.StringType()).add("right", T.StringType()))

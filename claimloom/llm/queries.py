@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import crosspolytope, hosts, merkle, mixing, omh, packing, resampling, segtopk, sharding, suffix, toxicity, windows
+from claimloom.llm import credentials, crosspolytope, hosts, merkle, mixing, omh, packing, resampling, segtopk, sharding, suffix, toxicity, windows
 from claimloom.session import table
 
 
@@ -62,6 +62,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents")).drop("path")
 
 
+def op13_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +81,7 @@ QUERIES = {
         op10_order_minhash,
         op11_trie_resampling,
         op12_merkle_manifest,
+        op13_credential_links,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -85,4 +90,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_byte_shards": sharding.ORACLE,
     "op11_trie_resampling": resampling.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_credential_links": credentials.ORACLE,
 }

@@ -250,7 +250,7 @@ def pack(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, clo
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = "start long, length long, ids_crc32 long, doc_tokens long"
     pieces = docs.select("doc_id", "text").mapInArrow(_pieces(file or tokens.default_file(), capacity, closing), f"doc_id {kind}, {numbers}, ids binary")
-    pieces = cut(pieces).withColumn("uid", F.monotonically_increasing_id())  # a checkpoint keeps its partitions
+    pieces = cut(pieces.withColumn("uid", F.monotonically_increasing_id()))  # written: a table is not read again in the same partitions
     light = pieces.drop("ids").withColumn("pid", F.shiftright("uid", 33))
     by_part = cut(light.groupBy("length", "pid").agg(F.count("*").alias("n")))
     counts = np.zeros(capacity + 1, dtype=np.int64)

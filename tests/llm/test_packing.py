@@ -47,6 +47,23 @@ def test_every_id_lies_in_one_piece(spark, corpus):
     assert padding == 0
 
 
+def test_whatever_the_parallelism_when_rows_are_read(spark, corpus):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string").repartition(6)
+    out = packing.pack(docs)
+    total = sum(r.length for r in out.collect())
+    keys = ["spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for values in (("1", "1g", "1"), ("3", "2k", "40")):
+            for k, v in zip(keys, values):
+                spark.conf.set(k, v)
+            rows = out.select("*").collect()
+            assert sum(r.length for r in rows) == total and len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_linear_program_fills_sequences():
     rng = np.random.default_rng(1)
     counts = np.zeros(257, dtype=np.int64)

@@ -162,39 +162,6 @@ def xml_enrichment(spark, sf_dir):
     return r.select("id", F.explode(two).alias("c")).select("id", "c.*").where("value is not null")
 
 
-@query("""SELECT p_partkey AS work, concat_ws('|', p_name, CASE WHEN p_size % 2 = 0 THEN p_name || ' ' || p_type END, p_type || ' ' || p_brand) AS terms FROM part""")
-def foreign_terms(spark, sf_dir):
-    """The terms a foreign work is searched by: its titles in order, none twice in any case."""
-    t = F.array_compact(F.array(F.col("p_name"), F.when(F.col("p_size") % 2 == 0, F.concat_ws(" ", "p_name", "p_type")), F.upper("p_name"), F.concat_ws(" ", "p_type", "p_brand")))
-    first = F.filter(t, lambda x, i: F.array_position(F.transform(t, lambda y: F.lower(y)), F.lower(x)) == i + 1)
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("work"), F.array_join(first, "|").alias("terms"))
-
-
-@query("""WITH l AS (SELECT o_custkey AS work, o_orderpriority AS market, o_orderkey % 3 = 0 AS bound, o_orderkey FROM orders) SELECT DISTINCT work, 'no line' AS why FROM l WHERE work NOT IN (SELECT work FROM l WHERE market = '1-URGENT') UNION SELECT DISTINCT work, 'unbound' FROM l WHERE market = '1-URGENT' AND work NOT IN (SELECT work FROM l WHERE market = '1-URGENT' AND bound)""")
-def binding_candidates(spark, sf_dir):
-    """Works without a line in a market, and those whose lines there are all unbound."""
-    l = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("work"), F.col("o_orderpriority").alias("market"), (F.col("o_orderkey") % 3 == 0).alias("bound"))  # noqa: E741
-    home = F.col("market") == "1-URGENT"
-    w = l.groupBy("work").agg(F.bool_or(home).alias("has"), F.bool_or(home & F.col("bound")).alias("bound"))
-    return w.where("not bound").select("work", F.when(F.col("has"), "unbound").otherwise("no line").alias("why"))
-
-
-@query("""WITH c AS (SELECT p_partkey AS line, i AS round, CASE WHEN (p_partkey * i) % 7 = 0 THEN p_partkey % 50 + i END AS id, abs(p_size - i * 9) <= 3 AS year_ok FROM part, range(1, 4) r(i)), b AS (SELECT line, min(round) AS round FROM c WHERE id IS NOT NULL AND year_ok GROUP BY line) SELECT line, round::INTEGER AS round, id FROM c JOIN b USING (line, round)""")
-def binding_rounds(spark, sf_dir):
-    """Binding in rounds of terms: the first round in which a line's pick passes the year guard."""
-    c = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line"), "p_size", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("round"))
-    c = c.withColumn("id", F.when((F.col("line") * F.col("round")) % 7 == 0, F.col("line") % 50 + F.col("round"))).where(F.abs(F.col("p_size") - F.col("round") * 9) <= 3)
-    return c.where("id is not null").groupBy("line").agg(F.min(F.struct("round", "id")).alias("b")).select("line", "b.*")
-
-
-@query("""WITH n AS (SELECT p_brand AS work, p_name AS parent, min(p_partkey) AS id, count(*) AS k FROM part WHERE p_size % 2 = 0 GROUP BY ALL) SELECT p_partkey AS line, CASE WHEN k = 1 THEN n.id END AS shown FROM part LEFT JOIN n ON work = p_brand AND parent = p_name WHERE p_size % 2 = 1""")
-def display_fallback(spark, sf_dir):
-    """An unbound line shows its parent's id where it has exactly one parent."""
-    p = table(spark, sf_dir, "part")
-    parents = p.where("p_size % 2 = 0").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("id"), F.count("*").alias("k"))
-    return p.where("p_size % 2 = 1").join(parents, ["p_brand", "p_name"], "left").select(F.col("p_partkey").alias("line"), F.when(F.col("k") == 1, F.col("id")).alias("shown"))
-
-
 @query("""WITH i AS (SELECT l_partkey AS isbn, min(l_returnflag) AS medium FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_returnflag) = 1), t AS (SELECT p_name AS title, min(p_type) AS medium FROM part GROUP BY p_name HAVING count(DISTINCT p_type) = 1)
 SELECT p_partkey AS line, coalesce(i.medium, t.medium) AS medium, CASE WHEN i.medium IS NOT NULL THEN 'isbn' WHEN t.medium IS NOT NULL THEN 'title' ELSE 'unresolved' END AS why FROM part LEFT JOIN i ON isbn = p_partkey LEFT JOIN t ON title = p_name""")
 def resolved_media(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.functions import people_dates
+from claimloom.functions import worded
 from claimloom.functions.text import _series, clean_value, field_map, numbers_in, split_fields, templates
 
 _S, _I = T.StringType(), T.IntegerType()
@@ -54,7 +54,7 @@ def volume_records(text: str | None, template: str = "Graphic novel list") -> li
         if "/" in head or blank(number):
             continue
         get = lambda *names: next((f[n] for n in names if not blank(f.get(n))), None)
-        day = lambda v: people_dates.parse_date(clean_value(v)) if v else None
+        day = lambda v: worded.parse_date(clean_value(v)) if v else None
         one = {"number": re.sub(r"^0+(?=\d)", "", number), "offset": t["offset"], "title": clean_value(get("licensedtitle", "title", "originaltitle"))}
         for side, dates, isbns in (("original", ("originalreldate", "reldate"), ("originalisbn", "isbn")), ("licensed", ("licensedreldate",), ("licensedisbn",))):
             one |= {f"{side}_date": day(get(*dates)), f"{side}_isbn": _isbn(get(*isbns))}
@@ -156,7 +156,7 @@ def infobox_facts(text: str | None, list_article: str | None = None) -> dict | N
         return None
     f = next((b for b in boxes if list_article and squeezed(clean_value(b.get("volume_list"))) == squeezed(list_article)), boxes[0])
     header = next((field_map(t["body"]) for t in templates(text, "Infobox animanga/Header")), {})
-    first, last = (people_dates.parse_date(clean_value(f.get(k))) if f.get(k) else None for k in ("first", "last"))
+    first, last = (worded.parse_date(clean_value(f.get(k))) if f.get(k) else None for k in ("first", "last"))
     volumes = re.match(r"\d{1,4}", clean_value(f.get("volumes", "")) or "")
     return {
         "name": clean_value(header.get("name")), "genres": "|".join(_items(header.get("genre"))[:6]), "author": "|".join(_items(f.get("author"))[:4]), "publisher": current_publisher(f.get("publisher")),

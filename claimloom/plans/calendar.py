@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from claimloom.functions import dates, keys, people_dates, text
+from claimloom.functions import dates, keys, people, text, worded
 from claimloom.plans.catalogue import query
 from claimloom.plans.derived import plain, rows
 
@@ -50,7 +50,7 @@ def worded_dates(spark, sf_dir):
     y, m, d, w, f = F.col("y").cast("string"), F.col("m").cast("string"), F.col("d").cast("string"), F.col("word"), F.col("form")
     s = F.when(f == 0, F.concat(w, F.lit(" "), d, F.lit(", "), y)).when(f == 1, F.concat(F.lit("31 "), F.when(F.col("m").isin(2, 4, 6, 9, 11), w).otherwise(F.lit("x")), F.lit(" "), y)).when(f == 2, F.concat_ws(" ", w, y)).when(f == 3, F.concat_ws("/", d, m, y)).otherwise(F.concat(F.lit("ca. "), y))
     s = F.when((f == 1) & ~F.col("m").isin(2, 4, 6, 9, 11), F.concat_ws(" ", w, y)).otherwise(s)
-    return r.select("id", people_dates.iso_date(s).alias("iso")).select("id", "iso", keys.precision(F.col("iso")).alias("precision"))
+    return r.select("id", worded.iso_date(s).alias("iso")).select("id", "iso", keys.precision(F.col("iso")).alias("precision"))
 
 
 NUMBERS = """SELECT l_orderkey AS id, l_linenumber AS line, l_partkey AS part, CASE l_partkey % 9 WHEN 0 THEN 'Vol. 0' || l_linenumber WHEN 1 THEN l_linenumber || ' – ' || (l_linenumber + 3) WHEN 2 THEN l_linenumber || '.5' WHEN 3 THEN '—' WHEN 4 THEN 'Ex' || l_linenumber WHEN 5 THEN NULL WHEN 6 THEN 'Tome ' || l_linenumber
@@ -84,11 +84,11 @@ SELECT id, name, list_aggregate(list_sort(string_split(parts, ' ')), 'string_agg
 coalesce(CASE WHEN id % 6 < 2 THEN false WHEN id % 6 IN (2, 3) THEN starts_with(b, 'Jin') ELSE false END, false) AS same_full FROM k""")
 def persons(spark, sf_dir):
     """Name keys, splits into family and given name, and two tests of whether names are one person's."""
-    p = rows(spark, sf_dir, PEOPLE).withColumns({"k": people_dates.person_key("a"), "q": people_dates.person_key("b"), "s": people_dates.person_splits("a"), "t": people_dates.person_splits("b")})
+    p = rows(spark, sf_dir, PEOPLE).withColumns({"k": people.person_key(F.col("a")), "q": people.person_key(F.col("b")), "s": people.person_splits(F.col("a")), "t": people.person_splits(F.col("b"))})
     told = F.array_join(F.array_sort(F.transform("s", lambda x: F.concat(x["family"], F.lit("/"), x["given"]))), " ")
     return p.select(
         "id", F.when(F.col("k.family").isNotNull(), F.concat(F.col("k.family"), F.lit(":"), F.array_join("k.tokens", " "))).alias("name"), told.alias("splits"),
-        people_dates.persons_agree("k", "q").alias("same"), F.coalesce(F.arrays_overlap("s", "t"), F.lit(False)).alias("same_full"),
+        people.same_person(F.col("k"), F.col("q")).alias("same"), F.coalesce(F.arrays_overlap("s", "t"), F.lit(False)).alias("same_full"),
     )
 
 
@@ -98,7 +98,7 @@ FROM (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'toukko' WHEN 1 THEN 'mat
 def romanised_and_isbn10(spark, sf_dir):
     """One romanisation a token; ISBN-10 to 13."""
     s = rows(spark, sf_dir, "SELECT s_suppkey AS id, CASE s_suppkey % 3 WHEN 0 THEN 'toukko' WHEN 1 THEN 'matsushi' ELSE 'chillo' END AS w, lpad(CAST(s_suppkey * 37 AS VARCHAR(12)), 9, '0') AS b FROM {supplier}")
-    return s.select("id", people_dates.romanised_token("w").alias("romanised"), keys.isbn10_to_13(F.concat("b", F.lit("X"))).alias("isbn13"))
+    return s.select("id", people.romanised(F.col("w")).alias("romanised"), keys.isbn10_to_13(F.concat("b", F.lit("X"))).alias("isbn13"))
 
 
 @query("""WITH p AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_size % 3 = 0 THEN 'Ex' || p_size ELSE (p_size * 1.5)::VARCHAR END AS n FROM part)

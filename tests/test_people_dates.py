@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.functions import people_dates as pd
+from claimloom.functions import people, worded
 
 
 @pytest.mark.parametrize(
@@ -13,16 +13,31 @@ from claimloom.functions import people_dates as pd
     ],
 )
 def test_dates(text, want):
-    assert pd.parse_date(text) == want
+    assert worded.parse_date(text) == want
+
+
+KEYS = [
+    ("Émile  ZOLA", ("zola", ["emile", "zola"])), ("Zola, Émile", ("zola", ["emile", "zola"])), ("Al", None), ("Shin'ichi (x) Jean-Luc", ("jeanluc", ["jeanluc", "shinichi"])), ("Abcd", ("abcd", ["abcd"])), (None, None), ("", None),
+    ("De la Cruz, Ana", ("delacruz", ["ana", "cruz", "de", "la"])), ("Oouchi, Yuu", ("oochi", ["oochi", "yu"])), (", Ana Bo", ("", ["ana", "bo"])), ("\x98The\x9c Man", ("man", ["man", "the"])), ("E\u0301mile Zola", ("zola", ["emile", "zola"])),
+    ("Ắn Đo", ("o", ["an", "o"])), ("林田 球", None), ("A B", ("b", ["a", "b"])),
+]
+PAIRS = [
+    ("Hayashida, Kyū", "Q Hayashida", True), ("Umino, Chika", "Chica Umino", True), ("Kōsuke", "Kohske", True), ("Sakamoto, Akira", "Akira Toriyama", False), ("Al", "Al", False), (None, "Ana Bo", False),
+    ("Jin Hwan Park", "Jinhwan Park", True), ("Tanaka, Ai", "Tanoka, Ei", True), ("Tana, Ai", "Tano, Ei", False), ("Ito, Ai", "Ito, Ei", False),
+]
 
 
 def test_names(spark):
-    key, same = pd.name_key, lambda a, b: pd.same_person(pd.name_key(a), pd.name_key(b))
-    assert key("Émile  ZOLA") == key("Zola, Émile") == {"family": "zola", "tokens": ["emile", "zola"]} and key("Al") is None and key("Shin'ichi (x) Jean-Luc")["tokens"] == ["jeanluc", "shinichi"]
-    assert same("Hayashida, Kyū", "Q Hayashida") and same("Umino, Chika", "Chica Umino") and same("Kōsuke", "Kohske") and not same("Sakamoto, Akira", "Akira Toriyama")
-    assert {(s["family"], s["given"]) for s in pd.name_splits("Park Jin Hwan")} == {("park", "jinhwan"), ("hwan", "parkjin"), ("parkjinhwan", "")}
-    assert pd.name_splits("Chu-Gong") == pd.name_splits("Chugong") and pd.name_splits("Park, Jin-hwan") == [{"family": "park", "given": "jinhwan"}]
-    df = spark.createDataFrame([("Ana López", "López, Ana"), (None, "X")], "a string, b string")
-    same = F.arrays_overlap(pd.person_splits("a"), pd.person_splits("b"))
-    assert [r.s for r in df.select(F.coalesce(same, F.lit(False)).alias("s")).collect()] == [True, False]
-    assert [r.d for r in df.select(pd.iso_date(F.lit("3 mars 2010")).alias("d")).collect()] == ["2010-03-03"] * 2
+    df = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(KEYS)], "i int, n string").select("i", people.person_key(F.col("n")).alias("k"))
+    assert [r.k and (r.k.family, r.k.tokens) for r in df.orderBy("i").collect()] == [k for _, k in KEYS]
+    pairs = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(PAIRS)], "i int, a string, b string").withColumns({"p": people.person_key(F.col("a")), "q": people.person_key(F.col("b"))})
+    assert [(r.x, r.y) for r in pairs.select("i", people.same_person(F.col("p"), F.col("q")).alias("x"), people.same_person(F.col("q"), F.col("p")).alias("y")).orderBy("i").collect()] == [(w, w) for _, _, w in PAIRS]
+    names = ["Park Jin Hwan", "Chu-Gong", "Chugong", "Park, Jin-hwan", None, "", "Ana López", "López, Ana", "X", "A, B, C"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string").select("i", people.person_splits(F.col("n")).alias("s")).orderBy("i")
+    got = [[(s.family, s.given) for s in r.s] for r in df.collect()]
+    assert got[0] == [("hwan", "parkjin"), ("park", "jinhwan"), ("parkjinhwan", "")] and got[1] == got[2] == [("chugong", "")] and got[3] == [("park", "jinhwan")]
+    assert got[4] == got[5] == [] and set(got[6]) & set(got[7]) == {("lopez", "ana")} and got[8] == [("x", "")] and got[9] == [("a", "bc")]
+
+
+def test_words_of_dates(spark):
+    assert spark.range(1).select(worded.iso_date(F.lit("3 mars 2010")).alias("d")).first().d == "2010-03-03"

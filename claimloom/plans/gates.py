@@ -121,15 +121,6 @@ def new_name_collisions(spark, sf_dir):
     return _tall(own).unionAll(_tall(g.agg(F.count_if((F.col("works") > 1) & (F.col("works") > F.col("was"))).alias("between works"))))
 
 
-@query("""WITH own AS (SELECT DISTINCT o_custkey AS series, o_orderkey % 40 AS number FROM orders), have AS (SELECT DISTINCT o_custkey AS series, o_orderkey % 40 AS number FROM orders WHERE o_orderpriority <> '5-LOW')
-SELECT series, count(*) AS owned, count_if(h.number IS NULL)::BIGINT AS missing, count_if(h.number IS NULL) = 0 AS covered FROM own LEFT JOIN have h USING (series, number) GROUP BY series""")
-def coverage_replay(spark, sf_dir):
-    """What a library owns against what the artifact has."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("series"), (F.col("o_orderkey") % 40).alias("number"), "o_orderpriority")
-    both = o.groupBy("series", "number").agg(F.bool_or(F.col("o_orderpriority") != "5-LOW").alias("has"))
-    return both.groupBy("series").agg(F.count("*").alias("owned"), F.count_if(~F.col("has")).alias("missing"), F.every("has").alias("covered"))
-
-
 @query("""SELECT l_returnflag AS market, count(*) AS volumes, count_if(l_discount > 0)::BIGINT AS dated, count(*) >= 10000 AND count_if(l_discount > 0) * 10 >= count(*) * 8 AS ok FROM lineitem GROUP BY l_returnflag""")
 def market_floors(spark, sf_dir):
     """Counts and shares of each market against their floors."""
@@ -177,15 +168,6 @@ def volume_corrections(spark, sf_dir):
     return j.select("n", F.coalesce("a", F.when(F.col("k") == 1, F.col("i"))).alias("target"), how.alias("by"))
 
 
-@query("""SELECT count(*) AS names, count_if(trim(regexp_replace(lower(p_name || ' Ö'), '[^a-z0-9]+', ' ', 'g')) <> trim(regexp_replace(lower(strip_accents(p_name || ' Ö')), '[^a-z0-9]+', ' ', 'g')))::BIGINT AS changed FROM part""")
-def fold_regression(spark, sf_dir):
-    """Strings that two versions of a key function fold differently."""
-    from claimloom.functions import keys, text
-
-    s = F.concat("p_name", F.lit(" Ö"))
-    return table(spark, sf_dir, "part").select(keys.ascii_key(s).alias("old"), keys.ascii_key(text.accent_free(s)).alias("new")).agg(F.count("*").alias("names"), F.count_if(F.col("old") != F.col("new")).alias("changed"))
-
-
 @query("SELECT count_if(o_orderstatus = 'F' AND o_orderpriority LIKE '1%')::BIGINT AS both, count_if(o_orderstatus = 'F' AND NOT o_orderpriority LIKE '1%')::BIGINT AS first_only, count_if(o_orderstatus = 'F' AND o_orderpriority LIKE '1%') = 0 AS disjoint FROM orders")
 def disjoint_scopes(spark, sf_dir):
     """Whether two scopes share a row."""
@@ -201,16 +183,6 @@ def deferred_scopes(spark, sf_dir):
     return kept.select("line", F.lit("kept").alias("scope"), "n").unionAll(deferred.select("line", F.lit("deferred"), "n"))
 
 
-@query("""WITH a AS (SELECT p_partkey AS id, p_size % 4 AS was, CASE WHEN p_size % 20 = 3 THEN 9 ELSE p_size % 4 END AS now FROM part) SELECT 'replay' AS gate, count_if(was <> now)::BIGINT AS changed, count_if(was <> now) = 0 AS equal FROM a""")
-def ranker_replay(spark, sf_dir):
-    """Two versions of a rule over the same rows, and how many answers changed."""
-    p = table(spark, sf_dir, "part")
-    old = p.select(F.col("p_partkey").alias("id"), (F.col("p_size") % 4).alias("v"))
-    new = p.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 20 == 3, 9).otherwise(F.col("p_size") % 4).alias("v"))
-    d = claims.snapshot_diff(old, new, "id", "v")
-    return d.agg(F.lit("replay").alias("gate"), F.count_if(F.col("change") != "same").alias("changed"), (F.count_if(F.col("change") != "same") == 0).alias("equal"))
-
-
 @query("""SELECT c_mktsegment AS sample, count(*) AS n, round(count_if(c_acctbal > 0) / count(*), 6) AS day_share, round(count_if(c_custkey % 3 > 0) / count(*), 6) AS isbn_share FROM customer GROUP BY c_mktsegment""")
 def sample_quality(spark, sf_dir):
     """Shares of a sample's rows with dates and identifiers."""

@@ -34,7 +34,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id", max_rounds: int = 40, present: DataFrame | None = None) -> DataFrame:
+def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id", present: DataFrame | None = None) -> DataFrame:
     """Follows old -> new links to their last successor: (old_id, final_id).
 
     Pointer jumping doubles the covered length each round. One successor per id is kept (the
@@ -45,7 +45,8 @@ def collapse_chains(links: DataFrame, old: str = "old_id", new: str = "new_id",
         links = links.join(present.select(old), old, "left_anti")
     one = links.where(F.col(old).isNotNull() & F.col(new).isNotNull()).groupBy(F.col(old).alias("old_id")).agg(F.min(new).alias("to"))
     state = last = cut(one)
-    for _ in range(max_rounds):
+    # A chain of n links is covered in log n rounds; what still moves then runs in a circle.
+    for _ in range(max(1, one.count()).bit_length() + 1):
         ahead = state.select(F.col("old_id").alias("to"), F.col("to").alias("next"))
         moved = cut(state.join(ahead, "to", "left").select("old_id", F.col("to").alias("was"), F.coalesce("next", "to").alias("to")))
         release(last)

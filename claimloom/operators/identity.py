@@ -64,32 +64,56 @@ def twins(rows: DataFrame) -> DataFrame:
     return connected_components(links.unionAll(rows.select("id", "id"))).withColumnRenamed("node", "id")
 
 
+class _Lines:
+    """The lines of one signature so far: their numbers as bits, and which lines hold a number."""
+
+    def __init__(self) -> None:
+        self.heads: list[object] = []
+        self.held: list[int] = []
+        self.holders: dict[object, list[int]] = {}
+        self.bit: dict[object, int] = {}
+
+    def place(self, set_id: object, numbers: list) -> object:
+        own, met = 0, {}
+        for n in set(numbers):
+            own |= 1 << self.bit.setdefault(n, len(self.bit))
+            for line in self.holders.get(n, ()):
+                met[line] = met.get(line, 0) + 1
+        size = own.bit_count()
+        # The first line that shares nothing, or one number where both sides have three at least.
+        at = next((i for i in range(len(self.heads)) if i not in met or (met[i] == 1 and min(size, self.held[i].bit_count()) >= 3)), len(self.heads))
+        if at == len(self.heads):
+            self.heads.append(set_id)
+            self.held.append(0)
+        for n in set(numbers):
+            if not self.held[at] >> self.bit[n] & 1:
+                self.holders.setdefault(n, []).append(at)
+        self.held[at] |= own
+        return self.heads[at]
+
+
 def merge_disjoint(sets: DataFrame) -> DataFrame:
     """(signature, set_id, line): sets of one signature merge while their numbers stay disjoint, or share one number between sets of three or more.
 
-    sets: signature, set_id, numbers (array). Each set joins the first line that it fits, in the order of ids, so one signature's sets are
-    decided together; what a signature brings to a task is its sets' numbers, not its records.
+    sets: signature, set_id, numbers (array). Each set joins the first line that it fits, in the order of ids. Sets stream through in that order: a task
+    keeps the numbers of a signature's lines as bits, never its sets, and a set looks only at lines that hold its numbers.
     """
-    def run(group):
-        import pandas as pd
-
-        lines: list[tuple[object, set]] = []
-        out = []
-        for _, r in group.sort_values("set_id").iterrows():
-            own = set(r["numbers"])
-            for head, held in lines:
-                both = len(held & own)
-                if not both or (both == 1 and min(len(held), len(own)) >= 3):
-                    held |= own
-                    out.append((r["signature"], r["set_id"], head))
-                    break
-            else:
-                lines.append((r["set_id"], own))
-                out.append((r["signature"], r["set_id"], r["set_id"]))
-        return pd.DataFrame(out, columns=["signature", "set_id", "line"])
-
     kind = {f.name: f.dataType.simpleString() for f in sets.schema}
-    return sets.groupBy("signature").applyInPandas(run, f"signature {kind['signature']}, set_id {kind['set_id']}, line {kind['set_id']}")
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, lines = object(), _Lines()
+        for batch in batches:
+            heads = []
+            for signature, set_id, numbers in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if signature != now:
+                    now, lines = signature, _Lines()
+                heads.append(lines.place(set_id, numbers or []))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(heads, batch.column(1).type)], names=["signature", "set_id", "line"])
+
+    ordered = sets.select("signature", "set_id", "numbers").repartition("signature").sortWithinPartitions("signature", "set_id")
+    return ordered.mapInArrow(run, f"signature {kind['signature']}, set_id {kind['set_id']}, line {kind['set_id']}")
 
 
 def split_sections(rows: DataFrame) -> DataFrame:

@@ -38,9 +38,14 @@ def cascade(rows: DataFrame, tables: list[DataFrame], key: str, value: str) -> D
 
 
 def prefix_join(short: DataFrame, long: DataFrame, a: str, b: str, head: int) -> DataFrame:
-    """Rows of long whose b starts with a of short; an equi-join on the first `head` characters, then the residual."""
-    left = short.where(F.length(a) >= head).withColumn("__h", F.substring(a, 1, head))
-    right = long.withColumn("__h", F.substring(b, 1, head))
+    """Rows of long whose b starts with a of short: an equi-join on a head of a, at most `head` characters, then the residual.
+
+    A shorter a meets b under all of itself; an empty one is met by every b that is not null.
+    """
+    left = short.where(F.col(a).isNotNull()).withColumn("__h", F.substring(a, 1, head))
+    heads = F.transform(F.sequence(F.lit(0), F.least(F.length(b), F.lit(head))), lambda n: F.substr(F.col(b), F.lit(1), n))
+    right = long.where(F.col(b).isNotNull()).withColumn("__h", F.explode(heads))
+    # A longer a has a head of its own length only, so a pair meets once.
     return left.join(right, "__h").where(F.startswith(F.col(b), F.col(a))).drop("__h")
 
 
@@ -114,28 +119,47 @@ def attach_roles(votes: DataFrame, mine: str, theirs: str, shared: str, n_mine:
 def one_to_one(pairs: DataFrame, a: str, b: str, score: str) -> DataFrame:
     """Greedy one-to-one matching by score, then ids: the same pairs that taking the best free pair again and again gives.
 
-    A pair that is the best of both its ends would be taken before any other of theirs, so all such pairs are taken in one round.
-    Pairs with a null end are left out.
+    A pair with nothing better at either end is taken. One with a single better pair is taken if and only if that is not, so chains of such pairs
+    are followed by pointer jumping, however long they are; the rest waits for the next round. A score may stand at an end that holds very many
+    pairs: only the two best of an end are looked for, by aggregates. Pairs with a null end are left out; of equal ends the best score counts.
     """
-    from claimloom.session import cut
-
-    left, taken = cut(pairs.select(a, b, score).where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct()), None
-    order = [F.desc(score), F.asc(a), F.asc(b)]
-    # The best pair of all is taken in every round, so the rounds end.
-    while not left.isEmpty():
-        first = lambda end: F.row_number().over(Window.partitionBy(end).orderBy(*order))
-        best = cut(left.withColumns({"__a": first(a), "__b": first(b)}).where("__a = 1 and __b = 1").select(a, b, score))
-        taken = best if taken is None else taken.union(best)
-        left = cut(left.join(best.select(a), a, "left_anti").join(best.select(b), b, "left_anti"))
-    return taken if taken is not None else left
-
-
-def spread(rows: DataFrame, row: str, groups: list[str], value: str, max_rounds: int = 20) -> DataFrame:
-    """Fills null values from groups whose known values agree, group column by group column, until nothing changes."""
+    from claimloom.session import cut, release
+
+    left = cut(pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.max(score).alias("s")))
+    rank, taken = F.struct((-F.col("s")).alias("s"), "a", "b"), None
+    while not left.isEmpty():  # the best pair of all is taken in every round
+        marked = left
+        for end in ("a", "b"):
+            first = left.groupBy(end).agg(F.min(rank).alias(f"{end}1"))
+            second = left.join(first, end).where(rank != F.col(f"{end}1")).groupBy(end).agg(F.min(rank).alias(f"{end}2"))
+            marked = marked.join(first, end).join(second, end, "left")
+        tops = {end: rank == F.col(f"{end}1") for end in ("a", "b")}
+        nexts = {end: F.coalesce(rank == F.col(f"{end}2"), F.lit(False)) for end in ("a", "b")}
+        hangs = F.when(tops["a"] & nexts["b"], F.col("b1")).when(tops["b"] & nexts["a"], F.col("a1"))
+        on = F.coalesce(hangs, rank)
+        state = cut(marked.select("a", "b", "s", on["a"].alias("pa"), on["b"].alias("pb"), hangs.isNotNull().alias("flip"), (tops["a"] & tops["b"]).alias("best")))
+        while True:
+            ahead = state.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("pa").alias("qa"), F.col("pb").alias("qb"), F.col("flip").alias("turn"))
+            moved = cut(state.join(ahead, ["pa", "pb"]).select("a", "b", "s", F.col("qa").alias("pa"), F.col("qb").alias("pb"), (F.col("flip") != F.col("turn")).alias("flip"), "best", ((F.col("pa") != F.col("qa")) | (F.col("pb") != F.col("qb"))).alias("moved")))
+            release(state)
+            state = moved
+            if state.where("moved").isEmpty():
+                break
+        roots = state.where("best").select(F.col("a").alias("pa"), F.col("b").alias("pb"))
+        won = cut(state.join(roots, ["pa", "pb"], "left_semi").where("not flip").select("a", "b", "s"))
+        release(state)
+        taken = won if taken is None else taken.unionAll(won)
+        left = cut(left.join(won.select("a"), "a", "left_anti").join(won.select("b"), "b", "left_anti"))
+    found = taken if taken is not None else left
+    return found.select(F.col("a").alias(a), F.col("b").alias(b), F.col("s").alias(score))
+
+
+def spread(rows: DataFrame, row: str, groups: list[str], value: str) -> DataFrame:
+    """Fills null values from groups whose known values agree, group column by group column, until nothing changes; every round but the last fills one."""
     from claimloom.session import cut
 
     state = cut(rows)
-    for _ in range(max_rounds):
+    while True:
         new = state
         for g in groups:
             agreed = new.where(F.col(value).isNotNull()).groupBy(g).agg(F.min(value).alias("__v"), F.max(value).alias("__w")).where("__v = __w").select(g, "__v")
@@ -145,7 +169,6 @@ def spread(rows: DataFrame, row: str, groups: list[str], value: str, max_rounds:
         if filled == state.where(F.col(value).isNotNull()).count():
             return new
         state = new
-    raise RuntimeError(f"spreading did not settle in {max_rounds} rounds")
 
 
 def fold_verdicts(candidate: DataFrame, target: DataFrame, key: str, number: str, isbn: str) -> DataFrame:

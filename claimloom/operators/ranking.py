@@ -110,3 +110,9 @@ def alias_terms(lines: DataFrame, own: list[Column], key) -> DataFrame:
     good = each.where((F.col("key") != "") & ~F.array_contains("own", F.col("key")) & ~F.lower("term").rlike("^(list of|liste des|liste der) "))
     first = good.groupBy("line", "key").agg(F.min(F.struct("pos", "term")).alias("f"))
     return first.select("line", F.row_number().over(Window.partitionBy("line").orderBy("f.pos")).alias("place"), "f.term")
+
+
+def collisions(rows: DataFrame, shared: list[str], owner: str, member: str) -> DataFrame:
+    """Rows of groups that several owners are in, with the group's first member (head) and number of owners (works): a row a member, no pairs."""
+    groups = rows.groupBy(*shared).agg(F.count_distinct(owner).alias("works"), F.min(member).alias("head")).where("works > 1")
+    return rows.join(groups, shared)

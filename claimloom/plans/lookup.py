@@ -152,12 +152,12 @@ def picked_collisions(spark, sf_dir):
     return b.where("picked is not null").join(groups, "picked").join(held, "picked", "left").select("line", "picked", state.alias("state"))
 
 
-@query("""SELECT a.o_orderkey AS a, b.o_orderkey AS b, a.d AS shared FROM (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') || o_orderpriority AS d FROM orders) a JOIN (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') || o_orderpriority AS d FROM orders) b ON a.d = b.d AND a.o_custkey < b.o_custkey AND a.o_custkey % 10 = b.o_custkey % 10""")
+@query("""WITH o AS (SELECT o_orderkey AS entity, o_custkey AS work, strftime(o_orderdate, '%Y-%m-%d') || o_orderpriority AS shared, o_custkey % 10 AS kind FROM orders), g AS (SELECT shared, kind, count(DISTINCT work) AS works, min(entity) AS head FROM o GROUP BY ALL)
+SELECT entity, work, shared, head, works FROM o JOIN g USING (shared, kind) WHERE works > 1""")
 def created_collisions(spark, sf_dir):
-    """Pairs of created entities of different works with one id, for a report."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_custkey") % 10).alias("m"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority").alias("shared"))
-    other = o.select(F.col("o_orderkey").alias("b"), F.col("o_custkey").alias("w"), "m", "shared")
-    return o.join(other, ["shared", "m"]).where("o_custkey < w").select(F.col("o_orderkey").alias("a"), "b", "shared")
+    """Created entities of different works with one id, a row a member under the group's first, for a report."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("entity"), F.col("o_custkey").alias("work"), F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority").alias("shared"), (F.col("o_custkey") % 10).alias("kind"))
+    return ranking.collisions(o, ["shared", "kind"], "work", "entity").select("entity", "work", "shared", "head", "works")
 
 
 @query("""WITH v AS (SELECT o_custkey AS old, o_orderkey % 400 AS sid, count(*) AS n FROM orders GROUP BY ALL), m AS (SELECT old, sid, n, rank() OVER (PARTITION BY old ORDER BY n DESC) AS r FROM v), b AS (SELECT old, CASE WHEN count(*) = 1 THEN min(sid) END AS best FROM m WHERE r = 1 GROUP BY old),

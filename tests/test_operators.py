@@ -1,5 +1,7 @@
 """Branch tables of the operators on inline rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,52 @@ def test_one_to_one_follows_a_long_chain(spark):
     pairs = [(k // 2 + k % 2, 1000 + k // 2, 200 - k) for k in range(103)]
     df = spark.createDataFrame([*pairs, pairs[0], (None, 1000, 500), (None, None, 1)], "a int, b int, s int")
     assert {tuple(r) for r in linkage.one_to_one(df, "a", "b", "s").collect()} == set(pairs[::2])
+
+
+def test_matching_equals_a_loop(spark):
+    rng = random.Random(6)
+    chain = [(i // 2 + i % 2, i // 2, 1000 - i) for i in range(600)]  # falling scores: one edge a round without jumps
+    star = [(5000, 6000 + i, i) for i in range(300)] + [(7000 + i, 6000, i) for i in range(300)]
+    other = [(rng.randrange(40) + 10_000, rng.randrange(40), rng.randrange(9)) for _ in range(500)]
+    pairs = chain + star + [(a, b + 20_000, s) for a, b, s in other] + [(None, 1, 5), (1, None, 5), chain[0]]
+    want, used_a, used_b = set(), set(), set()
+    for a, b, s in sorted((p for p in pairs if None not in p), key=lambda p: (-p[2], p[0], p[1])):
+        if a not in used_a and b not in used_b:
+            used_a.add(a), used_b.add(b), want.add((a, b, s))
+    got = linkage.one_to_one(spark.createDataFrame(pairs, "a int, b int, s int"), "a", "b", "s")
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_prefixes_shorter_than_the_head(spark):
+    short = spark.createDataFrame([("ab",), ("abcdefg",), ("abcdeX",), ("",), (None,), ("abcdef",)], "a string")
+    long = spark.createDataFrame([("abc",), ("abcdefgh",), ("a",), (None,), ("",)], "b string")
+    want = {(a, b) for (a,) in map(tuple, short.collect()) for (b,) in map(tuple, long.collect()) if a is not None and b is not None and b.startswith(a)}
+    got = [tuple(r) for r in linkage.prefix_join(short, long, "a", "b", 6).select("a", "b").collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_circles_end(spark):
+    links = [(i, (i + 1) % 5) for i in range(5)] + [(10 + i, 11 + i) for i in range(90)] + [(200, 3)]
+    got = dict(map(tuple, graph.collapse_chains(spark.createDataFrame(links, "old_id int, new_id int")).collect()))
+    assert all(got[i] is None for i in range(5)) and all(got[10 + i] == 100 for i in range(90)) and len(got) == len(links)
+
+
+def test_lines_of_disjoint_sets_equal_a_loop(spark):
+    from claimloom.operators import identity
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["x", "y", None]), i, [rng.randrange(30) for _ in range(rng.randrange(0, 6))]) for i in range(400)] + [("y", 999, None)]
+    want, lines = set(), {}
+    for sig, i, numbers in rows:
+        own = set(numbers or [])
+        for line in lines.setdefault(sig, []):
+            both = len(line[1] & own)
+            if not both or (both == 1 and min(len(line[1]), len(own)) >= 3):
+                line[1] |= own
+                break
+        else:
+            line = [i, set(own)]
+            lines[sig].append(line)
+        want.add((sig, i, line[0]))
+    got = identity.merge_disjoint(spark.createDataFrame(rows, "signature string, set_id int, numbers array<int>").repartition(4))
+    assert {tuple(r) for r in got.collect()} == want

@@ -190,14 +190,6 @@ def sample_quality(spark, sf_dir):
     return table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("sample")).agg(F.count("*").alias("n"), share(F.col("c_acctbal") > 0).alias("day_share"), share(F.col("c_custkey") % 3 > 0).alias("isbn_share"))
 
 
-@query("""WITH b AS (SELECT l_orderkey AS line, count(*) AS n, count_if(l_returnflag = 'R')::BIGINT AS r FROM lineitem GROUP BY 1) SELECT line, n, r, CASE WHEN r * 2 > n THEN 'weak' WHEN n = 1 THEN 'single' WHEN r = 0 THEN 'clean' END AS list FROM b WHERE r * 2 > n OR n = 1 OR r = 0""")
-def gate_lists(spark, sf_dir):
-    """The lists that reviewers look through before publishing."""
-    b = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("line")).agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("r"))
-    kind = F.when(F.col("r") * 2 > F.col("n"), "weak").when(F.col("n") == 1, "single").when(F.col("r") == 0, "clean")
-    return b.withColumn("list", kind).where("list is not null")
-
-
 @query("""WITH s AS (SELECT c_nationkey, CASE WHEN count(*) OVER (PARTITION BY c_nationkey) < 60 AND c_nationkey NOT IN (3, 7) THEN 'other' ELSE c_nationkey::VARCHAR END AS g FROM customer) SELECT g, count(*) AS n FROM s GROUP BY g""")
 def folded_groups(spark, sf_dir):
     """Small groups fold to other unless they are on a list."""

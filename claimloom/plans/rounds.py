@@ -174,14 +174,6 @@ def resolved_media(spark, sf_dir):
     return j.select(F.col("p_partkey").alias("line"), F.coalesce("a", "b").alias("medium"), F.when(F.col("a").isNotNull(), "isbn").when(F.col("b").isNotNull(), "title").otherwise("unresolved").alias("why"))
 
 
-@query("""SELECT market, rule, n FROM (SELECT l_returnflag AS market, count_if(l_discount = 0)::BIGINT AS a, count_if(l_tax = 0 AND l_linestatus = 'F')::BIGINT AS b, count_if(l_quantity > 49)::BIGINT AS c, count(DISTINCT l_suppkey) AS d FROM lineitem GROUP BY 1) UNPIVOT (n FOR rule IN (a AS 'no_discount', b AS 'finished_untaxed', c AS 'oversized', d AS 'publishers'))""")
-def market_rules(spark, sf_dir):
-    """The rules of single markets, one pass for all."""
-    line = table(spark, sf_dir, "lineitem")
-    m = line.groupBy(F.col("l_returnflag").alias("market")).agg(F.count_if(F.col("l_discount") == 0).alias("no_discount"), F.count_if((F.col("l_tax") == 0) & (F.col("l_linestatus") == "F")).alias("finished_untaxed"), F.count_if(F.col("l_quantity") > 49).alias("oversized"), F.count_distinct("l_suppkey").alias("publishers"))
-    return m.unpivot("market", ["no_discount", "finished_untaxed", "oversized", "publishers"], "rule", "n")
-
-
 @query("""WITH l AS (SELECT p_partkey AS id, p_brand AS grp, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS name, p_partkey % 5 = 0 AS held FROM part) SELECT id, CASE WHEN held THEN grp || ' (held)' ELSE name END AS name FROM l""")
 def restored_names(spark, sf_dir):
     """Group names that were held come back as they were."""

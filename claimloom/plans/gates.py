@@ -183,13 +183,6 @@ def deferred_scopes(spark, sf_dir):
     return kept.select("line", F.lit("kept").alias("scope"), "n").unionAll(deferred.select("line", F.lit("deferred"), "n"))
 
 
-@query("""SELECT c_mktsegment AS sample, count(*) AS n, round(count_if(c_acctbal > 0) / count(*), 6) AS day_share, round(count_if(c_custkey % 3 > 0) / count(*), 6) AS isbn_share FROM customer GROUP BY c_mktsegment""")
-def sample_quality(spark, sf_dir):
-    """Shares of a sample's rows with dates and identifiers."""
-    share = lambda c: F.round(F.count_if(c) / F.count("*"), 6)
-    return table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("sample")).agg(F.count("*").alias("n"), share(F.col("c_acctbal") > 0).alias("day_share"), share(F.col("c_custkey") % 3 > 0).alias("isbn_share"))
-
-
 @query("""WITH s AS (SELECT c_nationkey, CASE WHEN count(*) OVER (PARTITION BY c_nationkey) < 60 AND c_nationkey NOT IN (3, 7) THEN 'other' ELSE c_nationkey::VARCHAR END AS g FROM customer) SELECT g, count(*) AS n FROM s GROUP BY g""")
 def folded_groups(spark, sf_dir):
     """Small groups fold to other unless they are on a list."""

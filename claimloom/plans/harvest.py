@@ -150,22 +150,6 @@ def allowlisted_channels(spark, sf_dir):
     return c.join(new, "k", "left").select("k", "name", F.when(F.col("new"), "both").otherwise("legacy").alias("state"))
 
 
-@query("""SELECT p_partkey AS k, row_number() OVER (ORDER BY p_partkey)::INTEGER AS place, CASE WHEN p_size % 2 = 0 THEN 'found' ELSE 'lost' END AS state FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 2) ORDER BY p_partkey LIMIT 25""")
-def followed_up(spark, sf_dir):
-    """Carried keys that no channel brought are asked for one by one, at most twenty-five (the follow-up's own cap)."""
-    from pyspark.sql import Window
-
-    seen = table(spark, sf_dir, "lineitem").where("l_linenumber = 2").select(F.col("l_partkey").alias("p_partkey"))
-    lost = table(spark, sf_dir, "part").join(seen, "p_partkey", "left_anti").orderBy("p_partkey").limit(25)
-    return lost.select(F.col("p_partkey").alias("k"), F.row_number().over(Window.orderBy("p_partkey")).alias("place"), F.when(F.col("p_size") % 2 == 0, "found").otherwise("lost").alias("state"))
-
-
-@query("""SELECT 'region' AS canary, count(*) = 5 AS present, max(r_name) AS told FROM region""")
-def canary(spark, sf_dir):
-    """A row that must be there before a scan is trusted."""
-    return table(spark, sf_dir, "region").agg(F.lit("region").alias("canary"), (F.count("*") == 5).alias("present"), F.max("r_name").alias("told"))
-
-
 @query("""SELECT c_custkey AS id, c_name AS name, NULL::VARCHAR AS licence, c_custkey % 4 = 0 AS library_born FROM customer""")
 def previous_artifact(spark, sf_dir):
     """The previous artifact's rows under the present columns, those it lacked null, and which were born in a library."""
@@ -174,16 +158,6 @@ def previous_artifact(spark, sf_dir):
     return present.unionByName(old, allowMissingColumns=True).withColumn("library_born", F.col("id") % 4 == 0)
 
 
-@query("""SELECT name, kind, owned, source FROM (SELECT 'A' || c_nationkey AS name, CASE WHEN c_nationkey % 2 = 0 THEN 'novel' ELSE 'manga' END AS kind, count(*) AS owned, 'db' AS source FROM customer WHERE c_nationkey < 12 GROUP BY c_nationkey UNION ALL SELECT 'A' || s_nationkey, 'manga', count(*), 'json' FROM supplier WHERE s_nationkey >= 12 GROUP BY s_nationkey)""")
-def library_either_way(spark, sf_dir):
-    """A library from its database or from a snapshot of it, the same rows either way."""
-    c = table(spark, sf_dir, "customer").where("c_nationkey < 12").groupBy("c_nationkey").agg(F.count("*").alias("owned"))
-    db = c.select(F.concat(F.lit("A"), "c_nationkey").alias("name"), F.when(F.col("c_nationkey") % 2 == 0, "novel").otherwise("manga").alias("kind"), "owned", F.lit("db").alias("source"))
-    s = table(spark, sf_dir, "supplier").where("s_nationkey >= 12").groupBy("s_nationkey").agg(F.count("*").alias("owned"))
-    snapshot = s.select(F.to_json(F.struct(F.concat(F.lit("A"), "s_nationkey").alias("name"), F.lit("manga").alias("kind"), "owned")).alias("j"))
-    return db.unionAll(snapshot.select(F.from_json("j", "name string, kind string, owned bigint").alias("r")).select("r.*", F.lit("json")))
-
-
 @query("""SELECT l_orderkey AS parent FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 > 0) GROUP BY l_orderkey""")
 def missing_parents(spark, sf_dir):
     """Parents that rows refer to and no channel brought."""

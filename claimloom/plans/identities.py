@@ -152,12 +152,6 @@ def one_per_number(spark, sf_dir):
     return runs.one_per_number(v, ["line"], "number", [F.col("pref")], F.col("line") % 2 == 0).groupBy("fate").agg(F.count("*").alias("n"))
 
 
-@query("""WITH e AS (SELECT o_custkey AS market, o_orderpriority AS vol, o_orderkey AS pos FROM orders) SELECT market, vol, pos FROM e QUALIFY row_number() OVER (PARTITION BY market, vol ORDER BY pos) = 1""")
-def market_dedup(spark, sf_dir):
-    """A second edition's (volume, market) goes."""
-    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("market"), F.col("o_orderpriority").alias("vol")).agg(F.min("o_orderkey").alias("pos"))
-
-
 @query("""WITH e AS (SELECT user_id AS g, CASE WHEN event_id % 3 = 0 THEN 'label x' ELSE 'plain' END AS shape, event_id, CASE WHEN event_id % 50 = 0 THEN 1990 ELSE event_id // 40 END AS n FROM events), m AS (SELECT g, shape, count(*) AS k, count_if(n = p + 1) AS steps, count_if(n BETWEEN 1900 AND 2100) AS years FROM (SELECT *, lag(n) OVER (PARTITION BY g, shape ORDER BY event_id) AS p FROM e) GROUP BY ALL)
 SELECT g, shape, k, (k >= CASE WHEN starts_with(shape, 'label ') THEN 3 ELSE 2 END AND steps = k - 1 AND years = 0) AS is_run FROM m""")
 def ascending_runs(spark, sf_dir):

@@ -119,18 +119,6 @@ def review_files(spark, sf_dir):
     return r.select("role", "p_partkey", F.row_number().over(Window.partitionBy("role").orderBy("p_brand", "p_name", "p_partkey")).alias("place"))
 
 
-@query("""SELECT count(*) AS lines, count(DISTINCT l_orderkey) AS works, max(strftime(l_shipdate, '%Y-%m-%d')) AS last_seen, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS channels, count_if(l_linestatus = 'F') < 1 AS degraded FROM lineitem""")
-def run_metadata(spark, sf_dir):
-    """One row about a run, degraded flag included."""
-    line = table(spark, sf_dir, "lineitem")
-    # Distinct works are counted as groups, so no task holds all of them.
-    works = line.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.max("l_shipdate").alias("d"), F.count_if(F.col("l_linestatus") == "F").alias("f"))
-    one = works.agg(F.sum("n").alias("lines"), F.count("*").alias("works"), F.date_format(F.max("d"), "yyyy-MM-dd").alias("last_seen"), (F.sum("f") < 1).alias("degraded"))
-    flags = line.groupBy("l_returnflag").count().agg(F.array_join(F.array_sort(F.collect_list("l_returnflag")), ",").alias("channels"))
-    # Two tables of one row each.
-    return one.join(flags, F.lit(True)).select("lines", "works", "last_seen", "channels", "degraded")
-
-
 @query("""SELECT c_nationkey, c_mktsegment, '[' || string_agg(DISTINCT b, ',' ORDER BY b) || ']' AS volumes FROM (SELECT c_nationkey, c_mktsegment, (c_custkey % 7)::VARCHAR AS b FROM customer) GROUP BY ALL""")
 def snapshot_json(spark, sf_dir):
     """A library's holdings as sorted JSON arrays."""

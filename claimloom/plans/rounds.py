@@ -22,13 +22,6 @@ def inherited_origin(spark, sf_dir):
     return p.join(heads, "head", "left").select("id", F.coalesce("own", "theirs").alias("origin"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') THEN 'published' ELSE 'unknown' END AS date_type FROM orders""")
-def typed_dates(spark, sf_dir):
-    """Dates are labelled where a source that states its milestone claims them."""
-    told = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(True).alias("told")).distinct()
-    return table(spark, sf_dir, "orders").join(told, "o_orderkey", "left").select("o_orderkey", F.when(F.col("told"), "published").otherwise("unknown").alias("date_type"))
-
-
 _RETAG = "SELECT DISTINCT l_suppkey AS line, l_suppkey % 6 AS work, CASE WHEN l_suppkey % 4 = 0 THEN 'manhwa' ELSE 'manga' END AS proposed, CASE WHEN l_suppkey % 4 = 0 OR l_suppkey % 3 = 0 THEN 'manga' ELSE 'manhwa' END AS medium, l_partkey % 40 AS isbn FROM {lineitem}"
 
 
@@ -45,13 +38,6 @@ def retag_guard(spark, sf_dir):
     return n.join(held, "line", "left").select("line", F.coalesce("held", F.lit("free")).alias("state"))
 
 
-@query("""SELECT DISTINCT coalesce(CASE WHEN p_size % 3 = 0 THEN p_partkey END, p_size + 100000) AS cover FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_linenumber = 1)""")
-def cover_fallbacks(spark, sf_dir):
-    """Ids whose cover stands in for lines without any."""
-    have = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("p_partkey"))
-    return table(spark, sf_dir, "part").join(have, "p_partkey", "left_anti").select(F.coalesce(F.when(F.col("p_size") % 3 == 0, F.col("p_partkey")), F.col("p_size") + 100000).alias("cover")).distinct()
-
-
 _MEMBERS = "SELECT o_custkey AS g, o_orderkey % 4 = 0 AS announced, o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 2 END AS isbn, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 300 END AS pages, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS publisher FROM {orders}"
 
 
@@ -101,33 +87,6 @@ def adoption_clashes(spark, sf_dir):
     return both.withColumn("fate", F.when(F.col("held").isNull(), "moved").when(F.col("adopted") == F.col("held"), "merged").otherwise("clash"))
 
 
-@query("""SELECT DISTINCT l_suppkey AS id, 'line' AS kind FROM lineitem WHERE l_linestatus = 'F' UNION SELECT DISTINCT l_orderkey, 'volume' FROM lineitem WHERE l_linestatus = 'F'""")
-def shipped_ids(spark, sf_dir):
-    """The registry of ids that went out."""
-    line = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'")
-    return line.select(F.col("l_suppkey").alias("id"), F.lit("line").alias("kind")).union(line.select("l_orderkey", F.lit("volume"))).distinct()
-
-
-@query("""SELECT c_custkey AS keep, unnest([c_custkey + 1, c_custkey + 2]) AS merged FROM customer WHERE c_custkey % 50 = 0""")
-def carried_merges(spark, sf_dir):
-    """Merges of earlier builds out of a JSON column."""
-    c = rows(spark, sf_dir, "SELECT c_custkey AS keep, '[' || (c_custkey + 1) || ',' || (c_custkey + 2) || ']' AS j FROM {customer} WHERE c_custkey % 50 = 0")
-    return c.select("keep", F.explode(F.from_json("j", "array<bigint>")).alias("merged"))
-
-
-_SET = "SELECT l_orderkey AS line, l_linenumber AS number, min(l_partkey) AS isbn FROM {lineitem} WHERE l_linenumber < 5 GROUP BY l_orderkey, l_linenumber"
-_SINGLE = "SELECT l_orderkey AS line, CASE WHEN l_suppkey % 3 > 0 THEN l_linenumber END AS number, l_partkey AS isbn, min(l_suppkey) AS pages FROM {lineitem} GROUP BY l_orderkey, CASE WHEN l_suppkey % 3 > 0 THEN l_linenumber END, l_partkey"
-
-
-@query(f"""WITH s AS ({plain(_SET)}), o AS ({plain(_SINGLE)}), t AS (SELECT line, isbn, min(pages) AS p1 FROM o GROUP BY ALL), u AS (SELECT line, number, min(pages) AS p2 FROM o WHERE number IS NOT NULL GROUP BY ALL)
-SELECT s.line, s.number, s.isbn, coalesce(p1, p2) AS pages, CASE WHEN p1 IS NOT NULL THEN 'isbn' WHEN p2 IS NOT NULL THEN 'number' ELSE 'set' END AS twin FROM s LEFT JOIN t USING (line, isbn) LEFT JOIN u USING (line, number)""")
-def assembled_lines(spark, sf_dir):
-    """A set's volumes with what their single records add, found by ISBN, else by number."""
-    s, o = rows(spark, sf_dir, _SET), rows(spark, sf_dir, _SINGLE)
-    by_isbn = o.groupBy("line", "isbn").agg(F.min("pages").alias("p1"))
-    by_number = o.where("number is not null").groupBy("line", "number").agg(F.min("pages").alias("p2"))
-    j = s.join(by_isbn, ["line", "isbn"], "left").join(by_number, ["line", "number"], "left")
-    return j.select("line", "number", "isbn", F.coalesce("p1", "p2").alias("pages"), F.when(F.col("p1").isNotNull(), "isbn").when(F.col("p2").isNotNull(), "number").otherwise("set").alias("twin"))
 
 
 @query("""SELECT p_partkey AS id, concat_ws('|', CASE WHEN p_size % 2 = 0 THEN p_name || ' : ' || p_type ELSE p_name END, CASE WHEN p_size % 3 = 0 THEN p_brand END) AS titles, CASE WHEN p_size % 5 > 0 THEN p_type ELSE '' END AS series, p_size % 4 = 1 AS cased FROM part""")
@@ -153,10 +112,10 @@ def number_acceptance(spark, sf_dir):
     return p.select(F.col("p_partkey").alias("id"), d.alias("d")).select("id", F.when(F.col("d.kind") == "special", "special").otherwise(F.col("d.number")).alias("accepted"))
 
 
-@query("""SELECT p_partkey AS id, f.field, CASE f.field WHEN 'volume_number' THEN p_size::VARCHAR ELSE (p_size + 100)::VARCHAR END AS value FROM part, (VALUES ('volume_number'), ('page_count')) f(field) WHERE p_partkey % 3 > 0 AND (f.field = 'page_count' OR p_partkey % 2 = 0)""")
+@query("""SELECT p_partkey AS id, f.field, CASE f.field WHEN 'volume_number' THEN p_size::VARCHAR ELSE (p_size + 100)::VARCHAR END AS value FROM part, (VALUES ('volume_number'), ('page_count')) f(field) WHERE (f.field = 'page_count' OR p_partkey % 2 = 0)""")
 def xml_enrichment(spark, sf_dir):
     """Two claim fields out of keyed XML answers; what an answer lacks gives no claim."""
-    p = rows(spark, sf_dir, """SELECT p_partkey AS id, '<r><n>' || CASE WHEN p_partkey % 2 = 0 THEN '' || p_size ELSE 'x' END || '</n><p>' || (p_size + 100) || ' p.</p></r>' AS x FROM {part} WHERE p_partkey % 3 > 0""")
+    p = rows(spark, sf_dir, """SELECT p_partkey AS id, '<r><n>' || CASE WHEN p_partkey % 2 = 0 THEN '' || p_size ELSE 'x' END || '</n><p>' || (p_size + 100) || ' p.</p></r>' AS x FROM {part}""")
     r = p.select("id", F.from_xml("x", "n string, p string").alias("r"))
     two = F.array(F.struct(F.lit("volume_number").alias("field"), F.nullif(F.regexp_extract("r.n", "^([0-9]+)$", 1), F.lit("")).alias("value")), F.struct(F.lit("page_count").alias("field"), F.nullif(F.regexp_extract("r.p", "^([0-9]+) p", 1), F.lit("")).alias("value")))
     return r.select("id", F.explode(two).alias("c")).select("id", "c.*").where("value is not null")
@@ -174,14 +133,6 @@ def resolved_media(spark, sf_dir):
     return j.select(F.col("p_partkey").alias("line"), F.coalesce("a", "b").alias("medium"), F.when(F.col("a").isNotNull(), "isbn").when(F.col("b").isNotNull(), "title").otherwise("unresolved").alias("why"))
 
 
-@query("""WITH l AS (SELECT p_partkey AS id, p_brand AS grp, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS name, p_partkey % 5 = 0 AS held FROM part) SELECT id, CASE WHEN held THEN grp || ' (held)' ELSE name END AS name FROM l""")
-def restored_names(spark, sf_dir):
-    """Group names that were held come back as they were."""
-    l = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("grp"), F.when(F.col("p_partkey") % 5 > 0, F.col("p_name")).alias("name"))  # noqa: E741
-    held = l.where("name is null").select("id", F.concat("grp", F.lit(" (held)")).alias("was"))
-    return l.join(held, "id", "left").select("id", F.coalesce("name", "was").alias("name"))
-
-
 @F.pandas_udf(T.DoubleType())
 def difflib_ratio(a, b):
     """Similarity of two strings as Python's difflib gives it."""

@@ -21,14 +21,15 @@ Repeated rows, equal ids and null ids are allowed; other columns are never read,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.llm import textvec as tv
+from claimloom.llm.textids import numbers_of
 from claimloom.operators.graph import connected_components
 from claimloom.session import cut
 
@@ -233,14 +234,15 @@ def possible_pairs(open_nodes: DataFrame, kmers: DataFrame, at_least: float) ->
 
 
 def near_duplicate_classes(
-    docs: DataFrame, sketches: int = SKETCHES, ell: int = ELL, at_least: float = SIMILARITY, rounds: int = LEADER_ROUNDS
+    docs: DataFrame, number: Callable[[Column], Column], sketches: int = SKETCHES, ell: int = ELL, at_least: float = SIMILARITY, rounds: int = LEADER_ROUNDS
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes, links): a row per different text, and every verified link between different texts.
 
+    number: that of a text, from textids.numbers_of(docs).
     nodes: node, first_id (smallest doc_id of the text), first_rows (rows of the text with that id), class_node, class_id.
     links: a, b, similarity.
     """
-    text = docs.select("doc_id", "text", F.xxhash64("text").alias("node")).where("text is not null")
+    text = docs.select("doc_id", "text", number(F.col("text")).alias("node")).where("text is not null")
     rows = text.mapInArrow(_sketch(sketches, ell), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, sketch array<long>")
     nodes = cut(
         rows.groupBy("node", "doc_id")
@@ -299,11 +301,12 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     kept marks the row that stays: one with the class's smallest id. Texts without a word have a null
     class_id and are kept. n_links counts the verified links of the row's text to different texts.
     """
-    nodes, links = near_duplicate_classes(docs, **options)
+    number = numbers_of(docs)
+    nodes, links = near_duplicate_classes(docs, number, **options)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     known = nodes.join(degree, "node", "left").select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    rows = docs.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("node"))
+    rows = docs.select("doc_id", number(F.col("text")).alias("node"))
     return rows.join(known, "node", "left").select(
         "doc_id", "class_id", (F.col("class_id").isNull() | F.col("class_id").eqNullSafe(F.col("doc_id"))).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
@@ -311,14 +314,15 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: that of the smallest doc_id; rows without a word all stay."""
-    nodes, _ = near_duplicate_classes(docs, **options)
+    number = numbers_of(docs)
+    nodes, _ = near_duplicate_classes(docs, number, **options)
     heads = nodes.where(F.col("first_id").eqNullSafe(F.col("class_id")))
     heads = heads.groupBy("class_node").agg(F.min(F.struct("node", "first_id", "first_rows")).alias("h")).select("h.*")
     node, first, rows = tv.free_names(docs.columns, "node", "first", "rows")
     heads = heads.select(F.col("node").alias(node), F.col("first_id").alias(first), F.col("first_rows").alias(rows))
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[A-Za-z0-9]|[^\\x00-\\x7F]")
     marked = docs.where(~wordless)
-    key = [F.xxhash64(marked["text"]) == heads[node], marked["doc_id"].eqNullSafe(heads[first])]
+    key = [number(marked["text"]) == heads[node], marked["doc_id"].eqNullSafe(heads[first])]
     columns = [F.col(f"`{c}`") for c in docs.columns]
     kept = marked.join(heads, key)
     once, again = kept.where(F.col(rows) == 1), kept.where(F.col(rows) > 1).dropDuplicates([node])

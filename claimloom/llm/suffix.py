@@ -22,14 +22,15 @@ never read, and may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm import textvec as tv
+from claimloom.llm.textids import numbers_of
 from claimloom.session import cut, release
 
 LENGTH = 50
@@ -208,15 +209,15 @@ def _spans(length: int):
     return run
 
 
-def text_spans(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(spans by text, texts): node, start_word, n_words, kept; and node, first_id, n_words, copies."""
+def text_spans(docs: DataFrame, number: Callable[[Column], Column], length: int = LENGTH, window: int = WINDOW, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(spans by text, texts): node, start_word, n_words, kept; and node, first_id, n_words, copies. number: textids.numbers_of(docs)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("node"))
+    rows = docs.where("text is not null").select("doc_id", number(F.col("text")).alias("node"))
     heads = cut(
         rows.groupBy("node", "doc_id").agg(F.lit(1).alias("one")).groupBy("node").agg(F.min(F.struct("doc_id")).alias("m"), F.count("*").alias("copies"))
         .select("node", F.col("m.doc_id").alias("first_id"), "copies")
     )
-    own = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("node"))
+    own = docs.where("text is not null").select("doc_id", "text", number(F.col("text")).alias("node"))
     wanted = heads.select(F.col("node").alias("n"), "first_id")
     # One row of each text; ids spread even a very large group of copies over the tasks.
     single = own.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
@@ -249,10 +250,11 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, **options) -> DataF
 
     A copy of an earlier document is one passage of all its words.
     """
-    spans, texts = text_spans(docs, length, **options)
+    number = numbers_of(docs)
+    spans, texts = text_spans(docs, number, length, **options)
     copied = texts.where(F.col("copies") > 1).where(F.col("n_words") >= length)
     own = spans.join(texts.select("node", F.col("first_id").alias("doc_id")), "node").select("doc_id", "start_word", "n_words", "kept")
-    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("node")).distinct()
+    rows = docs.where("text is not null").select("doc_id", number(F.col("text")).alias("node")).distinct()
     later = rows.join(copied.select("node", "first_id", "n_words"), "node").where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     return own.union(later.select("doc_id", F.lit(0).alias("start_word"), "n_words", F.lit(False).alias("kept")))
 
@@ -280,12 +282,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFra
 
     No row goes: a text that is a passage as a whole is left empty.
     """
-    spans, texts = text_spans(docs, length, **options)
+    number = numbers_of(docs)
+    spans, texts = text_spans(docs, number, length, **options)
     gone = spans.where("not kept").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("start_word", "n_words"))).alias("g"))
     plan = texts.join(gone, "node", "left").where((F.col("copies") > 1) | F.col("g").isNotNull())
     key, first, size, gone, starts, sizes = tv.free_names(docs.columns, "key", "first", "size", "gone", "starts", "sizes")
     plan = plan.select(F.col("node").alias(key), F.col("first_id").alias(first), F.col("n_words").alias(size), F.col("g").alias(gone))
-    both = docs.join(plan, F.when(docs["text"].isNotNull(), F.xxhash64(docs["text"])) == plan[key], "left")
+    both = docs.join(plan, number(docs["text"]) == plan[key], "left")
     copy = ~F.col(first).eqNullSafe(F.col("doc_id")) & F.col(key).isNotNull() & (F.col(size) >= length)
     starts_of = F.when(copy, F.array(F.lit(0))).otherwise(F.col(f"{gone}.start_word"))
     sizes_of = F.when(copy, F.array(F.col(size))).otherwise(F.col(f"{gone}.n_words"))

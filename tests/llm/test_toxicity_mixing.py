@@ -183,3 +183,54 @@ def test_vocabulary_first_changes_no_posterior(spark, corpus):
         f = np.stack([b + np.bincount(r, w[at], minlength=hi - lo) for w, b in zip(model.weights.T, model.bias)], axis=1)
         e = np.exp(f - f.max(axis=1, keepdims=True))
         assert np.allclose(p, e / e.sum(axis=1, keepdims=True))
+
+
+def test_descent_over_all_texts_equals_plain_arrays(spark, corpus):
+    from claimloom.llm.features import word_sets
+
+    rows, labels = corpus
+    docs = spark.createDataFrame(rows + rows[:300], "doc_id long, text string").repartition(6)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    import pyarrow as pa
+
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 0
+    toxic = {d for d, _, t in labels if t == 1 and d is not None and not held(d)}
+    judged = [t for d, _, t in labels if d is not None and t is not None and not held(d)]
+    prior = sum(judged) / len(judged)
+    positive = [t for d, t in dict((d, t) for d, t in rows if d in toxic).items()]
+    every = [t for d, t in rows + rows[:300] if not held(d)]
+
+    def matrix(texts):
+        out = np.zeros((len(texts), len(model.words.hashes)))
+        for lo, hi, r, h, _ in word_sets(pa.array(texts), prefixes=toxicity.PREFIXES):
+            r, at = model.words.find(r, h)
+            out[lo + r, at] = 1
+        return out
+
+    p, u = matrix(positive), matrix(every)
+    assert len(model.weights) > 3 and len(positive) > 50
+    w, b, m, v = np.zeros(p.shape[1]), np.log(prior / (1 - prior)), np.zeros(p.shape[1] + 1), np.zeros(p.shape[1] + 1)
+    turned = 0
+    for step in range(1, toxicity.STEPS + 1):
+        fp, fu = p @ w + b, u @ w + b
+        s = lambda x: 1 / (1 + np.exp(-x))
+        side = lambda x, g: np.append(x.T @ g, g.sum())
+        clean = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+        down = side(u, s(fu)) / len(u) - prior * side(p, s(fp)) / len(p)
+        turned += clean < 0
+        grad = (prior * side(p, s(fp) - 1) / len(p) + down if clean >= 0 else -down) + toxicity.DECAY * np.append(w, 0)
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        move = toxicity.LENGTH * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
+    assert np.allclose(w, model.weights) and np.isclose(b, model.bias)
+    # The features are those whose shares differ most.
+    share = (p.sum(axis=0) + u.sum(axis=0)) / (len(p) + len(u))
+    z = np.abs(p.mean(axis=0) - u.mean(axis=0)) / np.sqrt(share * (1 - share) * (1 / len(p) + 1 / len(u)))
+    assert (z > toxicity.CONTRAST).all()
+    small = toxicity.HELD
+    try:
+        toxicity.HELD = 40
+        again = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    finally:
+        toxicity.HELD = small
+    assert np.array_equal(again.words.hashes, model.words.hashes)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique_key_join(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
@@ -180,3 +181,57 @@ def fold_verdicts(candidate: DataFrame, target: DataFrame, key: str, number: str
     all_ = c.join(t, key).join(met, key, "left").fillna(0, ["met", "clash"])
     verdict = F.when((F.col("met") == 0) & (F.col("lo") == F.col("hi") + 1), "extend").when((F.col("met") == F.col("n")) & (F.col("clash") == 0), "duplicate").otherwise("kept")
     return all_.select(key, verdict.alias("verdict"))
+
+
+@F.pandas_udf(T.DoubleType())
+def difflib_ratio(a, b):
+    """Similarity of two strings as Python's difflib gives it."""
+    import difflib
+
+    import pandas as pd
+
+    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+
+
+def _pieces(name: Column, size: int) -> Column:
+    """The runs of so many letters of a name, each numbered among its equals."""
+    each = F.when(F.length(name) >= size, F.transform(F.sequence(F.lit(1), F.length(name) - size + 1), lambda i: F.substr(name, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+    return F.transform(each, lambda x, i: F.concat(x, F.lit("\x00"), F.size(F.filter(F.slice(each, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+
+
+def similar_titles(names: DataFrame, least: float = 0.8) -> DataFrame:
+    """(group, name, other, ratio): pairs of different names of a group whose difflib ratio reaches `least` (over a half).
+
+    The ratio is 2 M / (n + m) with M letters in matching blocks, at most n + m - 2 M + 1 of them, and a block of k letters holds k - 1 pairs of neighbours.
+    So alike names share M letters and 3 M - (n + m) - 1 pairs of neighbours, repeats counted. Names meet on one of the rarest pairs that either
+    cannot do without (on letters, where both are so short that no pair need be shared), both counts are checked, and only what is left is compared.
+    """
+    n = names.select("group", "name").where("name is not null and name <> ''").distinct().withColumn("n", F.length("name"))
+    n = n.withColumns({"letters": _pieces(F.col("name"), 1), "pairs": _pieces(F.col("name"), 2)})
+    held = lambda total: F.ceil(total * (least / 2) - 1e-9)  # noqa: E731  # letters in matching blocks
+    bound = lambda total: 3 * held(total) - total - 1
+    # From this n + m on some pair is shared; where the ratio asks for too little, never.
+    enough = lambda t: all(3 * -(-(x * least / 2 - 1e-9) // 1) - x - 1 >= 1 for x in range(t, t + 200))
+    short = next((t for t in range(2, 200) if enough(t)), 1 << 30)
+    shortest = F.ceil(F.col("n") * least / (2 - least) - 1e-9)  # of its partners
+    kinds = [
+        # No partner of more letters than `short` allows is met on letters, and none of fewer on pairs.
+        ("letters", F.col("n") + shortest < short, held(F.col("n") + shortest)),
+        ("pairs", F.floor(F.col("n") * (2 - least) / least + 1e-9) + F.col("n") >= short, F.greatest(F.ceil((1.5 * least - 1) * F.greatest(F.col("n") + shortest, F.lit(short)) - 1 - 1e-9), F.lit(1))),
+    ]
+    met = None
+    for kind, some, share in kinds:
+        own = n.where(some).select("group", "name", "n", F.explode(kind).alias("token"), F.greatest(F.size(kind) - share + 1, F.lit(1)).alias("first"))
+        often = own.groupBy("group", "token").agg(F.count("*").alias("df"))
+        place = F.row_number().over(Window.partitionBy("group", "name").orderBy("df", "token"))
+        heads = own.join(often, ["group", "token"]).withColumn("p", place).where("p <= first").select("group", "token", "name", "n")
+        other = heads.select("group", "token", F.col("name").alias("other"), F.col("n").alias("m"))
+        fits = (F.col("name") < F.col("other")) & (2 * F.least("n", "m") >= least * (F.col("n") + F.col("m")) - 1e-9)
+        found = heads.join(other, ["group", "token"]).where(fits).select("group", "name", "other").distinct()
+        met = found if met is None else met.unionAll(found)
+    sides = [n.select("group", F.col("name").alias(a), F.col("n").alias(f"n_{a}"), F.col("letters").alias(f"l_{a}"), F.col("pairs").alias(f"p_{a}")) for a in ("name", "other")]
+    pairs = met.distinct().join(sides[0], ["group", "name"]).join(sides[1], ["group", "other"])
+    total = F.col("n_name") + F.col("n_other")
+    common = lambda k: F.size(F.array_intersect(f"{k}_name", f"{k}_other"))
+    left = pairs.where((common("l") >= held(total)) & (common("p") >= bound(total))).select("group", "name", "other")
+    return left.withColumn("ratio", difflib_ratio("name", "other")).where(F.col("ratio") >= least)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import difflib
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimloom.functions import dates, records
+from claimloom.operators import linkage
 from claimloom.plans.catalogue import query
 from claimloom.plans.derived import plain, rows
 from claimloom.session import table
@@ -133,37 +131,10 @@ def resolved_media(spark, sf_dir):
     return j.select(F.col("p_partkey").alias("line"), F.coalesce("a", "b").alias("medium"), F.when(F.col("a").isNotNull(), "isbn").when(F.col("b").isNotNull(), "title").otherwise("unresolved").alias("why"))
 
 
-@F.pandas_udf(T.DoubleType())
-def difflib_ratio(a, b):
-    """Similarity of two strings as Python's difflib gives it."""
-    import pandas as pd
-
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
-
-
-def similar_titles(names, least: float = 0.8):
-    """Pairs of different names (group, name) of a group whose difflib ratio reaches `least`.
-
-    The ratio is 2 M / (n + m) with M matching letters, so lengths differ by a bounded share and both names hold M letters of the
-    other: pairs meet on a letter and its count among the rarest that one of them cannot do without.
-    """
-    n = names.select("group", "name").distinct().withColumn("n", F.length("name"))
-    # Similar names share most of their letters; with letters ordered by how many names hold them, one of the first few is shared.
-    letters = n.select("group", "name", "n", F.posexplode(F.split("name", "")).alias("i", "c"))
-    each = letters.withColumn("k", F.row_number().over(Window.partitionBy("group", "name", "c").orderBy("i"))).select("group", "name", "n", F.concat("c", "k").alias("token"))
-    often = each.groupBy("group", "token").agg(F.count("*").alias("df"))
-    place = F.row_number().over(Window.partitionBy("group", "name").orderBy("df", "token"))
-    heads = each.join(often, ["group", "token"]).withColumn("p", place).where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * (least / (2 - least)) - 1e-9) + 1)
-    other = heads.select("group", "token", F.col("name").alias("other"), F.col("n").alias("m"))
-    fits = (F.col("name") < F.col("other")) & (2 * F.least("n", "m") >= least * (F.col("n") + F.col("m")))
-    pairs = heads.join(other, ["group", "token"]).where(fits).select("group", "name", "other").distinct()
-    return pairs.withColumn("ratio", difflib_ratio("name", "other")).where(F.col("ratio") >= least)
-
-
 @query()
 def fuzzy_duplicates(spark, sf_dir):
     """Titles of a group that are alike by difflib; the ratio has no SQL, a test holds it against all pairs."""
     p = table(spark, sf_dir, "part")
-    return similar_titles(p.select(F.col("p_type").alias("group"), F.concat_ws(" ", "p_name", "p_brand").alias("name")))
+    return linkage.similar_titles(p.select(F.col("p_type").alias("group"), F.concat_ws(" ", "p_name", "p_brand").alias("name")))
 
 

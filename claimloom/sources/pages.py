@@ -2,7 +2,7 @@
 
 Nothing here talks to a network: a cache folder of JSON pages stands for the remote set. A page is
 one partition, so pages are read in parallel and a lost task re-reads one page. read_cached() lists and reads the folder with
-Spark's own readers, wherever it lies; the data source cached_pages is for a folder that driver and executors mount.
+Spark's own readers; the data source cached_pages does so through pyarrow's file systems.
 """
 
 from __future__ import annotations
@@ -25,14 +25,21 @@ class CachedPagesReader(DataSourceReader):
     def __init__(self, options: dict):
         self.folder, self.announced = options["path"], options.get("announced")
 
+    def _files(self):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.folder if "://" in self.folder else f"file://{self.folder}")
+
     def partitions(self) -> list[Page]:
-        from pathlib import Path
+        from pyarrow import fs
 
-        return [Page(str(p)) for p in sorted(Path(self.folder).glob("page-*.json"))]
+        where, root = self._files()
+        found = where.get_file_info(fs.FileSelector(root))
+        return [Page(i.path) for i in sorted(found, key=lambda i: i.base_name) if i.base_name.startswith("page-") and i.base_name.endswith(".json")]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        with open(partition.path) as f:
-            page = json.load(f)
+        with self._files()[0].open_input_stream(partition.path) as f:
+            page = json.loads(f.read())
         for i, record in enumerate(page["records"]):
             yield page["offset"] + i, record.get("key"), json.dumps(record, sort_keys=True)
 

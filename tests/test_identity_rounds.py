@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import wiki
 from claimloom.operators import identity, linkage, runs, writes
-from claimloom.plans import rounds
 from claimloom.sources import cache
 
 
@@ -14,9 +13,12 @@ def test_similar_titles_equal_all_pairs(spark):
     rng = random.Random(3)
     names = sorted({"".join(rng.choices("abcde ", k=rng.randrange(3, 16))).strip() or "x" for _ in range(70)} | {"one piece", "one pieces", "on piece", "wan pisu"})
     df = spark.createDataFrame([(i % 2, n) for i in range(2) for n in names], "group int, name string")
-    got = {(r.group, r.name, r.other) for r in rounds.similar_titles(df).collect()}
+    got = {(r.group, r.name, r.other) for r in linkage.similar_titles(df).collect()}
     want = {(g, a, b) for g in range(2) for a in names for b in names if a < b and difflib.SequenceMatcher(None, a, b).ratio() >= 0.8}
     assert got == want and len(want) > 4
+    for least in (0.6, 0.72, 0.9):
+        got = {(r.group, r.name, r.other) for r in linkage.similar_titles(df.where("group = 0"), least).collect()}
+        assert got == {(0, a, b) for a in names for b in names if a < b and difflib.SequenceMatcher(None, a, b).ratio() >= least}
 
 
 def test_probed_ids_differ_and_keep_to_their_names(spark):

@@ -21,7 +21,8 @@ ROUNDS = (("name", "native"), ("official",), ("alias",))
 
 
 def family(medium: Column) -> Column:
-    return F.when(medium.isin(*NOVELS), "novel").when(medium.isin(*COMICS), "comic").otherwise("other")
+    """'novel' or 'comic' (a line without a medium is one); any other medium is a family of its own."""
+    return F.when(medium.isin(*NOVELS), "novel").when(medium.isNull() | medium.isin(*COMICS), "comic").otherwise(medium)
 
 
 def searchable(title: Column) -> Column:
@@ -33,7 +34,7 @@ def unbound_native(lines: DataFrame, language: str) -> DataFrame:
     """Main lines of a language without an id, whose work has neither an English nor a bound line of their family (comic or novel)."""
     f = lines.withColumn("family", family(F.col("medium")))
     served = f.where("language = 'en' or bound is not null").select("work", "family").distinct()
-    mine = f.where((F.col("language") == language) & F.col("main") & F.col("bound").isNull() & ~F.col("pinned") & (F.col("family") != "other"))
+    mine = f.where((F.col("language") == language) & F.col("main") & F.col("bound").isNull() & ~F.col("pinned") & F.col("family").isin("comic", "novel"))
     return mine.join(served, ["work", "family"], "left_anti")
 
 

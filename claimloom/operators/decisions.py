@@ -254,3 +254,27 @@ def adoptions(decided: DataFrame, lines: DataFrame, works: DataFrame) -> DataFra
     made = decided.where("role = 'new_work'").select(F.col("work").alias("public"), F.lit(True).alias("made")).distinct()
     takers = moved.groupBy("public").agg(F.count("*").alias("takers"))
     return moved.join(takers, "public").join(made, "public", "left").select("work", "public", ((F.col("takers") > 1) | F.coalesce("made", F.lit(False))).alias("conflict"))
+
+
+def line_roles(lines: DataFrame, works: DataFrame, links: DataFrame) -> DataFrame:
+    """(line, role, work, via) of a library's lines after linking, each by itself.
+
+    lines: line, role and target (attached by ISBN, else null), tier, link_work, via, differ (the authors speak against link_work), published (the work it was
+    published under). An attached line has its target. Others are linked, in review or unlinked by their tier; a correction (links: line, work) links a line
+    whatever its tier; a work out of scope takes none. A published line that the linker has merely lost keeps its work, but not where authors speak against it.
+    works: work, out_of_scope.
+    """
+    known = works.select("work", "out_of_scope")
+    hand = links.join(known.select("work"), "work", "left_semi").groupBy("line").agg(F.min("work").alias("by_hand"))
+    j = lines.join(hand, "line", "left")
+    fresh = F.col("role").isNull()
+    by_tier = F.when(F.col("tier").isin("high", "medium"), "linked").when(F.col("tier").isin("low", "ambiguous"), "review").otherwise("unlinked")
+    linked = F.when(F.col("by_hand").isNotNull(), "linked").otherwise(by_tier)
+    j = j.withColumns({"at": F.when(fresh, linked).otherwise(F.col("role")), "to": F.when(~fresh, F.col("target")).when(linked == "linked", F.coalesce("by_hand", "link_work")), "how": F.when(fresh & F.col("by_hand").isNotNull(), "correction").otherwise(F.col("via"))})
+    j = j.join(known.select(F.col("work").alias("to"), "out_of_scope"), "to", "left")
+    gone = fresh & (F.col("at") == "linked") & F.coalesce("out_of_scope", F.lit(False))
+    j = j.withColumns({"_gone": gone}).withColumns({"at": F.when(F.col("_gone"), "out_of_scope").otherwise(F.col("at")), "to": F.when(~F.col("_gone"), F.col("to"))})
+    j = j.join(known.select(F.col("work").alias("published"), F.lit(True).alias("exists")), "published", "left")
+    against = F.coalesce(F.col("differ") & (F.col("link_work") == F.col("published")), F.lit(False))
+    keep = fresh & F.col("at").isin("review", "unlinked") & F.coalesce("exists", F.lit(False)) & ~against
+    return j.select("line", F.when(keep, "kept").otherwise(F.col("at")).alias("role"), F.when(keep, F.col("published")).otherwise(F.col("to")).alias("work"), F.col("how").alias("via"))

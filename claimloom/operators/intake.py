@@ -190,3 +190,12 @@ def run_record(lines: DataFrame, requests: DataFrame, sources: list[str]) -> Dat
     j = every.join(brought, "source", "left").join(told, "source", "left").fillna(0, ["lines", "volumes", "sent", "refused"])
     why = F.concat_ws("+", F.when(F.col("refused") > 0, "refused"), F.when(F.col("_not_sent"), "stopped"), F.when(F.col("_stale"), "stale"), F.when(F.col("_offline"), "offline"), F.when(F.col("lines") == 0, "empty"))
     return j.select("source", "lines", "volumes", "sent", "refused", F.nullif(why, F.lit("")).alias("degraded"))
+
+
+def first_claim_name(claims: DataFrame, first: str) -> DataFrame:
+    """(line, name): what source `first` says a line is called, else what any other does; of several the one claimed first.
+
+    claims: line, field, value, source, seq.
+    """
+    named = claims.where((F.col("field") == "line_name") & F.col("value").isNotNull())
+    return named.groupBy("line").agg(F.min_by("value", F.struct(~F.col("source").eqNullSafe(F.lit(first)), "seq")).alias("name"))

@@ -84,6 +84,13 @@ def binding_rounds(spark, sf_dir):
     return found.join(notes, "line").select("line", "round", F.col("place").cast("int").alias("place"), "id", "via", "kind", "note")
 
 
+@query(f"""WITH l AS ({plain(_LINES)}) SELECT line, CASE WHEN m IN ('novel', 'light_novel') THEN 'novel' WHEN m IS NULL OR m IN ('manga', 'manhwa') THEN 'comic' ELSE m END AS family FROM (SELECT line, CASE WHEN line % 8 = 3 THEN NULL WHEN line % 8 = 5 THEN 'light_novel' ELSE medium END AS m FROM l)""")
+def media_families(spark, sf_dir):
+    """The family of each line's medium: bindings never cross families."""
+    m = F.when(F.col("line") % 8 == 3, None).when(F.col("line") % 8 == 5, "light_novel").otherwise(F.col("medium"))
+    return rows(spark, sf_dir, _LINES).select("line", binding.family(m).alias("family"))
+
+
 @query()
 def handed_on_bindings(spark, sf_dir):
     """The same lines with contested ids handed on: each line gets the best id that nobody with a better claim wants; a loop holds it in the tests."""

@@ -101,3 +101,19 @@ def adopted_works(spark, sf_dir):
     """Works that take the id under which a library's build published their lines."""
     lines, works = _inputs(spark, sf_dir)
     return decisions.adoptions(_decided(spark, sf_dir), lines, works)
+
+
+_PLACED = """SELECT c_custkey AS line, CASE c_custkey % 9 WHEN 0 THEN 'merged' WHEN 1 THEN 'sibling' END AS role, CASE WHEN c_custkey % 9 < 2 THEN c_nationkey END AS target, CASE c_custkey % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' WHEN 3 THEN 'ambiguous' ELSE 'none' END AS tier,
+  CASE WHEN c_custkey % 5 < 3 THEN c_custkey % 30 END AS link_work, 'official' AS via, c_custkey % 6 = 0 AS differ, CASE WHEN c_custkey % 4 = 0 THEN c_custkey % 30 WHEN c_custkey % 4 = 1 THEN c_nationkey + 5 END AS published FROM {customer}"""
+_SCOPES = "SELECT n_nationkey AS work, n_regionkey = 2 AS out_of_scope FROM {nation}"
+_LINKED = "SELECT c_custkey AS line, c_nationkey + CASE WHEN c_custkey % 26 = 0 THEN 100 ELSE 0 END AS work FROM {customer} WHERE c_custkey % 13 = 0"
+
+
+@query(f"""WITH l AS ({plain(_PLACED)}), w AS ({plain(_SCOPES)}), h AS (SELECT line, work AS by_hand FROM ({plain(_LINKED)}) WHERE work IN (SELECT work FROM w)),
+a AS (SELECT l.*, by_hand, CASE WHEN role IS NOT NULL THEN role WHEN by_hand IS NOT NULL OR tier IN ('high', 'medium') THEN 'linked' WHEN tier IN ('low', 'ambiguous') THEN 'review' ELSE 'unlinked' END AS state FROM l LEFT JOIN h USING (line)),
+b AS (SELECT *, CASE WHEN role IS NOT NULL THEN target WHEN state = 'linked' THEN coalesce(by_hand, link_work) END AS dest FROM a), c AS (SELECT b.*, role IS NULL AND state = 'linked' AND coalesce(w.out_of_scope, FALSE) AS gone FROM b LEFT JOIN w ON w.work = dest),
+d AS (SELECT *, role IS NULL AND state IN ('review', 'unlinked') AND published IN (SELECT work FROM w) AND NOT coalesce(differ AND link_work = published, FALSE) AS keep FROM c)
+SELECT line, CASE WHEN gone THEN 'out_of_scope' WHEN coalesce(keep, FALSE) THEN 'kept' ELSE state END AS role, CASE WHEN gone THEN NULL WHEN coalesce(keep, FALSE) THEN published ELSE dest END AS work, CASE WHEN role IS NULL AND by_hand IS NOT NULL THEN 'correction' ELSE via END AS via FROM d""")
+def line_roles(spark, sf_dir):
+    """The roles of a library's lines after linking: attached, linked, in review, out of scope, kept under their published work."""
+    return decisions.line_roles(rows(spark, sf_dir, _PLACED), rows(spark, sf_dir, _SCOPES), rows(spark, sf_dir, _LINKED))

@@ -147,3 +147,12 @@ _RECORDS = """SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN p_partkey
 def library_lines(spark, sf_dir):
     """A library's records as lines; components of twins and modes make it long in SQL, so a loop holds it in the tests."""
     return intake.library_lines(rows(spark, sf_dir, _RECORDS))[0]
+
+
+_NAMED = "SELECT l_orderkey AS line, CASE WHEN l_quantity > 10 THEN 'line_name' ELSE 'note' END AS field, CASE WHEN l_linenumber < 7 THEN 'n' || l_partkey END AS value, CASE WHEN l_suppkey % 3 = 0 THEN 'wiki' ELSE 'lib' END AS source, l_partkey * 100000 + l_suppkey * 10 + l_linenumber AS seq FROM {lineitem}"
+
+
+@query(f"WITH c AS ({plain(_NAMED)}) SELECT line, arg_min(value, CASE WHEN source = 'wiki' THEN 0 ELSE 1000000000000000 END + seq) AS name FROM c WHERE field = 'line_name' AND value IS NOT NULL GROUP BY line")
+def first_claim_names(spark, sf_dir):
+    """What a line is called by the encyclopedia's first claim, else by the first of any other source."""
+    return intake.first_claim_name(rows(spark, sf_dir, _NAMED), "wiki")

@@ -248,3 +248,17 @@ def test_adoptions(spark):
 
 def test_no_lines(spark):
     assert decided(spark, [], [work("W1")]) == []
+
+
+def test_roles_of_single_lines(spark):
+    lines = spark.createDataFrame([
+        ("a", "merged", 1, None, None, None, None, 5), ("b", None, None, "high", 1, "official", False, None), ("c", None, None, "low", 1, "alias", None, 2), ("d", None, None, "low", 2, "authors differ", True, 2), ("e", None, None, "none", None, None, None, 99),
+        ("f", None, None, "medium", 3, "official", None, 1), ("g", None, None, "ambiguous", None, "official", None, None), ("h", None, None, "low", 3, "alias", None, None), ("i", None, None, "none", None, None, None, None), ("j", None, None, "low", 1, "authors differ", True, 2),
+    ], "line string, role string, target int, tier string, link_work int, via string, differ boolean, published int")
+    works = spark.createDataFrame([(1, False), (2, False), (3, True), (5, False)], "work int, out_of_scope boolean")
+    links = spark.createDataFrame([("g", 2), ("h", 77), ("a", 2), ("i", 3)], "line string, work int")
+    got = {r.line: (r.role, r.work, r.via) for r in D.line_roles(lines, works, links).collect()}
+    assert got == {
+        "a": ("merged", 1, None), "b": ("linked", 1, "official"), "c": ("kept", 2, "alias"), "d": ("review", None, "authors differ"), "e": ("unlinked", None, None), "f": ("out_of_scope", None, "official"), "g": ("linked", 2, "correction"),
+        "h": ("review", None, "alias"), "i": ("out_of_scope", None, "correction"), "j": ("kept", 2, "authors differ"),
+    }

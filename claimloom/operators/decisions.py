@@ -26,23 +26,35 @@ COMIC, NOVEL = ("comic", "manhwa", "manhua"), "novel"
 def first_come(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, taken): in order, a node is taken unless one that is taken comes before it on an edge (early, late).
 
-    nodes: node, fixed (taken in any case). Each round decides every node that a taken one comes before, and every node that no
-    undecided one comes before; edges of decided nodes go. The first undecided node is always among them, so the rounds end,
-    after as many as the longest chain of nodes that hang on one another.
+    nodes: node, fixed (taken in any case). Edges lead from earlier to later nodes, so they form no circle. Each round decides every node that a taken
+    one comes before, and every node that no undecided one comes before. A node behind a single undecided one is taken if and only if that is not, so chains of
+    such nodes are followed by pointer jumping and decided with their heads, however long they are. The first undecided node is always decided, so
+    the rounds end.
     """
-    state = cut(nodes.select("node", F.when(F.col("fixed"), True).alias("taken")).distinct())
+    state = cut(nodes.groupBy("node").agg(F.bool_or("fixed").alias("fixed")).select("node", F.when(F.col("fixed"), True).alias("taken")))
     left = cut(edges.select("early", "late").where("early <> late").distinct())
-    # A fixed node waits for none.
     while True:
         met = left.join(state.select(F.col("node").alias("early"), F.col("taken").alias("before")), "early")
-        seen = met.groupBy(F.col("late").alias("node")).agg(F.bool_or("before").alias("blocked"), F.bool_or(F.col("before").isNull()).alias("waits"))
-        now = F.when(F.coalesce("blocked", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True)
-        new = cut(state.join(seen, "node", "left").select("node", F.coalesce("taken", now).alias("taken")))
+        seen = met.groupBy(F.col("late").alias("node")).agg(F.bool_or("before").alias("blocked"), F.count_if(F.col("before").isNull()).alias("waits"), F.min(F.when(F.col("before").isNull(), F.col("early"))).alias("on"))
+        j = state.join(seen, "node", "left").withColumns({"blocked": F.coalesce("blocked", F.lit(False)), "waits": F.coalesce("waits", F.lit(0))})
+        known = F.when(F.col("taken").isNotNull(), F.col("taken")).when(F.col("blocked"), False).when(F.col("waits") == 0, True)
+        one = known.isNull() & (F.col("waits") == 1)
+        chain = cut(j.select("node", known.alias("taken"), F.when(one, F.col("on")).otherwise(F.col("node")).alias("to"), one.alias("flip")))
+        release(state)
+        while not chain.where("`to` <> node").isEmpty():
+            ahead = chain.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("flip").alias("turn"))
+            moved = cut(chain.join(ahead, "to").select("node", "taken", F.col("next").alias("to"), (F.col("flip") != F.col("turn")).alias("flip"), (F.col("next") != F.col("to")).alias("moved")))
+            release(chain)
+            chain = moved
+            if chain.where("moved").isEmpty():
+                break
+        heads = chain.where("taken is not null").select(F.col("node").alias("to"), F.col("taken").alias("head"))
+        new = cut(chain.join(heads, "to", "left").select("node", F.coalesce("taken", F.when(F.col("head").isNotNull(), F.col("head") != F.col("flip"))).alias("taken")))
         open_ = new.where("taken is null").select(F.col("node").alias("late"))
         done = open_.isEmpty()
-        # Only what undecided nodes still hang on: edges from nodes that are not taken block nothing.
+        # Only what undecided nodes still hang on: nodes that are not taken block nothing.
         kept = None if done else cut(left.join(open_, "late").join(new.where("not coalesce(taken, true)").select(F.col("node").alias("early")), "early", "left_anti"))
-        release(state, left)
+        release(chain, left)
         state, left = new, kept
         if done:
             return state

@@ -239,6 +239,20 @@ def test_first_come_equals_a_loop(spark):
     assert {r.node: r.taken for r in out.collect()} == taken
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    calls = []
+    real = D.cut
+    monkeypatch.setattr(D, "cut", lambda df: calls.append(1) or real(df))
+    n = 1500
+    edges = [(i, i + 1) for i in range(n - 1)]
+    out = D.first_come(spark.range(n).selectExpr("id AS node", "id = 701 AS fixed"), spark.createDataFrame(edges, "early long, late long"))
+    taken = {r.node: r.taken for r in out.collect()}
+    want = {}
+    for i in range(n):
+        want[i] = i == 701 or not want.get(i - 1, False)
+    assert taken == want and len(calls) < 60
+
+
 def test_adoptions(spark):
     works = spark.createDataFrame([work("L1", library=True), work("L2", library=True), work("W1"), work("W2")], WORK)
     lines = spark.createDataFrame([("a", "L1"), ("b", "L2"), ("c", "L2"), ("d", None), ("e", "W1")], "key string, published string")

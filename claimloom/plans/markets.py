@@ -34,7 +34,7 @@ _TABLES = f"""lines AS ({plain(_LINES)}), volumes AS ({plain(_VOLUMES)}), claims
 @query(f"""WITH {_TABLES}, c AS (SELECT *, coalesce(value, '') AS v FROM claims WHERE source = 'dnb'), told AS (SELECT DISTINCT entity_id AS volume, value AS isbn FROM claims WHERE field = 'isbn13' AND source = 'wiki'),
 now AS (SELECT line, is_main AS main_now FROM lines WHERE exported), lost AS (SELECT b.line FROM before b JOIN now USING (line) WHERE NOT EXISTS (SELECT 1 FROM volumes v WHERE v.line = b.line AND v.isbn = b.isbn)),
 j AS (SELECT count(*) AS n, count_if(link_work = expected_work) AS good FROM lines JOIN labels USING (key) WHERE tier IN ('high', 'medium'))
-SELECT 'claim not licensed' AS rule, count_if(licence IS DISTINCT FROM 'cc0')::BIGINT AS n FROM c UNION ALL SELECT 'claim without a record', count_if(NOT starts_with(coalesce(source_url, ''), 'https://records/')) FROM c
+SELECT rule, n::BIGINT AS n FROM (SELECT 'claim not licensed' AS rule, count_if(licence IS DISTINCT FROM 'cc0') AS n FROM c UNION ALL SELECT 'claim without a record', count_if(NOT starts_with(coalesce(source_url, ''), 'https://records/')) FROM c
 UNION ALL SELECT 'claim of another field', count_if(field = 'cover') FROM c UNION ALL SELECT 'published date not a year', count_if(field = 'release_date' AND NOT regexp_full_match(v, '[12][0-9]{{3}}')) FROM c UNION ALL SELECT 'projected date not a month', count_if(field = 'projected_date' AND NOT regexp_full_match(v, '[12][0-9]{{3}}-[01][0-9]')) FROM c
 UNION ALL SELECT 'projected long ago', count_if(date_type = 'projected' AND date < '1999-06') FROM volumes UNION ALL SELECT 'projected not to the month', count_if(date_type = 'projected' AND NOT regexp_full_match(coalesce(date, ''), '[12][0-9]{{3}}-[01][0-9]')) FROM volumes
 UNION ALL SELECT 'type without a date, or a date without', count_if((date_type IS NULL) <> (date IS NULL)) FROM volumes UNION ALL SELECT 'volume of a later year''s announcement', count_if(future) FROM volumes
@@ -43,7 +43,7 @@ UNION ALL SELECT 'isbn twice in a line', count(*) FROM (SELECT v.line, v.isbn FR
 UNION ALL SELECT 'shipped against the policy', count_if(exported AND NOT (role IN ('merged', 'sibling', 'kept') OR role = 'linked' AND (tier IN ('high', 'medium') OR via = 'correction'))) FROM lines UNION ALL SELECT 'linked against the truth', count_if(tier IN ('high', 'medium') AND link_work <> truth_work) FROM lines
 UNION ALL SELECT 'published line demoted', count_if(carried AND NOT exported AND role IN ('held', 'review', 'unlinked')) FROM lines UNION ALL SELECT 'name not composed', count_if(name <> nfc_normalize(name)) FROM lines
 UNION ALL SELECT 'published line gone', count(*) FROM before WHERE line NOT IN (SELECT line FROM now) UNION ALL SELECT 'published line lost its place or an isbn', count(DISTINCT line) FROM (SELECT line FROM before JOIN now USING (line) WHERE is_main <> main_now UNION FROM lost)
-UNION ALL SELECT 'linked to a work known as wrong', count(DISTINCT key) FROM lines JOIN must_not USING (key) WHERE (tier IN ('high', 'medium') OR exported) AND (link_work = wrong_work OR work = wrong_work) UNION ALL SELECT 'precision', CASE WHEN n > 0 AND good < 0.95 * n THEN 1 ELSE 0 END FROM j""")
+UNION ALL SELECT 'linked to a work known as wrong', count(DISTINCT key) FROM lines JOIN must_not USING (key) WHERE (tier IN ('high', 'medium') OR exported) AND (link_work = wrong_work OR work = wrong_work) UNION ALL SELECT 'precision', CASE WHEN n > 0 AND good < 0.95 * n THEN 1 ELSE 0 END FROM j)""")
 def market_rules(spark, sf_dir):
     """The gate of a market whose lines a library's records fill: claims, dates, ISBNs, what ships, what was published, the linker's labels."""
     t = {n: rows(spark, sf_dir, sql) for n, sql in (("lines", _LINES), ("volumes", _VOLUMES), ("claims", _CLAIMS), ("before", _BEFORE), ("labels", _LABELS), ("must_not", _MUST_NOT))}
@@ -55,10 +55,10 @@ def market_rules(spark, sf_dir):
 
 
 @query(f"""WITH {_TABLES}, c AS (SELECT c.*, r.authority, r.set_record, r.level FROM claims c LEFT JOIN records r USING (source_url) WHERE source = 'loc'), shown AS (SELECT * FROM lines WHERE exported), drawn AS (SELECT work FROM shown WHERE medium IN ('comic', 'manhwa'))
-SELECT 'claim of no record of its own' AS rule, count_if(NOT coalesce(authority, FALSE))::BIGINT AS n FROM c UNION ALL SELECT 'date of a set', count_if(field IN ('release_date', 'projected_date') AND set_record) FROM c UNION ALL SELECT 'published date of a planned record', count_if(field = 'release_date' AND level IN ('5', '8')) FROM c
+SELECT rule, n::BIGINT AS n FROM (SELECT 'claim of no record of its own' AS rule, count_if(NOT coalesce(authority, FALSE)) AS n FROM c UNION ALL SELECT 'date of a set', count_if(field IN ('release_date', 'projected_date') AND set_record) FROM c UNION ALL SELECT 'published date of a planned record', count_if(field = 'release_date' AND level IN ('5', '8')) FROM c
 UNION ALL SELECT 'made without explicit origin', count(*) FROM created WHERE work NOT IN (SELECT work FROM shown WHERE explicit OR cluster IN (SELECT cluster FROM lines WHERE explicit)) UNION ALL SELECT 'made without a comic', count(*) FROM created WHERE work NOT IN (FROM drawn)
 UNION ALL SELECT 'made beside a line of the home market', count(*) FROM created WHERE work IN (SELECT work FROM shown WHERE market = 'JP' AND medium <> 'manhwa') UNION ALL SELECT 'published line gone', count(*) FROM before WHERE line NOT IN (SELECT line FROM shown) AND line NOT IN (FROM redirects)
-UNION ALL SELECT 'novel in a work without a comic', count(*) FROM shown WHERE medium = 'novel' AND work NOT IN (FROM drawn) UNION ALL SELECT 'flood', CASE WHEN count(*) > 25 THEN 1 ELSE 0 END FROM (FROM created EXCEPT FROM works_before)""")
+UNION ALL SELECT 'novel in a work without a comic', count(*) FROM shown WHERE medium = 'novel' AND work NOT IN (FROM drawn) UNION ALL SELECT 'flood', CASE WHEN count(*) > 25 THEN 1 ELSE 0 END FROM (FROM created EXCEPT FROM works_before))""")
 def created_work_rules(spark, sf_dir):
     """The gate of works that a build makes from library records: their records, origin, comics, home market, what was published, no flood."""
     t = {n: rows(spark, sf_dir, sql) for n, sql in (("lines", _LINES), ("claims", _CLAIMS), ("records", _RECORDS), ("created", _CREATED), ("works", _WORKS_BEFORE), ("before", _BEFORE), ("redirects", _REDIRECTS))}

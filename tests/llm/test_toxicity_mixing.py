@@ -107,7 +107,8 @@ def active_set(a, goal):
 
 @pytest.mark.parametrize("targets", [(0.5, 0.3, 0.2), (0.9, 0.09, 0.01), (0.96, 0.04, 0.0)])
 def test_rates_are_a_least_squares_solution(spark, monkeypatch, targets):
-    monkeypatch.setattr(mixing, "STEPS_MOST", 60)
+    if not targets[2]:  # nothing reaches it
+        monkeypatch.setattr(mixing, "STEPS_MOST", 60)
     p, tokens, members = overlapping(spark)
     goal = np.array(targets)
     steps, off = mixing.fit_rates(members, goal)
@@ -121,7 +122,7 @@ def test_rates_are_a_least_squares_solution(spark, monkeypatch, targets):
     assert least <= mine + 1e-12
     if least < 1e-12 and targets[2]:
         assert np.abs(off).sum() <= mixing.TOLERANCE
-    else:  # what nothing reaches is approached, with a warning
+    else:  # it is approached, with a warning
         assert mine - least <= 0.1 * (begun - least)
 
 

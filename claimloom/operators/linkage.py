@@ -27,6 +27,29 @@ def majority_overlap(old: DataFrame, new: DataFrame, owner: str, key: str) -> Da
     return won.withColumn("best", F.max("shared").over(w)).where("shared = best").withColumn("ties", F.count("*").over(w)).where("ties = 1").select("old", "new", "shared", "n")
 
 
+def mostly_held(rows: DataFrame, within: list[str], line: str, key: str) -> DataFrame:
+    """(line) of lines more than half of whose rows have a key that one other line of the same `within` holds too; rows are distinct.
+
+    Lines with equal keys (128 bits of the set) are one class: where it has several lines, no other line need be looked at. A line alone in its
+    class meets one line of each other class, under the rarest of its keys: as many as it could not do without one of.
+    """
+    owner = [*within, line]
+    bits = [F.bit_xor(F.when(F.col(key).isNotNull(), F.xxhash64(F.lit(seed), key))).alias(f"__x{seed}") for seed in (1, 2)]
+    sets = rows.groupBy(*owner).agg(F.count("*").alias("__n"), F.count(key).alias("__size"), *bits).where("__size > 0")
+    classes = sets.groupBy(*within, "__size", "__x1", "__x2").agg(F.count("*").alias("__lines"), F.min(line).alias("__rep"))
+    each = sets.join(classes, [*within, "__size", "__x1", "__x2"])
+    twins = each.where("__lines > 1 and 2 * __size > __n").select(line)
+    keyed = rows.where(F.col(key).isNotNull()).select(*owner, key)
+    reps = keyed.join(classes.select(*within, F.col("__rep").alias(line)), owner, "left_semi").withColumnRenamed(line, "__other")
+    alone = keyed.join(each.where("__lines = 1").select(*owner, "__n", "__size"), owner)
+    often = reps.groupBy(*within, key).agg(F.count("*").alias("__df"))
+    ranked = alone.join(often, [*within, key]).withColumn("__p", F.row_number().over(Window.partitionBy(*owner).orderBy("__df", key)))
+    heads = ranked.where(F.col("__p") <= F.col("__size") - F.floor(F.col("__n") / 2)).select(*owner, key)
+    met = heads.join(reps, [*within, key]).where(F.col(line) != F.col("__other")).select(*owner, "__other").distinct()
+    shared = alone.join(met, owner).join(reps, [*within, "__other", key]).groupBy(*owner, "__other", "__n").agg(F.count("*").alias("__shared"))
+    return twins.unionAll(shared.where("2 * __shared > __n").select(line)).distinct()
+
+
 def cascade(rows: DataFrame, tables: list[DataFrame], key: str, value: str) -> DataFrame:
     """The value of the first table that knows the key, and which one that was."""
     out = rows

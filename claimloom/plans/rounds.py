@@ -28,10 +28,7 @@ def retag_guard(spark, sf_dir):
     """A line is not retagged into a medium where another line of its work has most of its ISBNs."""
     l = rows(spark, sf_dir, _RETAG)  # noqa: E741
     n = l.groupBy("line").agg(F.count("*").alias("n"))
-    mine = l.where("line % 4 = 0").select("line", "work", "proposed", "isbn")
-    theirs = l.select(F.col("line").alias("other"), "work", "proposed", "isbn")
-    shared = mine.join(theirs, ["work", "proposed", "isbn"]).where("line <> other").groupBy("line", "other").agg(F.count("*").alias("shared"))
-    held = shared.join(n, "line").where("2 * shared > n").select("line", F.lit("held-isbn").alias("held")).distinct()
+    held = linkage.mostly_held(l, ["work", "proposed"], "line", "isbn").where("line % 4 = 0").withColumn("held", F.lit("held-isbn"))
     return n.join(held, "line", "left").select("line", F.coalesce("held", F.lit("free")).alias("state"))
 
 

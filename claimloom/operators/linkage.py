@@ -92,7 +92,8 @@ def near_names(names: DataFrame, distance: int = 1) -> DataFrame:
     for _ in range(distance):
         forms = F.array_distinct(F.concat(forms, F.flatten(F.transform(F.filter(forms, lambda x: F.length(x) > 0), shorter))))
     probe = names.where(F.col("name").isNotNull()).select("name").distinct().select("name", F.explode(forms).alias("form")).select("name", F.xxhash64("form").alias("form"))
-    met = probe.join(probe.select(F.col("name").alias("other"), "form"), "form").where("name < other").select("name", "other").distinct()
+    # The forms are many times what Spark estimates of the names: a broadcast of them would not fit the driver.
+    met = probe.hint("merge").join(probe.select(F.col("name").alias("other"), "form"), "form").where("name < other").select("name", "other").distinct()
     return met.withColumn("distance", F.levenshtein("name", "other", distance)).where("distance >= 0")
 
 

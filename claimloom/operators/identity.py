@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.operators.graph import connected_components
-from claimloom.session import cut, release
+from claimloom.session import cut, dealt, release
 
 
 def probed_ints(names: DataFrame, column: str, bits: int = 31, max_rounds: int = 64) -> DataFrame:
@@ -65,30 +67,47 @@ def twins(rows: DataFrame) -> DataFrame:
 
 
 class _Lines:
-    """The lines of one signature so far: their numbers as bits, and which lines hold a number."""
+    """The lines of one signature so far: their numbers as bits, and of the lines that hold the same numbers the first on top of a heap."""
 
     def __init__(self) -> None:
         self.heads: list[object] = []
         self.held: list[int] = []
-        self.holders: dict[object, list[int]] = {}
+        self.alike: dict[int, list[int]] = {}
         self.bit: dict[object, int] = {}
 
     def place(self, set_id: object, numbers: list) -> object:
-        own, met = 0, {}
+        own = 0
         for n in set(numbers):
             own |= 1 << self.bit.setdefault(n, len(self.bit))
-            for line in self.holders.get(n, ()):
-                met[line] = met.get(line, 0) + 1
         size = own.bit_count()
-        # The first line that shares nothing, or one number where both sides have three at least.
-        at = next((i for i in range(len(self.heads)) if i not in met or (met[i] == 1 and min(size, self.held[i].bit_count()) >= 3)), len(self.heads))
+
+        def fits(held: int) -> bool:
+            # Nothing shared, or one number where both sides have three at least.
+            shared = (held & own).bit_count()
+            return shared == 0 or (shared == 1 and min(size, held.bit_count()) >= 3)
+
+        # Where lines hold the same numbers, only the first of each kind is looked at.
+        if 2 * len(self.alike) < len(self.heads):
+            at = min((lines[0] for held, lines in self.alike.items() if fits(held)), default=len(self.heads))
+        else:
+            at = next((i for i, held in enumerate(self.held) if fits(held)), len(self.heads))
         if at == len(self.heads):
             self.heads.append(set_id)
             self.held.append(0)
-        for n in set(numbers):
-            if not self.held[at] >> self.bit[n] & 1:
-                self.holders.setdefault(n, []).append(at)
-        self.held[at] |= own
+            self.alike.setdefault(0, [])
+            heapq.heappush(self.alike[0], at)
+        before, now = self.held[at], self.held[at] | own
+        if now != before:
+            lines = self.alike[before]
+            if lines[0] == at:
+                heapq.heappop(lines)
+            else:
+                lines.remove(at)
+                heapq.heapify(lines)
+            if not lines:
+                del self.alike[before]
+            heapq.heappush(self.alike.setdefault(now, []), at)
+            self.held[at] = now
         return self.heads[at]
 
 
@@ -96,7 +115,7 @@ def merge_disjoint(sets: DataFrame) -> DataFrame:
     """(signature, set_id, line): sets of one signature merge while their numbers stay disjoint, or share one number between sets of three or more.
 
     sets: signature, set_id, numbers (array). Each set joins the first line that it fits, in the order of ids. Sets stream through in that order: a task
-    keeps the numbers of a signature's lines as bits, never its sets, and a set looks only at lines that hold its numbers.
+    keeps the numbers of a signature's lines as bits, never its sets, and where many lines hold the same numbers a set looks at one of each kind.
     """
     kind = {f.name: f.dataType.simpleString() for f in sets.schema}
 
@@ -112,7 +131,7 @@ def merge_disjoint(sets: DataFrame) -> DataFrame:
                 heads.append(lines.place(set_id, numbers or []))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(heads, batch.column(1).type)], names=["signature", "set_id", "line"])
 
-    ordered = sets.select("signature", "set_id", "numbers").repartition("signature").sortWithinPartitions("signature", "set_id")
+    ordered = dealt(sets.select("signature", "set_id", "numbers"), "signature").sortWithinPartitions("signature", "set_id")
     return ordered.mapInArrow(run, f"signature {kind['signature']}, set_id {kind['set_id']}, line {kind['set_id']}")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,6 +77,11 @@ def surrogate_int(s: Column, salt: int = 0) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("bigint").bitwiseAND(2147483647)
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once a row, however often `then` names it: inside lambdas Spark shares no equal parts."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def isbn13_check(body: Column) -> Column:
     """The check digit of 12 digits, weights 1 and 3 in turn."""
     total = sum((F.substring(body, i, 1).cast("int") * (1 if i % 2 else 3) for i in range(1, 13)), F.lit(0))

@@ -40,7 +40,10 @@ def joined(record: Column, *places: tuple[str, str]) -> Column:
 
 def part_number(raw: Column) -> Column:
     """struct(number, kind): range, int, decimal or none; a single integer among words is the number."""
-    s = F.trim(F.substring_index(clean(raw), " / ", 1))
+    return keys.bound(F.trim(F.substring_index(clean(raw), " / ", 1)), _part_number)
+
+
+def _part_number(s: Column) -> Column:
     lo, hi = (F.regexp_extract(s, "([0-9]+)\\s*(?:[-–/+]|(?i:und|bis)|&)\\s*([0-9]+)", i).try_cast("int") for i in (1, 2))
     shape = f"^\\s*\\[?\\s*(?:{_UNIT}\\s*)?" + "([0-9]{1,4})(?:[.,]([0-9]{1,2}))?\\s*\\.?\\s*\\]?\\s*$"
     whole, part = F.regexp_extract(s, shape, 1), F.regexp_extract(s, shape, 2)
@@ -54,7 +57,10 @@ def part_number(raw: Column) -> Column:
 
 def title_number(record: Column) -> Column:
     """struct(number, before) of the title alone: an explicit volume word, else a number at its end."""
-    a = clean(first(record, "245", "a"))
+    return keys.bound(clean(first(record, "245", "a")), _title_number)
+
+
+def _title_number(a: Column) -> Column:
     word = "^(.*?\\S)\\s*[,.:;–—-]?\\s*\\b(?i:band|bd\\.|vol\\.|volume)\\s*([0-9]{1,3})\\b"
     end = "^(.*?[^\\s0-9])\\s*(?:[,.:;–—-]\\s*)?([0-9]{1,3})\\s*$"
     by_word, by_end = F.regexp_extract(a, word, 2), F.regexp_extract(a, end, 2)
@@ -79,7 +85,11 @@ def record_number(record: Column) -> Column:
     """
     own = F.filter(F.transform(F.reverse(subfields(record, "245", "n")), part_number), lambda s: s.kind != "none")
     told = F.filter(F.transform(series_statements(record), lambda s: F.struct(s["name"].alias("name"), part_number(s.number).alias("n"))), lambda s: s.n.kind != "none")
-    n, s, t = F.get(own, F.lit(0)), F.get(told, F.lit(0)), title_number(record)
+    return keys.bound(F.struct(F.get(own, F.lit(0)).alias("n"), F.get(told, F.lit(0)).alias("s"), title_number(record).alias("t")), _record_number)
+
+
+def _record_number(found: Column) -> Column:
+    n, s, t = found.n, found.s, found.t
     same = (t.number != s.n.number) & (keys.compact_key(t.before) == keys.compact_key(s["name"]))
     pick = lambda number, kind, via: F.struct(number.alias("number"), kind.alias("kind"), F.lit(via).alias("via"))
     title = pick(t.number, F.lit("int"), "title")
@@ -129,8 +139,8 @@ def lccn(raw: Column) -> Column:
 
 def isbn(raw: Column) -> Column:
     """A valid ISBN-13 of what stands before the first space, ISBN-10s converted; else null."""
-    s = F.upper(F.regexp_replace(F.substring_index(F.trim(raw), " ", 1), "[-]", ""))
-    return F.when(keys.isbn13_valid(s), s).otherwise(keys.isbn10_to_13(s))
+    bare = F.upper(F.regexp_replace(F.substring_index(F.trim(raw), " ", 1), "[-]", ""))
+    return keys.bound(bare, lambda s: F.when(s.rlike("^97[89][0-9]{10}$") & (keys.isbn13_check(s) == F.substring(s, 13, 1).cast("int")), s).otherwise(keys.isbn10_to_13(s)))
 
 
 _BOX = "(?i)behältnis|kassette|schuber|\\bbox\\b"
@@ -157,7 +167,9 @@ def boxed(record: Column) -> Column:
 def qualified_isbns(record: Column) -> Column:
     """(number, isbn, qualifiers) of each 020 field, the number where a qualifier names a volume."""
     def one(d: Column) -> Column:
-        q = F.array_join(of_field(d, "q"), " ")
+        return keys.bound(F.array_join(of_field(d, "q"), " "), lambda q: told(d, q))
+
+    def told(d: Column, q: Column) -> Column:
         n = F.coalesce(
             F.nullif(F.regexp_extract(q, "\\b(?i:v(?:ol(?:ume)?)?|bk|book)\\.?\\s*([0-9]+(?:\\.[0-9]+)?)(?![0-9-])", 1), F.lit("")),
             F.nullif(F.regexp_extract(q, "^\\W*([0-9]+(?:\\.[0-9]+)?)\\s*:\\s*(?i:pbk|paperback|hbk|hardcover)", 1), F.lit("")),
@@ -169,16 +181,21 @@ def qualified_isbns(record: Column) -> Column:
 
 def volume_isbns(record: Column) -> Column:
     """ISBNs by volume number, in order."""
-    found = F.filter(qualified_isbns(record), lambda s: s.number.isNotNull())
-    numbers = F.array_distinct(F.transform(found, lambda s: s.number))
-    return F.map_from_arrays(numbers, F.transform(numbers, lambda n: F.transform(F.filter(found, lambda s: s.number == n), lambda s: s.isbn)))
+    def by_number(found: Column) -> Column:
+        numbers = F.array_distinct(F.transform(found, lambda s: s.number))
+        return F.map_from_arrays(numbers, F.transform(numbers, lambda n: F.transform(F.filter(found, lambda s: s.number == n), lambda s: s.isbn)))
+
+    return keys.bound(F.filter(qualified_isbns(record), lambda s: s.number.isNotNull()), by_number)
 
 
 def pick_isbn(candidates: Column, existing: Column) -> Column:
     """The ISBN that a volume has already, else the first paperback, else the first; candidates are structs (isbn, qualifiers)."""
-    held = F.filter(candidates, lambda s: F.array_contains(existing, s.isbn))
-    paper = F.filter(candidates, lambda s: s.qualifiers.rlike("(?i)paperback|pbk"))
-    return F.coalesce(F.get(held, F.lit(0)).isbn, F.get(paper, F.lit(0)).isbn, F.get(candidates, F.lit(0)).isbn)
+    def best(every: Column) -> Column:
+        held = F.filter(every, lambda s: F.array_contains(existing, s.isbn))
+        paper = F.filter(every, lambda s: s.qualifiers.rlike("(?i)paperback|pbk"))
+        return F.coalesce(F.get(held, F.lit(0)).isbn, F.get(paper, F.lit(0)).isbn, F.get(every, F.lit(0)).isbn)
+
+    return keys.bound(candidates, best)
 
 
 def volume_date(month: Column, year: Column, set_record: Column, preliminary: Column, date_type: Column, today: str, most: int = 12) -> Column:

@@ -4,10 +4,14 @@ import itertools
 import random
 
 import duckdb
+import pytest
 from test_catalogue import DIR, TABLES, rows
 
+from pyspark.sql import functions as F
+
 import __spark_entry__  # noqa: F401  (registers every plan)
-from claimloom.operators import intake, linkage
+from claimloom.functions import keys
+from claimloom.operators import identity, intake, linkage
 from claimloom.plans import catalogue
 
 
@@ -56,3 +60,36 @@ def test_mostly_held_equals_all_pairs(spark):
                 want.add(a[1])
         got = [r.line for r in linkage.mostly_held(spark.createDataFrame(data, "work int, line int, isbn int"), ["work"], "line", "isbn").collect()]
         assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < 60
+
+
+@pytest.mark.parametrize("name", ["record_identifiers", "record_numbers", "record_classes", "record_extents", "infoboxes", "volume_templates"])
+def test_a_small_file_is_dealt_over_the_cores(spark, name):
+    assert catalogue.QUERIES[name](spark, DIR).rdd.getNumPartitions() >= 8
+
+
+def test_a_bound_value_is_worked_out_once(spark):
+    df = spark.range(3).select(F.col("id"), keys.bound(F.rand(), lambda x: F.array(x, x)).alias("x"))
+    assert all(r.x[0] == r.x[1] for r in df.collect())
+    none = spark.range(1).select(keys.bound(F.lit(None).cast("string"), lambda s: F.coalesce(s, F.lit("none"))).alias("x"))
+    assert none.first().x == "none"
+
+
+def test_sets_look_at_one_line_of_a_kind():
+    def first_fit(sets):
+        lines = []
+        for set_id, numbers in sets:
+            fit = lambda held: not held & numbers or (len(held & numbers) == 1 and min(len(held), len(numbers)) >= 3)  # noqa: B023, E731
+            at = next((line for line in lines if fit(line[1])), None)
+            if at is None:
+                lines.append(at := (set_id, set()))
+            at[1].update(numbers)
+            yield at[0]
+
+    dice = random.Random(7)
+    for most in (4, 9, 40):
+        sets = [(i, {dice.randrange(most) for _ in range(dice.randrange(0, 5))}) for i in range(400)]
+        lines = identity._Lines()
+        assert [lines.place(i, list(numbers)) for i, numbers in sets] == list(first_fit(sets))
+        assert sorted(i for alike in lines.alike.values() for i in alike) == list(range(len(lines.heads)))
+    lines = identity._Lines()
+    assert [lines.place(i, [1, 2, 3]) for i in range(20_000)] == list(range(20_000)) and len(lines.alike) == 1

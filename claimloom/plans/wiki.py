@@ -16,7 +16,7 @@ _B = f"WITH b AS (SELECT *, b1 || {_CHECK.format('b1')} AS jp, b2 || {_CHECK.for
 
 
 def _base(spark, sf_dir):
-    b = rows(spark, sf_dir, BASE)
+    b = rows(spark, sf_dir, BASE, part="p_partkey")
     return b.withColumns({"jp": F.concat("b1", keys.isbn13_check(F.col("b1")).cast("string")), "en": F.concat("b2", keys.isbn13_check(F.col("b2")).cast("string"))})
 
 

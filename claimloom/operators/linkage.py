@@ -209,12 +209,20 @@ def fold_verdicts(candidate: DataFrame, target: DataFrame, key: str, number: str
 
 @F.pandas_udf(T.DoubleType())
 def difflib_ratio(a, b):
-    """Similarity of two strings as Python's difflib gives it."""
+    """Similarity of two strings as Python's difflib gives it; what it works out of the second is kept while that stays."""
     import difflib
 
+    import numpy as np
     import pandas as pd
 
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    match, last, out = difflib.SequenceMatcher(None), None, np.zeros(len(a))
+    x, y = a.tolist(), b.tolist()
+    for i in sorted(range(len(y)), key=y.__getitem__):
+        if y[i] != last:
+            match.set_seq2(last := y[i])
+        match.set_seq1(x[i])
+        out[i] = match.ratio()
+    return pd.Series(out)
 
 
 def _pieces(name: Column, size: int) -> Column:
@@ -229,8 +237,21 @@ def similar_titles(names: DataFrame, least: float = 0.8) -> DataFrame:
     The ratio is 2 M / (n + m) with M letters in matching blocks, at most n + m - 2 M + 1 of them, and a block of k letters holds k - 1 pairs of neighbours.
     So alike names share M letters and 3 M - (n + m) - 1 pairs of neighbours, repeats counted. Names meet on one of the rarest pairs that either
     cannot do without (on letters, where both are so short that no pair need be shared), both counts are checked, and only what is left is compared.
+    Where the groups hold much the same names, all names meet once instead of once a group.
     """
-    n = names.select("group", "name").where("name is not null and name <> ''").distinct().withColumn("n", F.length("name"))
+    own = names.select("group", "name").where("group is not null and name is not null and name <> ''").distinct()
+    together = own.select("name").distinct().count()
+    apart = own.groupBy("group").count().agg(F.coalesce(F.sum(F.col("count").cast("double") ** 2), F.lit(0.0))).first()[0]
+    if together**2 >= apart:
+        return _similar_titles(own, least)
+    alike = _similar_titles(own.select(F.lit(0).alias("group"), "name").distinct(), least).drop("group")
+    return own.join(alike, "name").join(own.withColumnRenamed("name", "other"), ["group", "other"]).select("group", "name", "other", "ratio")
+
+
+def _similar_titles(names: DataFrame, least: float) -> DataFrame:
+    from claimloom.session import dealt
+
+    n = names.withColumn("n", F.length("name"))
     n = n.withColumns({"letters": _pieces(F.col("name"), 1), "pairs": _pieces(F.col("name"), 2)})
     held = lambda total: F.ceil(total * (least / 2) - 1e-9)  # noqa: E731  # letters in matching blocks
     bound = lambda total: 3 * held(total) - total - 1
@@ -248,14 +269,15 @@ def similar_titles(names: DataFrame, least: float = 0.8) -> DataFrame:
         own = n.where(some).select("group", "name", "n", F.explode(kind).alias("token"), F.greatest(F.size(kind) - share + 1, F.lit(1)).alias("first"))
         often = own.groupBy("group", "token").agg(F.count("*").alias("df"))
         place = F.row_number().over(Window.partitionBy("group", "name").orderBy("df", "token"))
-        heads = own.join(often, ["group", "token"]).withColumn("p", place).where("p <= first").select("group", "token", "name", "n")
+        # Few heads make many pairs: dealt by number, so that they are not gathered in one task for being small.
+        heads = dealt(own.join(often, ["group", "token"]).withColumn("p", place).where("p <= first").select("group", "token", "name", "n"), "group", "token")
         other = heads.select("group", "token", F.col("name").alias("other"), F.col("n").alias("m"))
         fits = (F.col("name") < F.col("other")) & (2 * F.least("n", "m") >= least * (F.col("n") + F.col("m")) - 1e-9)
-        found = heads.join(other, ["group", "token"]).where(fits).select("group", "name", "other").distinct()
+        found = heads.hint("merge").join(other, ["group", "token"]).where(fits).select("group", "name", "other").distinct()
         met = found if met is None else met.unionAll(found)
     sides = [n.select("group", F.col("name").alias(a), F.col("n").alias(f"n_{a}"), F.col("letters").alias(f"l_{a}"), F.col("pairs").alias(f"p_{a}")) for a in ("name", "other")]
     pairs = met.distinct().join(sides[0], ["group", "name"]).join(sides[1], ["group", "other"])
     total = F.col("n_name") + F.col("n_other")
     common = lambda k: F.size(F.array_intersect(f"{k}_name", f"{k}_other"))
     left = pairs.where((common("l") >= held(total)) & (common("p") >= bound(total))).select("group", "name", "other")
-    return left.withColumn("ratio", difflib_ratio("name", "other")).where(F.col("ratio") >= least)
+    return dealt(left, "other").withColumn("ratio", difflib_ratio("name", "other")).where(F.col("ratio") >= least)

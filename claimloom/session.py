@@ -35,10 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame, key: str) -> DataFrame:
-    """The rows dealt by a key over as many tasks as the cluster has cores, twice over: a small file is one task, however long a row takes."""
+def dealt(df: DataFrame, *key: str) -> DataFrame:
+    """The rows dealt by their key over as many tasks as the cluster has cores, twice over: a small file is one task, however long a row takes."""
     sc = df.sparkSession.sparkContext
-    return df.repartition(max(2 * sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), key)
+    return df.repartition(max(2 * sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *key)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -1,5 +1,6 @@
 """What larger tables bring: larger keys, ids that meet, many equal lines, small files that give one task."""
 
+import difflib
 import itertools
 import random
 
@@ -93,3 +94,12 @@ def test_sets_look_at_one_line_of_a_kind():
         assert sorted(i for alike in lines.alike.values() for i in alike) == list(range(len(lines.heads)))
     lines = identity._Lines()
     assert [lines.place(i, [1, 2, 3]) for i in range(20_000)] == list(range(20_000)) and len(lines.alike) == 1
+
+
+def test_groups_of_the_same_names_compare_them_once(spark, monkeypatch):
+    names = [f"{a} {b} {c}" for a in ("large", "small", "hot") for b in ("ring", "bolt", "rings") for c in ("x1", "x12")]
+    met = []
+    monkeypatch.setattr(linkage, "_similar_titles", lambda df, least, real=linkage._similar_titles: met.append(df.count()) or real(df, least))
+    same = spark.createDataFrame([(g, n) for g in range(5) for n in names if g or n != names[0]], "group int, name string")
+    want = {(g, a, b) for g in range(5) for a, b in itertools.permutations(names, 2) if a < b and difflib.SequenceMatcher(None, a, b).ratio() >= 0.8 and (g or names[0] not in (a, b))}
+    assert {(r.group, r.name, r.other) for r in linkage.similar_titles(same).collect()} == want and met == [len(names)]

@@ -44,8 +44,8 @@ def test_an_id_that_two_tables_export_has_a_row_each(spark, tmp_path):
 
 
 def test_near_names_broadcasts_no_forms(spark):
-    # A single name by Spark's estimate, as an explode's rows are not counted in it.
-    plan = linkage.near_names(spark.createDataFrame([("martin",), ("marin",)], "name string"))._jdf.queryExecution().sparkPlan().toString()
+    # A small file by Spark's estimate, as an explode's rows are not counted in it.
+    plan = catalogue.QUERIES["near_names"](spark, DIR)._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 

@@ -41,9 +41,13 @@ def pick_series(entries: DataFrame, series: DataFrame, aliases: DataFrame) -> Da
 
 
 def number_sets(rows: DataFrame, owner: str, number: str) -> DataFrame:
-    """(owner, bucket, numbers): each owner's numbers as bitmaps, partly built before the shuffle."""
+    """(owner, bucket, numbers): each owner's numbers as bitmaps of 64 bits, partly built before the shuffle.
+
+    An owner holds few numbers: Spark's own bitmaps are 4 KB each, whatever they hold.
+    """
     at = (F.col(number) * TENTHS).cast("long")
-    return rows.where(F.col(number) >= 0).groupBy(owner, F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("numbers"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    return rows.where(F.col(number) >= 0).groupBy(owner, F.shiftright(at, 6).alias("bucket")).agg(F.bit_or(bit).alias("numbers"))
 
 
 def coverage(picks: DataFrame, owned: DataFrame, volumes: DataFrame, today: str) -> DataFrame:
@@ -56,8 +60,8 @@ def coverage(picks: DataFrame, owned: DataFrame, volumes: DataFrame, today: str)
     wanted = picks.join(own, "entry", "left").select("entry", "line", F.coalesce("bucket", F.lit(0)).alias("bucket"), "numbers")
     have = number_sets(volumes.join(picks.select("line").distinct(), "line", "left_semi"), "line", "number")
     sides = wanted.select("entry", "line", "bucket", "numbers", F.lit(True).alias("mine")).unionAll(wanted.join(have.withColumnRenamed("numbers", "h"), ["line", "bucket"]).select("entry", "line", "bucket", "h", F.lit(False)))
-    n = lambda c: F.coalesce(F.bitmap_count(c), F.lit(0))
-    union = sides.groupBy("entry", "line", "bucket").agg(F.bitmap_or_agg("numbers").alias("all"), F.max(F.when(F.col("mine"), F.col("numbers"))).alias("own"), F.max(F.when(~F.col("mine"), F.col("numbers"))).alias("has"))
+    n = lambda c: F.coalesce(F.bit_count(c), F.lit(0))
+    union = sides.groupBy("entry", "line", "bucket").agg(F.bit_or("numbers").alias("all"), F.bit_or(F.when(F.col("mine"), F.col("numbers"))).alias("own"), F.bit_or(F.when(~F.col("mine"), F.col("numbers"))).alias("has"))
     counted = union.groupBy("entry", "line").agg(F.sum(n(F.col("own"))).alias("owned"), F.sum(n(F.col("all")) - n(F.col("has"))).alias("missing"))
     last = picks.join(owned.groupBy("entry").agg(F.max("number").alias("last")), "entry", "left").fillna(0, ["last"])
     later = last.join(volumes, "line").where("number > last").groupBy("entry").agg(F.count("*").alias("beyond"), F.count_if(F.col("date") <= today).alias("past"))

@@ -26,6 +26,13 @@ def test_coverage_equals_sets(spark):
     assert {tuple(r) for r in replay.lacking(*frames, report).collect()} == gaps
 
 
+def test_a_set_of_numbers_is_a_few_bytes(spark):
+    # A bitmap of 4 KB an owner was what tasks of larger tables sorted.
+    sets = replay.number_sets(spark.createDataFrame([(1, 0.0), (1, 6.3), (1, 6.4), (1, 6.4), (2, 3.0), (2, -1.0), (2, None)], "owner int, number double"), "owner", "number")
+    assert sorted(map(tuple, sets.collect())) == [(1, 0, 1 - 2**63), (1, 1, 1), (2, 0, 1 << 30)]
+    assert "ObjectHashAggregate" not in (plan := sets._jdf.queryExecution().executedPlan().toString()) and "SortAggregate" not in plan
+
+
 def test_a_name_that_answers_comes_before_a_tail(spark):
     series = spark.createDataFrame([(1, "Alpha", "en", "manga", False, 2, 5), (2, "Alpha", "en", "novel", False, 9, 9), (3, "The old beta", "en", None, False, 1, 1), (4, "Gamma", "fr", None, False, 1, 1)], "id int, name string, language string, medium string, is_omnibus boolean, dated_count int, volume_count int")
     aliases = spark.createDataFrame([(3, "beta two")], "id int, alias string")

@@ -37,16 +37,23 @@ def _article_key(c):
     return F.regexp_replace(F.regexp_replace(F.lower(c), "^(the|a|an) ", ""), "[ &]", "")
 
 
+_ASKED = """SELECT p_partkey AS q, p_type || '|' || p_size AS page, p_name AS name, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN 'the ' || p_name WHEN 2 THEN substr(p_name, 1, length(p_name) - 2) WHEN 3 THEN p_name || ' & ' || p_type ELSE p_type END AS term, p_size % 12 AS volume_count, p_partkey % 3 > 0 AS own_name, p_partkey % 7 > 0 AS fallback, p_size AS orig_count FROM {part} WHERE p_type IS NOT NULL AND p_size IS NOT NULL"""
+_GIVEN = """SELECT p_type || '|' || p_size AS page, p_partkey AS id, p_partkey AS position, CASE WHEN p_partkey % 9 = 0 THEN 'ONE_SHOT' ELSE 'MANGA' END AS format, CASE WHEN p_partkey * 7 % 23 > 0 THEN p_partkey * 7 % 23 END AS volumes, CASE WHEN p_partkey % 4 = 0 THEN 'RELEASING' ELSE 'FINISHED' END AS status, p_partkey % 13 AS popularity,
+ CASE p_partkey % 5 WHEN 0 THEN 'the ' || p_name WHEN 1 THEN p_name || ' ' || p_type WHEN 2 THEN p_name || ' and ' || p_type ELSE p_name END AS title, CASE p_partkey % 3 WHEN 0 THEN p_type WHEN 1 THEN 'an ' || p_name END AS synonym, p_partkey % 3 = 2 AS echo FROM {part} WHERE p_type IS NOT NULL AND p_size IS NOT NULL"""
+
+
 def _pages(spark, sf_dir):
-    p = rows(spark, sf_dir, PAGES)
+    """Queries and candidates of the pages they share: parts of one type and size are given one page, where some synonyms are the query's own name."""
+    asked, given = rows(spark, sf_dir, _ASKED, part="p_partkey"), rows(spark, sf_dir, _GIVEN, part="p_partkey")
     one = lambda c: F.array(c)
-    return p.withColumns({"k": _plain_key("term"), "ak": _article_key("term"), "pk": one(_plain_key("title")), "apk": one(_article_key("title")), "sk": one(_plain_key("synonym")), "ask": one(_article_key("synonym"))})
+    asked = asked.withColumns({"k": _plain_key("term"), "ak": _article_key("term"), "nk": _plain_key("name"), "ank": _article_key("name")})
+    return asked, given.withColumns({"pk": one(_plain_key("title")), "apk": one(_article_key("title")), "sk": one(_plain_key("synonym")), "ask": one(_article_key("synonym"))})
 
 
 @query(f"{_PICK} SELECT * FROM picked")
 def title_picks(spark, sf_dir):
     """The ranker over pages of search results: classes, guards over the whole page, fallbacks."""
-    return ranking.pick(_pages(spark, sf_dir))
+    return ranking.pick_shared(*_pages(spark, sf_dir))
 
 
 @query(f"""{_C}, x AS (SELECT *, trim(regexp_replace(lower(term), '[^a-z0-9]+', ' ', 'g')) AS words, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS tw, trim(regexp_replace(lower(synonym), '[^a-z0-9]+', ' ', 'g')) AS sw, {_KEY.format('lower(name)')} AS base, lower(substr(term, 1, 4)) AS arc, {_KEY.format("replace(lower(term), '&', 'and')")} AS amp, {_KEY.format("replace(lower(title), '&', 'and')")} AS amp2,
@@ -59,10 +66,11 @@ t AS (SELECT *, CASE WHEN v1 AND n1 = 1 AND fits AND coalesce(volumes, volume_co
 SELECT q, id, ['prefix', 'arc', 'amp', 'origin'][tier] AS via FROM t WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q ORDER BY tier, popularity DESC, position) = 1""")
 def post_walk_picks(spark, sf_dir):
     """Post-walk tiers: a head of the full title, base and arc in one title, '&' as 'and', the origin's count."""
-    p = _pages(spark, sf_dir)
+    asked, given = _pages(spark, sf_dir)
     amp = lambda c: _plain_key(F.regexp_replace(F.lower(c), "&", "and"))
-    p = p.withColumns({"words": keys.ascii_key(F.col("term")), "titles": F.array(keys.ascii_key(F.col("title")), keys.ascii_key(F.col("synonym"))), "base": _plain_key("name"), "arc": F.lower(F.substring("term", 1, 4)), "amp": amp("term"), "amps": F.array(amp("title"))})
-    return ranking.post_walk(p)
+    asked = asked.withColumns({"words": keys.ascii_key(F.col("term")), "nwords": keys.ascii_key(F.col("name")), "base": F.col("nk"), "arc": F.lower(F.substring("term", 1, 4)), "amp": amp("term")})
+    given = given.withColumns({"titles": F.array_compact(F.array(keys.ascii_key(F.col("title")), keys.ascii_key(F.col("synonym")))), "amps": F.array(amp("title"))})
+    return ranking.post_walk_shared(asked, given)
 
 
 @query("""WITH l AS (SELECT p_partkey AS line, p_name AS name, [p_name, upper(p_name), 'List of ' || p_name || ' chapters', p_type || ' ' || p_brand, lower(p_type) || ' ' || p_brand, 'x', 'y' || p_size] AS aliases FROM part),

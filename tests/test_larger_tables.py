@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  (registers every plan)
 from claimloom.functions import keys
-from claimloom.operators import identity, intake, linkage
+from claimloom.operators import identity, intake, linkage, ranking
 from claimloom.plans import catalogue
 
 
@@ -103,3 +103,39 @@ def test_groups_of_the_same_names_compare_them_once(spark, monkeypatch):
     same = spark.createDataFrame([(g, n) for g in range(5) for n in names if g or n != names[0]], "group int, name string")
     want = {(g, a, b) for g in range(5) for a, b in itertools.permutations(names, 2) if a < b and difflib.SequenceMatcher(None, a, b).ratio() >= 0.8 and (g or names[0] not in (a, b))}
     assert {(r.group, r.name, r.other) for r in linkage.similar_titles(same).collect()} == want and met == [len(names)]
+
+
+def test_shared_pages_give_what_a_page_for_each_query_gives(spark):
+    dice = random.Random(12)
+    words = ["the red", "red", "red ring", "a red ring", "ringer", "red & ring", "red and ring", "the red and ring", "redring two", "big red ring"]
+    plain = lambda t: None if t is None else t.lower().replace(" ", "").replace("&", "")
+    article = lambda t: None if t is None else plain(t.removeprefix("the ").removeprefix("a "))
+    spaced = lambda t: None if t is None else " ".join(t.replace("&", " ").split())
+    amp = lambda t: None if t is None else plain(t.replace("&", "and"))
+    some = lambda *x: dice.choice(x)
+    asked, given = [], []
+    for page in range(60):
+        for i in range(8):
+            name, term = some(*words, None), some(*words)
+            asked.append((page * 100 + i, page, plain(term), article(term), plain(name), article(name), some(0, 2, 3, 5), some(True, False), some(True, False), spaced(term), spaced(name), plain(name), term[:4].strip(), amp(term), some(5, 13, 21)))
+        for i in range(dice.choice([1, 2, 4, 9])):
+            title, synonym = some(*words), some(*words, None)
+            given.append((page, page * 100 + i, i, some("ONE_SHOT", "MANGA", "MANGA", "MANGA"), some(None, 1, 2, 3, 5, 13, 21), some("RELEASING", "FINISHED"), some(None, 1, 2), [plain(title)], [article(title)], [plain(synonym)], [article(synonym)], some(True, False, False), [t for t in (spaced(title), spaced(synonym)) if t], [amp(title)]))
+    q = spark.createDataFrame(asked, "q int, page int, k string, ak string, nk string, ank string, volume_count int, own_name boolean, fallback boolean, words string, nwords string, base string, arc string, amp string, orig_count int")
+    c = spark.createDataFrame(given, "page int, id int, position int, format string, volumes int, status string, popularity int, pk array<string>, apk array<string>, sk array<string>, ask array<string>, echo boolean, titles array<string>, amps array<string>")
+    own = lambda keys, name: F.array_compact(F.when(F.col("echo"), F.array_append(keys, F.col(name))).otherwise(F.col(keys)))
+    pages = q.join(c, "page").withColumns({"sk": own("sk", "nk"), "ask": own("ask", "ank"), "titles": own("titles", "nwords"), "base": F.coalesce("base", F.lit("")), "words": F.coalesce("words", F.lit(""))})
+    kinds = {}
+    for shared, single in ((ranking.pick_shared, ranking.pick), (ranking.post_walk_shared, ranking.post_walk)):
+        got, want = (sorted(map(tuple, df.collect())) for df in (shared(q, c), single(pages)))
+        assert got == want
+        for _, _, via in got:
+            kinds[via] = kinds.get(via, 0) + 1
+    assert set(kinds) == {"primary", "synonym", "article", "substring", "ceiling", "prefix", "arc", "amp", "origin"}, kinds
+
+
+def test_picks_on_pages_with_many_alike_parts(spark, tmp_path):
+    many = "select p_partkey + i * 20000 as p_partkey, * exclude (p_partkey, i) from small_part, range(20) r(i)"
+    for name in ("title_picks", "post_walk_picks"):
+        (folder := tmp_path / name).mkdir()
+        assert against_sql(spark, folder, name, part=many)

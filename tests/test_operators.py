@@ -74,6 +74,14 @@ def test_graphs(spark):
     assert graph.connected_components(e.limit(0)).count() == 0
 
 
+def test_components_of_a_path_in_any_order(spark):
+    ids = list(range(200))
+    random.Random(1).shuffle(ids)
+    e = spark.createDataFrame([*zip(ids, ids[1:]), (900, 901)], "src long, dst long")
+    got = dict(map(tuple, graph.connected_components(e, max_rounds=6).collect()))
+    assert got == {i: 0 for i in ids} | {900: 900, 901: 900}
+
+
 def test_near_names_equals_all_pairs(spark):
     names = ["martin", "martim", "marin", "artin", "smith", "smyth", "smit", "a", "b", "ab", "ba", ""]
     df = spark.createDataFrame([(n,) for n in names], "name string")

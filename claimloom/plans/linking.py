@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import keys
 from claimloom.operators import linkage
 from claimloom.plans.catalogue import QUERIES, query
-from claimloom.session import table
+from claimloom.session import dealt, table
 
 _K = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -50,16 +50,23 @@ _VOTES = """SELECT a.l_suppkey AS mine, b.o_custkey AS theirs, count(DISTINCT b.
 
 
 def _votes(spark, sf_dir):
-    line, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return line.join(o, line.l_orderkey == o.o_orderkey).groupBy(F.col("l_suppkey").alias("mine"), F.col("o_custkey").alias("theirs")).agg(F.countDistinct("o_orderkey").alias("shared"))
+    """Orders that a supplier and a customer share, beside all that the customer has, so that weak votes go before they are shuffled again.
+
+    Lines and orders are dealt by order, then votes by both ends: each task holds a share of the lines, however few the bytes of a file.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("theirs"))
+    sized = o.join(o.groupBy("theirs").agg(F.count("*").alias("nt")), "theirs")
+    line = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("mine"))
+    met = dealt(line, "l_orderkey").join(dealt(sized, "o_orderkey").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    once = met.select("mine", "theirs", "nt", "o_orderkey").distinct()
+    return dealt(once.select("mine", "theirs", "nt"), "mine", "theirs").groupBy("mine", "theirs", "nt").agg(F.count("*").alias("shared"))
 
 
 @query(f"""WITH v AS ({_VOTES}), n AS (SELECT o_custkey AS theirs, count(*) AS nt FROM orders GROUP BY 1), f AS (SELECT mine, theirs, shared FROM v JOIN n USING (theirs) WHERE 2 * shared >= least(50, nt)),
 b AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY mine ORDER BY shared DESC, theirs) = 1)
 SELECT mine, theirs, shared, CASE WHEN row_number() OVER (PARTITION BY theirs ORDER BY shared DESC, mine) = 1 THEN 'merged' ELSE 'sibling' END AS role FROM b""")
 def attach_roles(spark, sf_dir):
-    n = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("theirs")).agg(F.count("*").alias("nt"))
-    v = _votes(spark, sf_dir).join(n, "theirs").withColumn("nm", F.lit(50))
+    v = _votes(spark, sf_dir).withColumn("nm", F.lit(50))
     return linkage.attach_roles(v, "mine", "theirs", "shared", "nm", "nt").select("mine", "theirs", "shared", "role")
 
 

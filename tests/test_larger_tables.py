@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__  # noqa: F401  (registers every plan)
 from claimloom.functions import keys
 from claimloom.operators import identity, intake, linkage, ranking
-from claimloom.plans import catalogue
+from claimloom.plans import catalogue, linking
 
 
 def against_sql(spark, folder, name, **tables):
@@ -68,6 +68,12 @@ def test_a_small_file_is_dealt_over_the_cores(spark, name):
     assert catalogue.QUERIES[name](spark, DIR).rdd.getNumPartitions() >= 8
 
 
+def test_shared_votes_are_dealt_over_the_cores(spark):
+    votes = linking._votes(spark, DIR)
+    assert votes.rdd.getNumPartitions() >= 8
+    assert votes.groupBy("mine", "theirs").count().where("count > 1").isEmpty()
+
+
 def test_a_bound_value_is_worked_out_once(spark):
     df = spark.range(3).select(F.col("id"), keys.bound(F.rand(), lambda x: F.array(x, x)).alias("x"))
     assert all(r.x[0] == r.x[1] for r in df.collect())

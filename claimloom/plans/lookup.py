@@ -105,17 +105,25 @@ e AS (SELECT *, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) = trim
 o AS (SELECT query, id AS old_pick FROM e QUALIFY row_number() OVER (PARTITION BY query ORDER BY language <> 'en', is_omnibus, volume_count DESC, id) = 1), v AS (SELECT query, id AS novel_pick FROM e WHERE language = 'en' AND NOT comic QUALIFY row_number() OVER (PARTITION BY query ORDER BY NOT exact, is_omnibus, dated_count DESC, volume_count DESC, id) = 1)
 SELECT query, new_pick, old_pick, novel_pick, new_pick IS DISTINCT FROM old_pick AS changed FROM o LEFT JOIN n USING (query) LEFT JOIN v USING (query)""")
 def series_lookup(spark, sf_dir):
-    """Candidates by name or alias in any case, the present ranking, the one before it, and the ranking for novels."""
-    s, q = rows(spark, sf_dir, SERIES), rows(spark, sf_dir, _QUERIES).withColumn("low", F.lower("query"))
-    ids = q.join(s.select(F.lower("name").alias("low"), "id"), "low").union(q.join(s.select(F.lower("alias").alias("low"), "id"), "low")).select("query", "id").distinct()
-    e = ids.join(s, "id").withColumns({"exact": keys.ascii_key(F.col("name")) == keys.ascii_key(F.col("query")), "comic": ~F.coalesce(F.col("medium").isin("novel", "light_novel"), F.lit(False))})
-    # A query's best by a struct, so no list of candidates is sorted.
-    rest = [F.col("is_omnibus"), -F.col("dated_count"), -F.col("volume_count"), F.col("id")]
-    english = F.col("language") == "en"
-    best = lambda order, when=None: F.min_by("id", F.struct(*order) if when is None else F.when(when, F.struct(*order)))
+    """Candidates by name or alias in any case, the present ranking, the one before it, and the ranking for novels.
+
+    The best under each key and name are found before queries meet them, so a key that very many hold is one row, and no list of candidates is sorted.
+    """
+    s, q = rows(spark, sf_dir, SERIES, part="p_partkey"), rows(spark, sf_dir, _QUERIES, part="p_partkey").withColumn("low", F.lower("query"))
+    english, comic = F.col("language") == "en", ~F.coalesce(F.col("medium").isin("novel", "light_novel"), F.lit(False))
+    rest = [F.col("is_omnibus"), (-F.col("dated_count")).alias("dated"), (-F.col("volume_count")).alias("volumes"), F.col("id")]
+    known = s.select("name", F.explode(F.array(F.lower("name"), F.lower("alias"))).alias("low"), english.alias("english"), comic.alias("comic"), *rest)
+    rest = [F.col(c) for c in ("is_omnibus", "dated", "volumes", "id")]
+    english, novel = F.col("english"), F.col("english") & ~F.col("comic")
+    heads = known.groupBy("low", "name").agg(
+        F.min(F.when(english, F.struct((~F.col("comic")).alias("other"), *rest))).alias("new"),
+        F.min(F.struct((~english).alias("foreign"), "is_omnibus", "volumes", "id")).alias("old"), F.min(F.when(novel, F.struct(*rest))).alias("novel"),
+    )
+    e = q.join(heads, "low").withColumn("inexact", keys.ascii_key(F.col("name")) != keys.ascii_key(F.col("query")))
+    inner = lambda c: [F.col(f"{c}.{x}") for x in ("is_omnibus", "dated", "volumes", "id")]
     out = e.groupBy("query").agg(
-        best([~F.col("comic"), ~F.col("exact"), *rest], english).alias("new_pick"), best([~english, F.col("is_omnibus"), -F.col("volume_count"), F.col("id")]).alias("old_pick"),
-        best([~F.col("exact"), *rest], english & ~F.col("comic")).alias("novel_pick"),
+        F.min(F.when(F.col("new").isNotNull(), F.struct("new.other", "inexact", *inner("new")))).getField("id").alias("new_pick"), F.min("old").getField("id").alias("old_pick"),
+        F.min(F.when(F.col("novel").isNotNull(), F.struct("inexact", *inner("novel")))).getField("id").alias("novel_pick"),
     )
     return out.withColumn("changed", ~F.col("new_pick").eqNullSafe(F.col("old_pick")))
 

@@ -74,6 +74,14 @@ def test_shared_votes_are_dealt_over_the_cores(spark):
     assert votes.groupBy("mine", "theirs").count().where("count > 1").isEmpty()
 
 
+def test_series_of_one_name_meet_queries_as_one_row(spark, tmp_path):
+    found = against_sql(spark, tmp_path, "series_lookup", part="select p_partkey, CASE WHEN p_partkey % 5 > 0 THEN 'Hot bolt' ELSE p_name END as p_name, * exclude (p_partkey, p_name) from small_part")
+    assert len(found) > 7
+    # Queries join aggregated keys once; candidates are not joined again by their ids.
+    plan = catalogue.QUERIES["series_lookup"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+
+
 def test_a_bound_value_is_worked_out_once(spark):
     df = spark.range(3).select(F.col("id"), keys.bound(F.rand(), lambda x: F.array(x, x)).alias("x"))
     assert all(r.x[0] == r.x[1] for r in df.collect())

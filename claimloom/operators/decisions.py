@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.keys import ascii_key
 from claimloom.operators.identity import shared_key_clusters
-from claimloom.session import cut, release
+from claimloom.session import cut, dealt, release
 
 #: Letters of a title's key at least, and of a run of words that counts inside another title.
 LEAST_KEY, LEAST_RUN = 5, 7
@@ -79,25 +79,26 @@ def title_keys(lines: DataFrame) -> DataFrame:
 
 
 def link(groups: DataFrame, works: DataFrame) -> DataFrame:
-    """(g, tier, work, candidates): works that a group's titles name, by official titles first, then by others.
+    """(g, tier, work): the work that a group's titles name, by official titles first, then by others; null if several do.
 
     groups: g, titles, authors; works: work, titles (official), aliases, authors. A tier is high if one work has an official title
     of the group and shares an author, medium if one has, low if one has it as an alias only, ambiguous if several do.
+    A title keeps the smallest and the greatest of its works, so that titles of many lines and many works give no pairs.
     """
     said = groups.select("g", F.explode(F.array_distinct(F.transform(F.array_compact("titles"), folded))).alias("fold")).where(F.length("fold") >= LEAST_KEY)
     spelled = works.select("work", F.explode(F.array_compact("titles")).alias("title"), F.lit(True).alias("official")).unionAll(works.select("work", F.explode(F.array_compact("aliases")), F.lit(False)))
-    known = spelled.select("work", folded(F.col("title")).alias("fold"), "official")
-    votes = said.join(known, "fold").groupBy("g", "work").agg(F.bool_or("official").alias("official"))
-    by = lambda o: F.array_sort(F.collect_list(F.when(F.col("official") == o, F.col("work"))))
-    each = votes.groupBy("g").agg(by(True).alias("first"), by(False).alias("second"))
-    one = each.withColumn("candidates", F.when(F.size("first") > 0, F.col("first")).otherwise(F.col("second")))
-    one = one.withColumn("work", F.when(F.size("candidates") == 1, F.get("candidates", F.lit(0))))
+    by = lambda o: F.when(F.col("official") == o, F.col("work"))
+    known = spelled.select("work", folded(F.col("title")).alias("fold"), "official").groupBy("fold").agg(F.min(by(True)).alias("a"), F.max(by(True)).alias("z"), F.min(by(False)).alias("b"), F.max(by(False)).alias("y"))
+    each = said.join(known, "fold").groupBy("g").agg(F.min("a").alias("a"), F.max("z").alias("z"), F.min("b").alias("b"), F.max("y").alias("y"))
+    named = F.col("a").isNotNull()
+    one = each.select("g", named.alias("official"), F.when(named, F.col("a")).otherwise(F.col("b")).alias("work"), F.when(named, F.col("z")).otherwise(F.col("y")).alias("last"))
+    one = one.select("g", "official", F.when(F.col("work") == F.col("last"), F.col("work")).alias("work"))
     authors = groups.select("g", F.col("authors").alias("mine")).join(one, "g").join(works.select("work", F.col("authors").alias("theirs")), "work", "left")
     tier = (
-        F.when(F.size("candidates") > 1, "ambiguous").when(F.size("first") == 0, "low")
+        F.when(F.col("work").isNull(), "ambiguous").when(~F.col("official"), "low")
         .when(F.coalesce(F.arrays_overlap("mine", "theirs"), F.lit(False)), "high").otherwise("medium")
     )
-    return authors.select("g", tier.alias("tier"), "work", "candidates")
+    return authors.select("g", tier.alias("tier"), "work")
 
 
 def _runs(text: Column) -> Column:
@@ -158,12 +159,12 @@ def decide(lines: DataFrame, works: DataFrame, links: DataFrame, reviews: DataFr
     works: work, titles, aliases, authors, native, guarded (a work of the home market that no line may be linked to), library (made by an
     earlier build). Corrections: links (key, work, override), reviews (key, why), joins (a, b: lines whose clusters are one).
     """
-    lines = cut(lines)
+    lines = cut(dealt(lines, "key"))
     flags = works.select("work", "guarded", "library")
     # One by one.
     single = link(lines.where("role is null").select(F.col("key").alias("g"), F.concat("titles", "orig", "native").alias("titles"), "authors"), works)
     corrected = links.join(works.select("work"), "work").select(F.col("key").alias("g"), F.col("work").alias("corrected"), "override")
-    s = lines.join(single.withColumnsRenamed({"g": "key", "work": "found"}).drop("candidates"), "key", "left").join(corrected.withColumnRenamed("g", "key"), "key", "left")
+    s = lines.join(single.withColumnsRenamed({"g": "key", "work": "found"}), "key", "left").join(corrected.withColumnRenamed("g", "key"), "key", "left")
     tier = F.coalesce("tier", F.lit("none"))
     target = F.when(F.col("role").isNotNull(), F.col("work")).when(F.col("corrected").isNotNull(), F.col("corrected")).when(tier.isin("high", "medium"), F.col("found"))
     s = s.withColumn("target", target).join(flags.select(F.col("work").alias("target"), "guarded"), "target", "left")
@@ -189,7 +190,7 @@ def decide(lines: DataFrame, works: DataFrame, links: DataFrame, reviews: DataFr
         F.count("*").alias("n"), F.bool_or(F.col("published").isNotNull()).alias("carried"), F.min_by("told", F.when(F.col("told").isNotNull(), F.col("key"))).alias("told"),
         F.bool_or("explicit").alias("explicit"), F.bool_or("comic").alias("comic"), F.min(F.when(F.col("shelf"), F.col("published"))).alias("frozen"),
         F.bool_or(F.col("published").isNotNull() & ~F.coalesce("shelf", F.lit(True))).alias("elsewhere"), F.min(F.when(comic & (F.col("market") == "EN"), F.col("key"))).alias("english"),
-        F.min(F.when(comic, F.col("key"))).alias("any_comic"), F.flatten(F.collect_list(F.concat("titles", "orig", "native"))).alias("titles"), F.flatten(F.collect_list("authors")).alias("authors"),
+        F.min(F.when(comic, F.col("key"))).alias("any_comic"), F.flatten(F.collect_set(F.concat("titles", "orig", "native"))).alias("titles"), F.flatten(F.collect_set("authors")).alias("authors"),
     )
     c = cut(c)
     together = link(c.where("n > 1").select(F.col("c").alias("g"), "titles", "authors"), works).join(flags.select("work", "guarded"), "work", "left")
@@ -202,7 +203,9 @@ def decide(lines: DataFrame, works: DataFrame, links: DataFrame, reviews: DataFr
     )
     spelled = cut(member.select("c", F.explode(spelled).alias("t")).select("c", "t.*").distinct())
     native_too = member.select("c", F.explode(F.array_compact("native")).alias("title")).select("c", "title", F.lit(True).alias("orig"))
-    hits = known_hits(spelled.unionAll(native_too), works).select("c", F.lit(True).alias("hit")).distinct()
+    # Works of one title hit alike.
+    heads = works.select("work", "native", F.explode(F.array_compact("titles")).alias("title")).groupBy("native", "title").agg(F.min("work").alias("work"))
+    hits = known_hits(spelled.unionAll(native_too), heads.select("work", "native", F.array("title").alias("titles"))).select("c", F.lit(True).alias("hit")).distinct()
     good = F.coalesce("c_tier", F.lit("none"))
     outcome = (
         F.when(F.col("told").isNotNull() & ~F.col("carried"), F.concat(F.lit("review|correction: "), "told"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.session import dealt
+
 
 def to_fetch(wanted: DataFrame, cache: DataFrame, key: str, max_age: int, negative_age: int, fresh: bool = False) -> DataFrame:
     """(key, reason) of wanted keys whose cached answer (age in days, found) is absent, too old or forced; 'nothing there' may be older."""
@@ -37,15 +39,16 @@ def answered(wanted: DataFrame, normalised: DataFrame, answers: DataFrame, key:
 def best_article(queries: DataFrame, pages: DataFrame) -> DataFrame:
     """(q, page, score) of the page that holds every word of a query, most of its own words asked for, then the smallest page id.
 
-    queries: q, words (array); pages: page, words (array). Candidates are met by the query's longest word.
+    queries: q, words (array); pages: page, words (array). Candidates are met by the query's longest word. Pages of the same words
+    are one candidate, and of those with as many words only the smallest id is kept, so no list of candidates is sorted.
     """
     pivot = F.reduce("words", F.lit(""), lambda a, w: F.when((F.length(w) > F.length(a)) | ((F.length(w) == F.length(a)) & (w < a)), w).otherwise(a))
     q = queries.select("q", F.col("words").alias("want"), pivot.alias("word"))
-    p = pages.select("page", F.col("words").alias("got"), F.explode(F.array_distinct("words")).alias("word"))
-    met = q.join(p, "word").where(F.size(F.array_except("want", "got")) == 0)
-    score = F.size(F.array_distinct("want")) / F.size(F.array_distinct("got"))
-    best = met.withColumn("score", score).groupBy("q").agg(F.max_by(F.struct("page", "score"), F.struct("score", -F.col("page"))).alias("b"))
-    return best.select("q", "b.*")
+    kinds = dealt(pages, "page").groupBy(F.array_sort(F.array_distinct("words")).alias("got")).agg(F.min("page").alias("page"))
+    met = q.join(kinds.select("page", "got", F.explode("got").alias("word")), "word").where(F.size(F.array_except("want", "got")) == 0)
+    least = met.groupBy("q", F.size("got").alias("n"), F.size(F.array_distinct("want")).alias("asked")).agg(F.min("page").alias("page"))
+    best = least.groupBy("q").agg(F.min(F.struct("n", "page", (F.col("asked") / F.col("n")).alias("score"))).alias("b"))
+    return best.select("q", "b.page", "b.score")
 
 
 def request_fates(log: DataFrame, retries: int = 3, stop_after: int = 3) -> DataFrame:

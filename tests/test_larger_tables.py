@@ -14,6 +14,7 @@ import __spark_entry__  # noqa: F401  (registers every plan)
 from claimloom.functions import keys
 from claimloom.operators import identity, intake, linkage, ranking
 from claimloom.plans import catalogue, linking
+from claimloom.sources import cache
 
 
 def against_sql(spark, folder, name, **tables):
@@ -82,6 +83,15 @@ def test_series_of_one_name_meet_queries_as_one_row(spark, tmp_path):
     assert plan.count("Join Inner") == 1
 
 
+def test_pages_of_the_same_words_are_one_candidate(spark):
+    q = spark.createDataFrame([("hot bolt", ["hot", "bolt"]), ("ring", ["ring"]), ("red ring", ["red", "ring"])], "q string, words array<string>")
+    pages = [(100 - i, ["hot", "bolt", "small"]) for i in range(50)] + [(7, ["bolt", "small", "hot", "hot"]), (3, ["a", "hot", "bolt", "small"]), (9, ["ring", "ring"]), (8, ["ring"]), (5, ["blue", "ring"])]
+    best = cache.best_article(q, spark.createDataFrame(pages, "page long, words array<string>"))
+    assert sorted(map(tuple, best.collect())) == [("hot bolt", 7, 2 / 3), ("ring", 8, 1.0)]
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate"):]
+
+
 def test_a_bound_value_is_worked_out_once(spark):
     df = spark.range(3).select(F.col("id"), keys.bound(F.rand(), lambda x: F.array(x, x)).alias("x"))
     assert all(r.x[0] == r.x[1] for r in df.collect())

@@ -92,6 +92,13 @@ def test_pages_of_the_same_words_are_one_candidate(spark):
     assert "Aggregate" in plan[plan.index("Generate"):]
 
 
+def test_nested_records_are_dealt_and_counted_without_a_key(spark, tmp_path):
+    plan = catalogue.QUERIES["nested_load"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan
+    # Tables of no rows are counted too, as in the SQL.
+    assert len(against_sql(spark, tmp_path, "nested_load", lineitem="select * from small_lineitem where false")) == 5
+
+
 def test_a_bound_value_is_worked_out_once(spark):
     df = spark.range(3).select(F.col("id"), keys.bound(F.rand(), lambda x: F.array(x, x)).alias("x"))
     assert all(r.x[0] == r.x[1] for r in df.collect())

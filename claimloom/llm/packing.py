@@ -199,6 +199,8 @@ def _pieces(file: str, capacity: int, closing: int):
                     [batch.column(0).take(pa.array(pick, pa.int64())), *[pa.array(v, pa.int64()) for v in (start, length, crc, total)], pa.array(rest, pa.binary())],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"],
                 )
+            # Else Arrow keeps what its largest batches took, and a worker lives as long as its executor.
+            pa.default_memory_pool().release_unused()
 
     return run
 

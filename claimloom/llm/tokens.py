@@ -30,7 +30,7 @@ for _c in range(_SAFE):
         _CLASS[_c] = _SPACE
 _CODE = np.random.default_rng(9).integers(1, 2**63, _SAFE, dtype=np.uint64)
 #: Pre-tokens kept at once, and table slots for them.
-_MOST, _SLOTS = 1 << 20, 1 << 22
+_MOST, _SLOTS = 1 << 20, 1 << 21
 
 
 def default_file(name: str = "byte_bpe_50k.json") -> str:

@@ -90,3 +90,26 @@ def test_ids_equal_the_tokenizer(spark):
     for lo, hi, ids, at in source.ids(pa.array(texts)):
         got += [ids[at[i] : at[i + 1]].tolist() for i in range(hi - lo)]
     assert got == want
+
+
+def test_a_worker_gives_memory_back_after_each_batch(monkeypatch):
+    import pyarrow as pa
+
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(1)
+
+    class Arrow:
+        default_memory_pool = Pool
+
+        def __getattr__(self, name):
+            return getattr(pa, name)
+
+    monkeypatch.setattr(packing, "pa", Arrow())
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two", "three"])], names=["doc_id", "text"])
+    out = list(packing._pieces(tokens.default_file(), 8, 0)(iter([rows, rows])))
+    assert len(given) == 2 and sum(b.num_rows for b in out) == 4
+    source = tokens.worker(tokens.default_file())
+    assert source.keys.nbytes + source.entry.nbytes <= 26 << 20 and len(source.keys) >= 2 * tokens._MOST

@@ -251,21 +251,18 @@ def near_duplicate_classes(
         .agg(F.min(F.struct("doc_id", "n")).alias("m"), F.first("sketch").alias("sketch"))
         .select("node", F.col("m.doc_id").alias("first_id"), F.col("m.n").alias("first_rows"), "sketch")
     )
-    buckets = nodes.select("node", F.posexplode("sketch").alias("r", "bucket")).select("node", F.xxhash64("r", "bucket").alias("bucket"))
+    buckets = nodes.select("node", "first_id", F.posexplode("sketch").alias("r", "bucket")).select("node", "first_id", F.xxhash64("r", "bucket").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut(buckets.join(shared, "bucket"))
-    # The most central text of a bucket leads it: the one that meets the most others.
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    members = cut(members.join(weight, "node").select("bucket", "node", F.struct(-F.col("weight"), F.col("node")).alias("rank")))
-    wanted = members.select("node").distinct().join(nodes.select("node", "first_id"), "node")
-    own = text.join(
-        wanted.select(F.col("node").alias("n"), "first_id"), (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    ).select("node", "text")
+    # The most central text of a bucket leads it: the one that meets the most others. A text has as many rows as sketches at most.
+    weight = F.sum("size").over(Window.partitionBy("node"))
+    members = cut(buckets.join(shared, "bucket").select("bucket", "node", "first_id", F.struct(-weight, F.col("node")).alias("rank")))
+    wanted = members.select(F.col("node").alias("n"), "first_id").distinct()
+    members = members.select("bucket", "node", "rank")
+    own = text.join(wanted, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text")
     kmers = cut(own.mapInArrow(_kmer_rows, "node long, kmers binary").dropDuplicates(["node"]))
-    tried = links = None
-    labels = members.select("node", F.col("node").alias("component")).distinct()
+    tried = links = labels = None
     for turn in range(rounds + 1):
-        state = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        state = members.withColumn("component", F.col("node")) if labels is None else members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn < rounds:
             lead = state.groupBy("bucket").agg(F.min(F.struct("rank", "component")).alias("lead"))
             pairs = state.join(lead, "bucket").where("component <> lead.component").select(F.col("lead.rank.node").alias("a"), F.col("node").alias("b"))

@@ -190,3 +190,11 @@ def test_lines_of_disjoint_sets_equal_a_loop(spark):
         want.add((sig, i, line[0]))
     got = identity.merge_disjoint(spark.createDataFrame(rows, "signature string, set_id int, numbers array<int>").repartition(4))
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_components_shuffle_no_edges_before_the_first_round(spark, monkeypatch):
+    plans, real = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    e = spark.createDataFrame([(2, 1), (1, 2), (2, 3), (3, 2), (5, None)], "src long, dst long")
+    assert {tuple(r) for r in graph.connected_components(e).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert "Exchange" not in plans[0]
